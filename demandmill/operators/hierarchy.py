@@ -66,24 +66,26 @@ def label(name: str, acc: str) -> Column:
 
 
 def representatives(rows: DataFrame) -> DataFrame:
-    """One row per item: most shipped units, then latest month.
+    """One row per classed item: most shipped units, then latest month.
 
     ``max`` of a struct is combined before the shuffle, so an item with many rows sends one row per
-    task.
+    task. The class is tested inside it and not by a filter: the rows below stay the same ones the
+    accuracies are made from, and Spark computes them once for both.
     """
     order = [
         "Shipped_Units", "Fcst_Date", "Product_Title", "Div", "Category", "Sub_Category",
         "DEMAND_CAT_CU", "ABC_REV_ITM_CU", "Mean_Fcst", "Mean_ABS_Error",
     ]
-    best = rows.groupBy("SKU").agg(F.max(F.struct(*order)).alias("r"))
-    return best.select("SKU", "r.*")
+    classed = F.when(F.col("ABC_REV_ITM_CU").isNotNull(), F.struct(*order))
+    best = rows.groupBy("SKU").agg(F.max(classed).alias("r"))
+    return best.where(F.col("r").isNotNull()).select("SKU", "r.*")
 
 
 def hierarchy_tree_rows(base: DataFrame, limit: int = TREE_LIMIT) -> DataFrame:
     """Tree rows: one per classed item, labels with accuracies, best sellers per sub-category."""
     rows = own_leadtime_rows(base)
     acc = hierarchy_accuracy(base).select("Level", "Member", "Acc")
-    tree = representatives(rows.where(F.col("ABC_REV_ITM_CU").isNotNull()))
+    tree = representatives(rows)
     kept = top_n_with_ties(tree, ["Sub_Category"], "Shipped_Units", limit)
     # Labels are added to the rows that stay; a level's label is a function of its name, so
     # selecting by name and selecting by label give the same rows.

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandmill.functions.dates import parse_mdy
-from demandmill.operators.reports import quoted
+from demandmill.functions.dates import month_range, parse_mdy
+from demandmill.functions.text import quote
 
 SERIES = "Nested_History"
 
@@ -21,9 +21,9 @@ def _months(wide: DataFrame) -> list[str]:
 def history_long(wide: DataFrame) -> DataFrame:
     """``SKU, Date, History``: one row per month column, unknown demand is 0."""
     sku, months = wide.columns[0], _months(wide)
-    long = wide.select(
-        quoted(sku).alias("SKU"), *[quoted(c).cast("double").alias(c) for c in months]
-    ).unpivot(["SKU"], [f"`{c}`" for c in months], "Date", "History")
+    long = wide.selectExpr(
+        f"{quote(sku)} AS SKU", *[f"CAST({quote(c)} AS double) AS {quote(c)}" for c in months]
+    ).unpivot(["SKU"], [quote(c) for c in months], "Date", "History")
     return long.select(
         "SKU",
         parse_mdy("Date").alias("Date"),
@@ -70,20 +70,15 @@ def history_series(wide: DataFrame) -> DataFrame:
     and packed in calendar order. Months that have no column are 0 for every item.
     """
     sku = wide.columns[0]
-    by_date = sorted((_header_date(c), c) for c in _months(wide))
-    first, last = by_date[0][0], by_date[-1][0]
-    names = {d: c for d, c in by_date}
-    sums = [
-        F.coalesce(F.sum(quoted(c).cast("double")), F.lit(0.0)).alias(c) for _, c in by_date
+    names = {_header_date(c): quote(c) for c in _months(wide)}
+    summed = wide.groupBy(F.col(quote(sku)).alias("SKU")).agg(
+        *[F.expr(f"sum(CAST({c} AS double)) AS {c}") for c in names.values()]
+    )
+    points = [
+        f"struct(DATE'{d}' AS Date, coalesce({names.get(d, 'NULL')}, 0.0D) AS History)"
+        for d in month_range(min(names), max(names))
     ]
-    summed = wide.groupBy(quoted(sku).alias("SKU")).agg(*sums)
-    points = []
-    d = first
-    while d <= last:
-        value = quoted(names[d]) if d in names else F.lit(0.0)
-        points.append(F.struct(F.lit(d).alias("Date"), value.alias("History")))
-        d = dt.date(d.year + d.month // 12, d.month % 12 + 1, 1)
-    return summed.select("SKU", F.array(*points).alias(SERIES))
+    return summed.select("SKU", F.expr(f"array({', '.join(points)})").alias(SERIES))
 
 
 def _header_date(name: str) -> dt.date:

@@ -42,15 +42,13 @@ TEST_LABELS = [dates.label_of(m) for m in inputs.MONTHS[-TEST_MONTHS:]]
 
 
 def shown(df: DataFrame) -> DataFrame:
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    casts = {T.DateType: "string", T.DecimalType: "double"}
+    out = {
+        f.name: F.col(f"`{f.name}`").cast(casts[type(f.dataType)])
+        for f in df.schema.fields
+        if type(f.dataType) in casts
+    }
+    return df.withColumns(out) if out else df
 
 
 # ---- forecast accuracy --------------------------------------------------------------------------

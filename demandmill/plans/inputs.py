@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from demandmill.functions.dates import header_of, month_range
 from demandmill.functions.text import ALL_OTHER, ALL_OTHER_CODE
 from demandmill.operators.monthend import HOUSE_ACCOUNTS
-from demandmill.sources.layouts import INVENTORY, MEASURES, WEEKS, Layout, week_column
+from demandmill.sources.layouts import (
+    INVENTORY,
+    MEASURES,
+    WEEKS,
+    Layout,
+    schema_of,
+    week_column,
+)
 
 # Calendar of the test tables.
 FIRST_MONTH, LAST_MONTH = dt.date(1995, 1, 1), dt.date(2001, 11, 1)
@@ -27,9 +34,24 @@ EXCLUDED_MANAGERS = ["NATION_7", "NATION_8", *HOUSE_ACCOUNTS]
 
 MONEY = "decimal(18,2)"
 
+# Schemas of the test tables; declared, so that opening a table starts no job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(schema_of(TABLES[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ship_month() -> Column:
@@ -128,46 +150,74 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units, revenue and row count per item and month."""
+    """Units, revenue in cents and row count per item and month."""
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_partkey").alias("key"), ship_month().alias("month"))
         .agg(
             F.sum("l_quantity").cast("bigint").alias("q"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)).alias("rev"),
+            F.sum(F.rint(F.col("l_extendedprice") * 100).cast("bigint")).alias("rev"),
             F.count(F.lit(1)).alias("n"),
         )
     )
 
 
-def report_cell(rule: str, position: int) -> Column:
-    """Text of one report cell from the row's values and the column's position."""
-    q, rev = F.col("q"), F.col("rev")
+def thousands(x: str) -> str:
+    """SQL text that writes a whole number with thousands commas."""
+    return (
+        f"CASE WHEN {x} < 1000 THEN string({x}) "
+        f"WHEN {x} < 1000000 THEN concat({x} div 1000, ',', lpad({x} % 1000, 3, '0')) "
+        f"ELSE concat({x} div 1000000, ',', lpad({x} div 1000 % 1000, 3, '0'), ',', "
+        f"lpad({x} % 1000, 3, '0')) END"
+    )
+
+
+def with_texts(values: DataFrame) -> DataFrame:
+    """Texts the cells of a row are put together from."""
+    return values.selectExpr(
+        "*",
+        f"{thousands('(rev div 100)')} AS dollars",
+        f"{thousands('(q * 20)')} AS share",
+        "lpad(q % 1000, 3, '0') AS tail",
+        "IF(n = 2, '($', '$') AS opening",
+        "IF(n = 2, ')', '') AS closing",
+    )
+
+
+def report_cell(rule: str, position: int) -> str:
+    """SQL text of one report cell from the row's texts and the column's position."""
     if rule == "money":
-        amount = F.concat(F.lit("$"), F.format_number(rev + position, 2))
-        dash = F.when(q == position, F.lit("—"))
-        return dash.when(F.col("n") == 2, F.concat(F.lit("("), amount, F.lit(")"))).otherwise(amount)
+        cents = f"lpad((rev + {position}) % 100, 2, '0')"
+        return f"IF(q = {position}, '—', concat(opening, dollars, '.', {cents}, closing))"
     if rule in ("percent", "plain_percent"):
-        return F.concat(F.format_number((q * position).cast(MONEY) / 2, 1), F.lit("%"))
+        return f"concat(share, '.{position % 10}%')"
     if rule == "count":
-        return F.format_number(q * position * 10, 0)
-    return F.when(q < 25, F.lit("Basic")).otherwise(F.lit("Core"))
+        return f"concat('{position},', tail)"
+    return "IF(q < 25, 'Basic', 'Core')"
+
+
+def item_columns() -> list[Column]:
+    key = F.col("key").cast("string")
+    return [
+        asin().alias("ASIN"),
+        F.concat(F.lit("0"), key).alias("UPC"),
+        F.concat(F.lit("Item "), key).alias("Product_Title"),
+    ]
 
 
 def raw_report(spark: SparkSession, sf_dir: str, layout: Layout) -> DataFrame:
     """Monthly report with text cells and the path each row would come from."""
     cells = [
-        asin().alias("ASIN"),
-        F.concat(F.lit("0"), F.col("key").cast("string")).alias("UPC"),
-        F.concat(F.lit("Item "), F.col("key").cast("string")).alias("Product_Title"),
-    ]
-    cells += [
-        report_cell(layout.rules[c], i).alias(c) for i, c in enumerate(layout.columns) if i >= 3
+        F.expr(report_cell(layout.rules[c], i)).alias(c)
+        for i, c in enumerate(layout.columns)
+        if i >= 3
     ]
     path = F.concat(
         F.lit("/drop/Raw/Report With UPC_"), F.date_format("month", "MMMM_yyyy"), F.lit(".csv")
     )
-    return report_values(spark, sf_dir).select(*cells, path.alias("Source_File"))
+    return with_texts(report_values(spark, sf_dir)).select(
+        *item_columns(), *cells, path.alias("Source_File")
+    )
 
 
 # ---- weekly planning file -----------------------------------------------------------------------
@@ -193,33 +243,25 @@ def weekly_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .pivot("week", list(range(1, WEEKS + 1)))
         .agg(F.sum("l_quantity"))
     )
-    factors = dict(zip(MEASURES, (100, 110, 120, 135)))
+    endings = dict(zip(MEASURES, ("000", "100", "200", "350")))
+    units = [f"coalesce(`{w}`, 0)" for w in range(1, WEEKS + 1)]
+    # Whole units per week, and the values the planning columns are written from.
+    values = weekly.selectExpr(
+        "key", "File_Date", *[f"bigint({u}) AS w{w}" for w, u in enumerate(units, 1)]
+    ).selectExpr("*", f"{' + '.join(f'w{w}' for w in range(1, WEEKS + 1))} AS q", "1L AS n")
+    values = with_texts(values.selectExpr("*", "q * 700 AS rev"))
 
     def cell(week: int, measure: str) -> Column:
-        u = F.coalesce(F.col(str(week)), F.lit(0.0)).cast("bigint")
-        text = F.format_number(u * factors[measure], 0)
-        return F.when(u == 13, F.lit("—")).otherwise(text).alias(week_column(week, measure))
-
-    q = sum((F.coalesce(F.col(str(w)), F.lit(0.0)) for w in range(1, WEEKS + 1)), F.lit(0.0))
-    with_values = weekly.withColumns(
-        {
-            "q": q.cast("bigint"),
-            "rev": (q * 7).cast(MONEY),
-            "n": F.lit(1).cast("bigint"),
-        }
-    )
-    head = [
-        asin().alias("ASIN"),
-        F.concat(F.lit("0"), F.col("key").cast("string")).alias("UPC"),
-        F.concat(F.lit("Item "), F.col("key").cast("string")).alias("Product_Title"),
-    ]
+        text = f"IF(w{week} = 13, '—', concat(w{week}, ',{endings[measure]}'))"
+        return F.expr(text).alias(week_column(week, measure))
+
     plan = [
-        report_cell(INVENTORY.rules[c], i).alias(c)
+        F.expr(report_cell(INVENTORY.rules[c], i)).alias(c)
         for i, c in enumerate(INVENTORY.columns)
         if i >= 3
     ]
     weeks = [cell(w, m) for m in MEASURES for w in range(1, WEEKS + 1)]
-    return with_values.select(*head, *plan, *weeks, "File_Date")
+    return values.select(*item_columns(), *plan, *weeks, "File_Date")
 
 
 # ---- demand history -----------------------------------------------------------------------------
@@ -235,10 +277,10 @@ def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         .pivot("m", [m.year * 12 + m.month for m in MONTHS])
         .agg(F.sum("l_quantity"))
     )
-    return wide.select(
-        sku("l_partkey").alias("Item"),
-        F.lit("units").alias("Measure"),
-        *[F.col(str(m.year * 12 + m.month)).alias(header_of(m)) for m in MONTHS],
+    return wide.selectExpr(
+        "concat('S', l_partkey) AS Item",
+        "'units' AS Measure",
+        *[f"`{m.year * 12 + m.month}` AS `{header_of(m)}`" for m in MONTHS],
     )
 
 

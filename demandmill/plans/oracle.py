@@ -247,21 +247,22 @@ FROM orders""",
 REPORT_VALUES = """v AS (
   SELECT l_partkey AS key, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
          CAST(sum(l_quantity) AS BIGINT) AS q,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS rev, count(*) AS n
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS rev, count(*) AS n
   FROM lineitem GROUP BY 1, 2)"""
 
 
 def report_cell(rule: str, i: int) -> str:
     if rule == "money":
-        amount = f"'$' || format('{{:,.2f}}', rev + {i})"
+        cents = f"lpad(CAST((rev + {i}) % 100 AS VARCHAR), 2, '0')"
+        amount = f"'$' || format('{{:,}}', rev // 100) || '.' || {cents}"
         text = f"CASE WHEN q = {i} THEN '—' WHEN n = 2 THEN '(' || {amount} || ')' ELSE {amount} END"
         return money_sql(f"({text})")
     if rule == "percent":
-        return percent_sql(f"(format('{{:,.1f}}', q * {i} / 2.0) || '%')")
+        return percent_sql(f"(format('{{:,}}', q * 20) || '.{i % 10}%')")
     if rule == "plain":
-        return plain_percent_sql(f"(format('{{:,.1f}}', q * {i} / 2.0) || '%')")
+        return plain_percent_sql(f"(format('{{:,}}', q * 20) || '.{i % 10}%')")
     if rule == "count":
-        return count_sql(f"format('{{:,}}', q * {i} * 10)")
+        return count_sql(f"('{i},' || lpad(CAST(q % 1000 AS VARCHAR), 3, '0'))")
     return "CASE WHEN q < 25 THEN 'Basic' ELSE 'Core' END"
 
 
@@ -306,7 +307,7 @@ FROM v"""
            / 182) * 182 AS INTEGER) AS month,
          CAST(sum(l_quantity) AS BIGINT) AS q
   FROM lineitem GROUP BY 1, 2),
-v AS (SELECT *, q * 7.0 AS rev, 1 AS n FROM w)
+v AS (SELECT *, q * 700 AS rev, 1 AS n FROM w)
 SELECT CAST(month AS VARCHAR) AS "Date", strftime(month, '%B') AS "Month",
        month(month) AS "Month_Num", day(month) AS "Day", year(month) AS "Year",
        {ITEM_COLUMNS},
@@ -341,8 +342,8 @@ grid AS (
   JOIN kept k ON k.file = i.file
   LEFT JOIN cells c ON c.key = i.key AND c.file = i.file AND c.week = k.week),
 monthly AS (
-  SELECT key, v, month, t, {rnd("CASE WHEN count(u) = count(*) THEN sum(u * n * x) / 7.0 END")} AS y
-  FROM grid, (VALUES ('Mean_Fcst', 100), ('P70_Fcst', 110), ('P80_Fcst', 120), ('P90_Fcst', 135))
+  SELECT key, v, month, t, {rnd("CASE WHEN count(u) = count(*) THEN sum((u * 1000 + x) * n) / 7.0 END")} AS y
+  FROM grid, (VALUES ('Mean_Fcst', 0), ('P70_Fcst', 100), ('P80_Fcst', 200), ('P90_Fcst', 350))
     AS f(t, x)
   GROUP BY 1, 2, 3, 4)"""
 

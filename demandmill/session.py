@@ -24,6 +24,9 @@ def local_session(cpus: int | str = 8, app: str = "demandmill") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Reports have up to 120 columns. One generated method over 8000 bytes of bytecode is never
+        # compiled by the JVM; under this limit Spark splits such a projection instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

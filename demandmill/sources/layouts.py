@@ -158,7 +158,7 @@ def week_column(week: int, measure: str) -> str:
 
 TYPES = {
     "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(),
-    "date": T.DateType(),
+    "date": T.DateType(), "bigint": T.LongType(), "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
