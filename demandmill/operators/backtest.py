@@ -30,8 +30,8 @@ def origins(series: DataFrame, months: int, lead_time: int) -> DataFrame:
     length = F.size(SERIES)
     first = F.greatest(length - lead_time - months, F.lit(1))
     last = length - lead_time - 1
-    return series.where(last >= 1).select(
-        "SKU", SERIES, F.explode(F.sequence(first, last)).alias("Origin")
+    return series.select(
+        "SKU", SERIES, F.explode(F.when(last >= 1, F.sequence(first, last))).alias("Origin")
     )
 
 

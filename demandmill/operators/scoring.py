@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandmill.functions.dates import upper_month_label
 from demandmill.functions.rules import EXACT, accuracy, half_even, match_join, percent
+from demandmill.session import checkpointed
 
 # Names of the two forecasts every model is compared with.
 SALES_FORECAST = "Sales_Forecast"
@@ -215,10 +216,10 @@ def sku_detail_nested(rows: DataFrame, part: int = DETAIL_PART) -> DataFrame:
     details = [c for c in counted.columns if c not in ("SKU", "Model")]
     large = (
         counted.groupBy("SKU", "Model")
-        .agg(F.ceil(F.count(F.lit(1)) / part).alias("__parts"))
+        .agg(F.ceil(F.sum("Copies") / part).alias("__parts"))
         .where(F.col("__parts") > 1)
     )
-    spread = counted.join(large, ["SKU", "Model"], "left").withColumn(
+    spread = match_join(counted, large, [("SKU", "SKU"), ("Model", "Model")]).withColumn(
         "Part", F.pmod(F.xxhash64(*details), F.coalesce("__parts", F.lit(1)))
     )
     return spread.groupBy("SKU", "Model", "Part").agg(
@@ -238,7 +239,8 @@ class Scores(NamedTuple):
 def score(
     test_set: DataFrame, acc: DataFrame, models: list[str], month_labels: list[str]
 ) -> Scores:
-    rows = scoring_rows(test_set, acc)
+    """The four results of a scoring run; the scored rows are computed once for three of them."""
+    rows = checkpointed(scoring_rows(test_set, acc))
     return Scores(
         sku_detail_nested(rows),
         model_summary(rows, month_labels),

@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "demandmill") -> SparkSession:
@@ -41,3 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     return root if root else tempfile.mkdtemp(prefix="demandmill-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Rows written to the shared folder once, for several results that start from them.
+
+    A reliable checkpoint: it is read again after an executor is lost.
+    """
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
