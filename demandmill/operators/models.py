@@ -47,10 +47,30 @@ def moving_average(points: int) -> NativeModel:
     return model
 
 
+def drift(values: Column, n: Column, step: int) -> Column:
+    """Last training value, carried on along the line from the first."""
+    first, last = _at(values, F.lit(1)), _at(values, n)
+    return last + F.try_divide((last - first) * step, (n - 1).cast("double"))
+
+
+def smoothing(alpha: float) -> NativeModel:
+    """Level of simple exponential smoothing, started at the first value."""
+
+    def model(values: Column, n: Column, step: int) -> Column:
+        rest = F.slice(values, F.lit(2), F.greatest(n - 1, F.lit(0)))
+        return F.aggregate(
+            rest, _at(values, F.lit(1)), lambda level, x: x * alpha + level * (1 - alpha)
+        )
+
+    return model
+
+
 NATIVE_MODELS: dict[str, NativeModel] = {
     "naive": naive,
     "seasonal_naive": seasonal_naive,
     "moving_avg": moving_average(3),
+    "drift": drift,
+    "smoothing": smoothing(0.5),
 }
 
 
@@ -71,8 +91,27 @@ def python_moving_average(points: int) -> PythonModel:
     return model
 
 
+def python_drift(train: np.ndarray, horizon: int) -> np.ndarray:
+    if len(train) < 2:
+        return np.full(horizon, np.nan)
+    steps = np.arange(1, horizon + 1)
+    return train[-1] + (train[-1] - train[0]) * steps / (len(train) - 1)
+
+
+def python_smoothing(alpha: float) -> PythonModel:
+    def model(train: np.ndarray, horizon: int) -> np.ndarray:
+        level = train[0]
+        for x in train[1:]:
+            level = x * alpha + level * (1 - alpha)
+        return np.full(horizon, level)
+
+    return model
+
+
 PYTHON_MODELS: dict[str, PythonModel] = {
     "naive": python_naive,
     "seasonal_naive": python_seasonal_naive,
     "moving_avg": python_moving_average(3),
+    "drift": python_drift,
+    "smoothing": python_smoothing(0.5),
 }

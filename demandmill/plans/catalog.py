@@ -36,6 +36,7 @@ from demandmill.sources import layouts, readers, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODELS = ["naive", "seasonal_naive", "moving_avg"]
+PYTHON_MODELS = {n: models.PYTHON_MODELS[n] for n in MODELS}
 TEST_MONTHS, LEAD_TIME, HORIZON = 3, 3, 6
 SCORED = ("CUST N", ["GOL", "SOC"], "USA")
 TEST_LABELS = [dates.label_of(m) for m in inputs.MONTHS[-TEST_MONTHS:]]
@@ -163,10 +164,8 @@ def _strict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _measures(spark: SparkSession, sf: str) -> DataFrame:
-    """The monthly table taken apart into four forecasts, joined into one and spread again."""
-    long = weekly.forecasts_long(_weekly(spark, sf))
-    parts = [long.where(F.col("POS_Forecast_Type") == m) for m in layouts.MEASURES]
-    return weekly.combine_forecast_measures(parts)
+    """The forecasts as one long table, spread to a column per measure again."""
+    return weekly.combine_forecast_measures([weekly.forecasts_long(_weekly(spark, sf))])
 
 
 def _append(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,12 +282,12 @@ def _backtest(name: str) -> Query:
 
 
 def _forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.model_forecasts(_series(spark, sf), models.PYTHON_MODELS, HORIZON)
+    return backtest.model_forecasts(_series(spark, sf), PYTHON_MODELS, HORIZON)
 
 
 def _backtest_python(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.test_set_forecasts_python(
-        _series(spark, sf), models.PYTHON_MODELS, TEST_MONTHS, LEAD_TIME
+        _series(spark, sf), PYTHON_MODELS, TEST_MONTHS, LEAD_TIME
     )
 
 
@@ -351,7 +350,7 @@ QUERIES: dict[str, Query] = {
     "history_long": lambda s, d: shown(series.history_long(inputs.history_wide(s, d))),
     "history_complete": lambda s, d: shown(series.complete_calendar(inputs.history_sparse(s, d))),
     "history_series": lambda s, d: shown(_series_shown(s, d)),
-    **{f"backtest_{n}": _backtest(n) for n in MODELS},
+    **{f"backtest_{n}": _backtest(n) for n in models.NATIVE_MODELS},
     "backtest_python": lambda s, d: shown(_backtest_python(s, d)),
     "model_forecasts": lambda s, d: shown(_forecasts(s, d)),
     "accuracy_base": _accuracy,

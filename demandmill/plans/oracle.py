@@ -583,9 +583,22 @@ test_set AS (
   UNION ALL SELECT 'S' || key, 'seasonal_naive', i, month, {rnd("seasonal")} FROM targets
   UNION ALL SELECT 'S' || key, 'moving_avg', i, month, {rnd("average")} FROM targets)"""
 
+# The same targets from the line through the first and last point, and from a running level.
+TRENDS = f"""runs AS (
+  SELECT t.key, t.i, t.month, list(h.y ORDER BY h.i) AS ys
+  FROM dense t JOIN dense h ON h.key = t.key AND h.i <= t.i - 4
+  WHERE t.i >= 80 GROUP BY ALL),
+trends AS (
+  SELECT key, i, month, ys[-1] + (ys[-1] - ys[1]) * 4 / (len(ys) - 1) AS drift,
+         list_reduce(ys, lambda level, y: y * 0.5 + level * 0.5) AS level
+  FROM runs),
+test_set AS (
+  SELECT 'S' || key AS sku, 'drift' AS model, i, month, greatest({rnd("drift")}, 0) AS x FROM trends
+  UNION ALL SELECT 'S' || key, 'smoothing', i, month, {rnd("level")} FROM trends)"""
+
 
-def backtest_sql(where: str) -> str:
-    return f"""WITH {DENSE}, {BACKTESTS}
+def backtest_sql(where: str, test_set: str = BACKTESTS) -> str:
+    return f"""WITH {DENSE}, {test_set}
 SELECT sku AS "SKU", model AS "Model", i - 3 AS "Origin", CAST(month AS VARCHAR) AS "Target_Month",
        strftime(month, '%b_%Y') AS "Month", x AS "Forecast"
 FROM test_set {where}"""
@@ -667,6 +680,8 @@ FROM dense""",
     "backtest_naive": backtest_sql("WHERE model = 'naive'"),
     "backtest_seasonal_naive": backtest_sql("WHERE model = 'seasonal_naive'"),
     "backtest_moving_avg": backtest_sql("WHERE model = 'moving_avg'"),
+    "backtest_drift": backtest_sql("WHERE model = 'drift'", TRENDS),
+    "backtest_smoothing": backtest_sql("WHERE model = 'smoothing'", TRENDS),
     "backtest_python": backtest_sql(""),
     "model_forecasts": f"""WITH {DENSE}, {FUTURE}
 SELECT 'S' || key AS "SKU", model AS "Model", h AS "Horizon",

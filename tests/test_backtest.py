@@ -42,12 +42,22 @@ def test_short_series(spark):
     df = series.history_series(wide(spark, [("A", [1.0] * 5)], 5))
     got = backtest.test_set_forecasts(df, models.NATIVE_MODELS).collect()
     assert {(r.Model, r.Origin, r.Forecast) for r in got} == {
-        ("naive", 1, 1), ("moving_avg", 1, 1), ("seasonal_naive", 1, None),
+        ("naive", 1, 1), ("moving_avg", 1, 1), ("seasonal_naive", 1, None), ("drift", 1, None),
+        ("smoothing", 1, 1),
     }
     tiny = series.history_series(wide(spark, [("A", [1.0] * 4)], 4))
     assert backtest.test_set_forecasts(tiny, models.NATIVE_MODELS).count() == 0
 
 
+def test_drift_and_smoothing(spark):
+    df = series.history_series(wide(spark, [("A", [2.0, 4.0, 6.0, 8.0, 10.0, 13.0] + [0.0] * 6)]))
+    two = {k: models.NATIVE_MODELS[k] for k in ("drift", "smoothing")}
+    got = {r.Model: r.Forecast for r in backtest.test_set_forecasts(df, two, months=1, lead_time=5)
+           .collect()}
+    # six points, six steps: 13 + 11 * 6 / 5; levels 2, 3, 4.5, 6.25, 8.125, 10.5625
+    assert got == {"drift": 26, "smoothing": 11}
+
+
 def test_rounded_and_not_negative(spark):
     df = series.history_series(wide(spark, [("A", [-5.0] * 6 + [0.5, 1.5] + [9.0] * 4)]))
     got = backtest.test_set_forecasts(df, {"naive": models.naive}).orderBy("Origin").collect()
@@ -63,7 +73,7 @@ def test_native_equals_python(spark):
     native = backtest.test_set_forecasts(df, models.NATIVE_MODELS, 4, 2)
     python = backtest.test_set_forecasts_python(df, models.PYTHON_MODELS, 4, 2, partitions=4)
     assert sorted(map(tuple, native.collect())) == sorted(map(tuple, python.collect()))
-    assert native.count() == 30 * 3 * 4
+    assert native.count() == 30 * 5 * 4
 
 
 def test_any_python_model(spark):
