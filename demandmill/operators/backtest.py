@@ -11,14 +11,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import demandmill
+
 from demandmill.functions.dates import add_months, header_of, month_label
 from demandmill.functions.rules import floor_zero, half_even
 from demandmill.operators.models import NativeModel, PythonModel
 from demandmill.operators.series import SERIES, dates_of, values_of
 
+# The package's own models travel with the task, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(demandmill)
+
 EXPORT_LABEL = "Custom Stat"
 
 
