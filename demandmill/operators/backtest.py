@@ -11,19 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import demandmill
-
 from demandmill.functions.dates import add_months, header_of, month_label
 from demandmill.functions.rules import floor_zero, half_even
 from demandmill.operators.models import NativeModel, PythonModel
 from demandmill.operators.series import SERIES, dates_of, values_of
-
-# The package's own models travel with the task, so executors need not have it installed.
-cloudpickle.register_pickle_by_value(demandmill)
+from demandmill.shipping import ship_package
 
 EXPORT_LABEL = "Custom Stat"
 
@@ -83,6 +78,7 @@ def test_set_forecasts_python(
     Each (item, origin) row carries its own training prefix, so the work spreads over rows and not
     only over items. ``partitions`` sets the number of tasks where fitting, not data size, decides.
     """
+    ship_package(series.sparkSession)
     step = lead_time + 1
     n = F.col("Origin")
     rows = origins(series, months, lead_time).select(
@@ -125,6 +121,7 @@ def model_forecasts(
     One row per item goes in, so batches of items are fitted where they already are; no grouping
     shuffle is needed.
     """
+    ship_package(series.sparkSession)
     rows = series.select(
         "SKU", values_of().alias("Train"), F.element_at(dates_of(), -1).alias("Last_Month")
     )

@@ -1,4 +1,4 @@
-"""Session for tests and the bench.
+"""Session for tests and the bench, and the folder that a cluster shares.
 
 On a cluster the caller passes its own session; nothing in the library creates one.
 """
@@ -10,6 +10,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
 
 def local_session(cpus: int | str = 8, app: str = "demandmill") -> SparkSession:
     """A local session with the settings the library is tested with."""
@@ -34,13 +36,20 @@ def local_session(cpus: int | str = 8, app: str = "demandmill") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate tables.
+    """Folder for written intermediate tables, named by ``spark.checkpoint.dir``.
 
-    The cluster names a folder every executor sees in ``spark.checkpoint.dir``; only where that
-    is unset (tests, local runs) a machine-local folder is made.
+    Every executor must see it, so a cluster without the setting is an error. Only a session whose
+    executors are threads of the driver (``local``, ``local[n]``) is given a folder of this machine,
+    one per session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return root if root else tempfile.mkdtemp(prefix="demandmill-")
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if root:
+        return root
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor sees")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="demandmill-"))
+    return context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -48,7 +57,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     A reliable checkpoint: it is read again after an executor is lost.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

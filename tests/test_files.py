@@ -147,10 +147,20 @@ def test_stream_of_reports(spark, tmp_path):
     assert (r.Date, r["5_Stars"]) == (dt.date(2019, 6, 1), 7)
 
 
+class Cluster:
+    """A session of a cluster without the setting."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
 def test_shared_folder(spark):
-    """The cluster's folder where it names one."""
+    """The cluster's folder where it names one; never a folder of one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert session.shared_dir(spark) == named
-    else:
-        assert session.shared_dir(spark) != session.shared_dir(spark)
+    assert session.shared_dir(spark) == (named or session.shared_dir(spark))
+    with pytest.raises(ValueError):
+        session.shared_dir(Cluster)
