@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandmill.llm import exact_dedup, language_id, mixing, pieces, simhash
+from demandmill.llm import (
+    chat,
+    exact_dedup,
+    fingerprints,
+    language_id,
+    licenses,
+    mixing,
+    pieces,
+    secrets,
+    simhash,
+)
 from demandmill.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +31,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+#: Conversation -7: control strings inside texts.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema
+    )
+    return chat.read_back(chat.format_chats(rows.unionByName(extra)))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -44,6 +70,33 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: the best match (highest score, then name, then place) and all matches."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs).drop("text")
+    best = F.array_max(
+        F.transform(
+            "licenses",
+            lambda m: F.struct(m["dice"].alias("dice"), (-m["first_word"]).alias("at"), m["template"].alias("template")),
+        )
+    )
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_matches"),
+        best["template"].alias("license"),
+        best["dice"].alias("dice"),
+        F.concat_ws(
+            ",",
+            F.transform(
+                "licenses",
+                lambda m: F.concat_ws(
+                    ":", m["template"], m["first_word"].cast("string"), m["end_word"].cast("string")
+                ),
+            ),
+        ).alias("matches"),
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select(
@@ -52,12 +105,31 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan_secrets(docs)
+    base = F.filter("spans", lambda s: s["layer"] == 0)
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.withColumn("base", base).select(
+        "doc_id", *[count(kind) for kind, *_ in secrets.KINDS],
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"), "complete",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_chat": op2_chat,
+    "op3_fingerprints": op3_fingerprints,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language_id": op6_language_id,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
