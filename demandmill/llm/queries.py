@@ -14,6 +14,7 @@ from demandmill.llm import (
     fingerprints,
     language_id,
     licenses,
+    lm_score,
     mixing,
     pieces,
     secrets,
@@ -47,6 +48,12 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = lm_score.score(docs, fold("doc_id", 10) != 0)
+    return scored.withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -124,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
     "op3_fingerprints": op3_fingerprints,
+    "op4_lm_score": op4_lm_score,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language_id": op6_language_id,
     "op7_sentencepiece": op7_sentencepiece,
