@@ -146,7 +146,6 @@ INVENTORY = Layout(
 MONTHLY_LAYOUTS = {x.name: x for x in (SALES, SHIPPED, TRAFFIC, INVENTORY_HEALTH, REVIEWS)}
 
 # Shape of the weekly file.
-WEEKLY_FILE_WIDTH = 134
 WEEKS = 26
 MEASURES = {"Mean_Fcst": "Mean", "P70_Fcst": "P70", "P80_Fcst": "P80", "P90_Fcst": "P90"}
 

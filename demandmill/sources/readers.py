@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +12,7 @@ from pyspark.sql import types as T
 from demandmill.functions.dates import month_number
 from demandmill.functions.rules import col
 from demandmill.functions.text import without_nul
-from demandmill.sources.layouts import WEEKLY_FILE_WIDTH, Layout
+from demandmill.sources.layouts import Layout
 
 PATH = "Source_File"
 
@@ -26,29 +29,76 @@ def _csv(spark: SparkSession):
 
 def file_path() -> Column:
     """Decoded path of the row's file."""
-    return F.coalesce(F.try_url_decode(F.col("_metadata.file_path")), F.col("_metadata.file_path"))
+    path = F.col("_metadata.file_path")
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def headers(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """Every file with its column names: one row per file reaches the driver."""
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0")
+    first = (
+        lines.select(file_path().alias(PATH), "value", F.monotonically_increasing_id().alias("n"))
+        .groupBy(PATH)
+        .agg(F.min_by("value", "n").alias("line"))
+    )
+    found = [(r[PATH], next(csv.reader([r.line.lstrip("\ufeff").removeprefix("ï»¿")]), [])) for r in first.collect()]
+    return sorted((path, tuple(n.strip() for n in names)) for path, names in found)
+
+
+def _by_position(spark: SparkSession, paths: str | list[str], width: int) -> DataFrame:
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    return _csv(spark).schema(schema).csv(paths)
 
 
 def read_report(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
-    """Report CSVs: columns by position, all text, plus the file path."""
+    """Report CSVs: columns by position, all text, plus the file path.
+
+    Positions mean the same only under one header: files whose headers differ (but for case), or have
+    not as many columns as the layout, are an error.
+    """
+    found = headers(spark, paths)
+    kinds = {tuple(n.lower() for n in names) for _, names in found}
+    if len(kinds) > 1:
+        raise ValueError(f"report files have {len(kinds)} different headers: {[p for p, _ in found]}")
+    if kinds and len(next(iter(kinds))) != len(layout.columns):
+        raise ValueError(f"{len(layout.columns)} columns expected, found {len(next(iter(kinds)))}")
     raw = _csv(spark).schema(layout.raw_schema()).csv(paths)
     return raw.select("*", file_path().alias(PATH))
 
 
 def read_weekly(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Weekly planning CSVs: first 134 columns, names from the header, all text."""
-    raw = _csv(spark).csv(paths)
-    names = raw.columns[:WEEKLY_FILE_WIDTH]
-    return raw.select(
-        *[without_nul(F.col(f"`{c}`")).alias(n) for c, n in zip(names, weekly_names(names))],
-        file_path().alias(PATH),
-    )
+    """Weekly planning CSVs: all columns, each file's by the names in its own header, all text.
+
+    Files may order their columns differently; they must have the same ones, else it is an error.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in headers(spark, paths):
+        groups.setdefault(tuple(weekly_names(list(names))), []).append(path)
+    if not groups:
+        raise ValueError("no weekly file with a header")
+    first = next(iter(groups))
+    for names, files in groups.items():
+        if set(names) != set(first) or len(set(names)) != len(names):
+            odd = sorted(set(names) ^ set(first)) or "repeated names"
+            raise ValueError(f"columns of {files} do not match the other files: {odd}")
+    parts = [
+        _by_position(spark, files, len(names)).select(
+            *[without_nul(F.col(f"c{i}")).alias(n) for i, n in enumerate(names)],
+            file_path().alias(PATH),
+        )
+        for names, files in groups.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def weekly_names(header: list[str]) -> list[str]:
-    """Header with the byte-order mark removed and the third column named like other files."""
+    """Header with the byte-order mark removed and the item's title named like in other files.
+
+    The title is the third column, unless one has that name already.
+    """
     names = [c.lstrip("﻿").removeprefix("ï»¿") for c in header]
-    names[2] = "Product_Title"
+    if "Product_Title" not in names:
+        names[2] = "Product_Title"
     return names
 
 
@@ -66,19 +116,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def base_name(path: Column | str) -> Column:
+    """File name without its folders."""
+    return F.substring_index(col(path), "/", -1)
+
+
 def date_in_name(path: Column | str) -> Column:
-    """Date of a weekly file: ``MM_DD_YYYY`` in front of a four-character extension."""
-    return F.try_to_date(F.regexp_extract(col(path), r"(\d{2}_\d{2}_\d{4}).{4}$", 1), "MM_dd_yyyy")
+    """Date of a weekly file: ``MM_DD_YYYY`` right before a four-character ending like ``.csv``."""
+    name = base_name(path)
+    text = F.substr(name, F.length(name) - 13, F.lit(10))
+    return F.try_to_date(F.when(F.length(name) >= 14, text), "MM_dd_yyyy")
 
 
 def month_in_name(path: Column | str) -> Column:
-    """Month name of a monthly file: the letters after ``UPC_`` and before the next ``_``."""
-    return F.regexp_extract(col(path), r"(?<=UPC_)([A-z]*)(?=_)", 1)
+    """Month name of a monthly file: what stands between ``UPC_`` and the next ``_``; NULL if absent.
+
+    The mark counts where it comes first; only letters make a month name.
+    """
+    after = F.split_part(base_name(path), F.lit("UPC_"), F.lit(2))
+    month = F.when(F.contains(after, F.lit("_")), F.substring_index(after, "_", 1))
+    return F.when(month.rlike("^[A-Za-z]+$"), month)
 
 
 def year_in_name(path: Column | str) -> Column:
-    """Year of a monthly file: the first run of four digits."""
-    return F.regexp_extract(col(path), r"([0-9]{4})", 1)
+    """Year of a monthly file: the first four digits in a row of its name; NULL if there are none."""
+    return F.regexp_substr(base_name(path), F.lit("[0-9]{4}"))
 
 
 def month_columns(path: Column | str) -> dict[str, Column]:

@@ -47,7 +47,7 @@ def weekly_file(path, asin, value, extra=()):
 def test_weekly_file(spark, tmp_path):
     weekly_file(tmp_path / "Weekly_04_13_2020.csv", "B1", "1,400")
     raw = readers.read_weekly(spark, str(tmp_path))
-    assert len(raw.columns) == 135 and raw.columns[:3] == ["ASIN", "UPC", "Product_Title"]
+    assert len(raw.columns) == 136 and raw.columns[:3] == ["ASIN", "UPC", "Product_Title"]
     monthly = weekly.weekly_to_monthly(raw, readers.date_in_name(readers.PATH))
     got = monthly.orderBy("Month_Num").collect()
     assert [(r.Month, r.Mean_Fcst) for r in got] == [
@@ -118,33 +118,114 @@ def test_export_name(spark):
     )
 
 
-def test_stream_of_weekly_files(spark, tmp_path):
-    drop, out, state = (str(tmp_path / x) for x in ("drop", "out", "state"))
+def weekly_months(spark, out):
+    df = ingest.published_forecast(spark, out)
+    return {(r.POS_Fcst_Version_Date, r.ASIN, r.Month_Num): r.Mean_Fcst for r in df.collect()}
+
+
+def drop_folder(tmp_path):
     (tmp_path / "drop").mkdir()
+    return [str(tmp_path / x) for x in ("drop", "out", "state")]
+
+
+def test_stream_of_weekly_files(spark, tmp_path):
+    drop, out, state = drop_folder(tmp_path)
+
     def load():
-        ingest.ingest_weekly(spark, drop, HEADER, out, state).awaitTermination()
-        df = spark.read.parquet(f"{out}/forecast")
-        return {(r.POS_Fcst_Version_Date, r.Month_Num): r.Mean_Fcst for r in df.collect()}
+        ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+        return weekly_months(spark, out)
+
     weekly_file(tmp_path / "drop" / "Weekly_04_13_2020.csv", "B1", "7")
     first = load()
-    assert first[dt.date(2020, 4, 13), 5] == 31 and len(first) == 5
+    assert first[dt.date(2020, 4, 13), "B1", 5] == 31 and len(first) == 5
     weekly_file(tmp_path / "drop" / "Weekly_04_20_2020.csv", "B1", "14")
-    # a corrected file of the first version
-    weekly_file(tmp_path / "drop" / "fixed_04_13_2020.csv", "B1", "70")
+    # a corrected file of the first version, and one more item in a third
+    weekly_file(tmp_path / "drop" / "Weekly_fixed_04_13_2020.csv", "B1", "70")
+    weekly_file(tmp_path / "drop" / "Weekly_more_04_13_2020.csv", "B2", "7")
     second = load()
-    assert second[dt.date(2020, 4, 13), 5] == 310 and second[dt.date(2020, 4, 20), 5] == 62
-    assert len(second) == 10
-    assert spark.read.parquet(f"{out}/inventory").count() == 2
+    assert second[dt.date(2020, 4, 13), "B1", 5] == 310 and second[dt.date(2020, 4, 20), "B1", 5] == 62
+    assert second[dt.date(2020, 4, 13), "B2", 5] == 31 and len(second) == 15
+    assert spark.read.parquet(f"{out}/inventory").count() == 4
+    # a backlog loaded at once, and loaded twice, gives the same
+    for n, state in enumerate(["state2", "state3"]):
+        ingest.ingest_weekly(spark, drop, out + "2", str(tmp_path / state)).awaitTermination()
+        assert weekly_months(spark, out + "2") == second
+
+
+def test_a_repeated_file_counts_once(spark, tmp_path):
+    drop, out, state = drop_folder(tmp_path)
+    weekly_file(tmp_path / "drop" / "Weekly_04_13_2020.csv", "B1", "7")
+    weekly_file(tmp_path / "drop" / "Copy of Weekly_04_13_2020.csv", "B1", "7")
+    ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+    assert weekly_months(spark, out)[dt.date(2020, 4, 13), "B1", 5] == 31
+    assert ingest.published_rows(spark, f"{out}/inventory").count() == 1
+
+
+def test_undated_files_are_listed(spark, tmp_path):
+    drop, out, state = drop_folder(tmp_path)
+    for name in ("no date.csv", "Weekly_13_45_2020.csv", "Weekly_04_13_2020.csv"):
+        weekly_file(tmp_path / "drop" / name, "B1", "7")
+    ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+    assert len(weekly_months(spark, out)) == 5
+    listed = {r.Source_File.split("/")[-1] for r in spark.read.parquet(f"{out}/undated").collect()}
+    assert listed == {"no date.csv", "Weekly_13_45_2020.csv"}
+
+
+def test_columns_in_another_order(spark, tmp_path):
+    """Each file is read by its own header."""
+    weekly_file(tmp_path / "Weekly_04_13_2020.csv", "B1", "7")
+    swap = {"Mean": "P70", "P70": "Mean"}
+    other = [
+        n if " - " not in n else n.replace(n.split()[3], swap.get(n.split()[3], n.split()[3]))
+        for n in HEADER
+    ]
+    cells = ["B1", "0B1", "T", *["5"] * 13, "Core", *["70"] * 26, *["7"] * 78, *[""] * 14]
+    (tmp_path / "Weekly_04_20_2020.csv").write_text(",".join(other) + "\n" + ",".join(cells) + "\n")
+    raw = readers.read_weekly(spark, str(tmp_path))
+    monthly = weekly.weekly_to_monthly(raw, readers.date_in_name(readers.PATH))
+    got = {(r.POS_Fcst_Version_Date.day, r.Month_Num): r for r in monthly.collect()}
+    assert (got[13, 5].Mean_Fcst, got[13, 5].P70_Fcst) == (31, 31)
+    assert (got[20, 5].Mean_Fcst, got[20, 5].P70_Fcst) == (31, 310)
+
+
+def test_other_columns_are_an_error(spark, tmp_path):
+    weekly_file(tmp_path / "Weekly_04_13_2020.csv", "B1", "7")
+    (tmp_path / "Weekly_04_20_2020.csv").write_text(",".join(HEADER[:-1] + ["odd"]) + "\nB1\n")
+    with pytest.raises(ValueError, match="odd"):
+        readers.read_weekly(spark, str(tmp_path))
+
+
+def test_reports_under_different_headers_are_an_error(spark, tmp_path):
+    head = [f"c{i}" for i in range(14)]
+    (tmp_path / "R UPC_June_2019.csv").write_text(",".join(head) + "\n")
+    (tmp_path / "R UPC_May_2019.csv").write_text(",".join(head[::-1]) + "\n")
+    with pytest.raises(ValueError, match="different headers"):
+        readers.read_report(spark, str(tmp_path), layouts.REVIEWS)
 
 
 def test_stream_of_reports(spark, tmp_path):
-    drop, out, state = (str(tmp_path / x) for x in ("drop", "out", "state"))
-    (tmp_path / "drop").mkdir()
+    """Two files of one month in two runs: both stay."""
+    drop, out, state = drop_folder(tmp_path)
     head = ",".join(f"c{i}" for i in range(14))
-    (tmp_path / "drop" / "R UPC_June_2019.csv").write_text(f"{head}\nB,0,T,{','.join('7' * 11)}\n")
-    ingest.ingest_reports(spark, drop, layouts.REVIEWS, out, state).awaitTermination()
-    r = spark.read.parquet(out).first()
-    assert (r.Date, r["5_Stars"]) == (dt.date(2019, 6, 1), 7)
+    for name, asin in (("R US UPC_June_2019.csv", "B"), ("R CA UPC_June_2019.csv", "C"), ("R.csv", "D")):
+        (tmp_path / "drop" / name).write_text(f"{head}\n{asin},0,T,{','.join('7' * 11)}\n")
+        ingest.ingest_reports(spark, drop, layouts.REVIEWS, out, state).awaitTermination()
+    rows = ingest.published_rows(spark, f"{out}/reports").collect()
+    assert sorted((r.ASIN, r.Date, r["5_Stars"]) for r in rows) == [
+        ("B", dt.date(2019, 6, 1), 7), ("C", dt.date(2019, 6, 1), 7),
+    ]
+
+
+def test_dates_come_from_the_file_name(spark):
+    paths = [
+        "/lake/2019/UPC_May_/Report With UPC_June_2020.csv", "/lake/2019/Report.csv", "/x/UPC_9_2020.csv",
+        "/lake/04_13_2020.csv/part",
+    ]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = df.select(readers.month_in_name("p"), readers.year_in_name("p"), readers.date_in_name("p")).collect()
+    assert [tuple(r) for r in got] == [
+        ("June", "2020", None), (None, None, None), (None, "2020", None), (None, None, None),
+    ]
 
 
 class Cluster:
