@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Wide enough for money sums, and exact, so a sum does not depend on the order of partitions.
-EXACT = "decimal(18,4)"
+# Exact, so a sum does not depend on the order of partitions; ten places, as in ``TIE``.
+EXACT = "decimal(28,10)"
 # Scale at which binary noise is removed before a tie is decided.
 TIE = "decimal(38,10)"
 
@@ -32,14 +32,14 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def total(x: Column | str) -> Column:
-    """Sum over the values that are known; 0 when none is."""
-    return F.coalesce(F.sum(col(x)), F.lit(0.0))
+def exact_sum(x: Column | str) -> Column:
+    """Decimal sum, equal whatever the partitioning; NULL when no value is known."""
+    return F.sum(col(x).cast(EXACT))
 
 
 def exact_total(x: Column | str) -> Column:
-    """``total`` added up in decimals: equal whatever the partitioning."""
-    return F.coalesce(F.sum(col(x).cast(EXACT)).cast("double"), F.lit(0.0))
+    """``exact_sum`` as a number; 0 when no value is known."""
+    return F.coalesce(exact_sum(x).cast("double"), F.lit(0.0))
 
 
 def strict_sum(x: Column | str) -> Column:

@@ -148,6 +148,29 @@ def model_forecasts(
     )
 
 
+def model_forecasts_native(
+    series: DataFrame, models: dict[str, NativeModel], horizon: int
+) -> DataFrame:
+    """The same table for native models: columns over the item's array, without a shuffle."""
+    values, n = values_of(), F.size(SERIES)
+    forecasts = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("Model"),
+                F.lit(step).alias("Horizon"),
+                F.nanvl(model(values, n, step), F.lit(None).cast("double")).alias("Forecast"),
+            )
+            for name, model in models.items()
+            for step in range(1, horizon + 1)
+        ]
+    )
+    last = F.element_at(dates_of(), -1)
+    return series.select("SKU", last.alias("__last"), F.inline(forecasts)).select(
+        "SKU", "Model", "Horizon",
+        F.add_months("__last", F.col("Horizon")).alias("Target_Month"), "Forecast",
+    )
+
+
 def forecast_export(
     forecasts: DataFrame, model: str, last_history_month, horizon: int
 ) -> DataFrame:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandmill.functions.rules import clamped_accuracy, if_known, match_join, paste, percent, total
+from demandmill.functions.rules import (
+    clamped_accuracy,
+    exact_sum,
+    exact_total,
+    if_known,
+    match_join,
+    paste,
+    percent,
+)
 from demandmill.operators.ranking import top_n_with_ties
 
 # Categories of each division; any other category is GOL.
@@ -39,11 +47,11 @@ def hierarchy_accuracy(base: DataFrame) -> DataFrame:
     """
     keys = [F.col(c) for c in LEVELS]
     small = own_leadtime_rows(base).groupBy(*keys).agg(
-        total("Mean_ABS_Error").alias("e"), total("Shipped_Units").alias("s")
+        exact_sum("Mean_ABS_Error").alias("e"), exact_sum("Shipped_Units").alias("s")
     )
     sets = small.groupingSets([[k] for k in keys], *keys).agg(
-        F.sum("e").alias("Mean_ABS_Error"),
-        F.sum("s").alias("Shipped_Units"),
+        exact_total("e").alias("Mean_ABS_Error"),
+        exact_total("s").alias("Shipped_Units"),
         *[F.grouping(c).alias(f"__{c}") for c in LEVELS],
     )
     level, member = F.lit(None).cast("string"), F.lit(None).cast("string")

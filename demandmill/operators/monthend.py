@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from demandmill.functions.rules import exact_total, half_even, if_known, match_j
 from demandmill.functions.text import ALL_OTHER, ALL_OTHER_CODE
 
 VERSION = "ME_Version_Date"
+# Keys and metrics of the month-end table.
 KEYS = (
     "ME_Version_Date", "Country", "Division", "Sales_Manager", "Director", "Customer", "SRP5",
     "SRP7", "Year", "Month", "FC_Date", "Month_No", "Conversion_Rate", "Month_Year", "Key",
@@ -31,8 +34,13 @@ FORECAST_TYPES = ("BF", "LE")
 HOUSE_ACCOUNTS = ("OWN E-COMMERCE", "OPEN GOVERNMENT")
 
 
-def latest_version(df: DataFrame) -> DataFrame:
-    """Rows of the newest version, compared as dates."""
+def latest_version(df: DataFrame, version: dt.date | None = None) -> DataFrame:
+    """Rows of the newest version, compared as dates.
+
+    A caller who knows it names it: then one filter, which reaches the scan, and no look for it.
+    """
+    if version is not None:
+        return df.where(F.col(VERSION) == F.lit(version))
     return df.where(F.col(VERSION) == df.agg(F.max(VERSION)).scalar())
 
 
@@ -73,24 +81,28 @@ def fill_unknown(df: DataFrame, keys_too: bool) -> DataFrame:
     return df.withColumns(out)
 
 
-def month_end_deltas(raw: DataFrame, deltas: DataFrame, fill_keys: bool = True) -> DataFrame:
+def month_end_deltas(
+    raw: DataFrame, deltas: DataFrame, fill_keys: bool = True, version: dt.date | None = None
+) -> DataFrame:
     """Newest deltas with their director, in the column order of the raw table."""
-    lookup = directors(latest_version(raw))
+    lookup = directors(latest_version(raw, version))
     rows = match_join(
-        with_month_year(latest_version(deltas)).drop("Director"),
+        with_month_year(latest_version(deltas, version)).drop("Director"),
         lookup,
         [("Sales_Manager", "Sales_Manager")],
     )
     return fill_unknown(rows.select(*raw.columns), fill_keys)
 
 
-def month_end_rework(raw: DataFrame, deltas: DataFrame, fill_keys: bool = True) -> DataFrame:
+def month_end_rework(
+    raw: DataFrame, deltas: DataFrame, fill_keys: bool = True, version: dt.date | None = None
+) -> DataFrame:
     """Raw table plus deltas, one row per key, with the combined column.
 
     Rows with an unknown key are dropped from the raw table; deltas keep theirs, filled.
     """
-    rows = with_month_year(latest_version(raw)).select(*raw.columns)
-    union = rows.unionByName(month_end_deltas(raw, deltas, fill_keys))
+    rows = with_month_year(latest_version(raw, version)).select(*raw.columns)
+    union = rows.unionByName(month_end_deltas(raw, deltas, fill_keys, version))
     sums = union.dropna(subset=list(KEYS)).groupBy(*KEYS).agg(
         *[exact_total(m).alias(m) for m in METRICS]
     )
@@ -98,15 +110,16 @@ def month_end_rework(raw: DataFrame, deltas: DataFrame, fill_keys: bool = True)
 
 
 def month_end_rework_r(
-    raw: DataFrame, deltas: DataFrame, pooled: bool = False, fill_keys: bool = True
+    raw: DataFrame, deltas: DataFrame, pooled: bool = False, fill_keys: bool = True,
+    version: dt.date | None = None,
 ) -> DataFrame:
     """The form without directors, in which unknown keys are kept.
 
     ``pooled`` gives rows that differ in nothing but the last key one common combined value.
     """
     keys = [c for c in KEYS if c != "Director"]
-    rows = with_month_year(latest_version(raw)).drop("Director")
-    extra = with_month_year(latest_version(deltas)).select(*rows.columns)
+    rows = with_month_year(latest_version(raw, version)).drop("Director")
+    extra = with_month_year(latest_version(deltas, version)).select(*rows.columns)
     union = rows.unionByName(fill_unknown(extra, fill_keys))
     sums = union.groupBy(*keys).agg(*[exact_total(m).alias(m) for m in METRICS])
     both = F.col("Actl_TP_Fcst") + F.col("Delta")
@@ -156,12 +169,15 @@ def variance_top_n(
     )
 
 
-def forecast_snapshot(month_end: DataFrame, history: DataFrame) -> DataFrame:
+def forecast_snapshot(
+    month_end: DataFrame, history: DataFrame, version: dt.date | None = None
+) -> DataFrame:
     """Future months of the current version as BF and LE, after the past months of this year.
 
-    Column order and types follow the snapshot history.
+    Column order and types follow the snapshot history. A named version saves running the month end a
+    second time for its date.
     """
-    version = month_end.agg(F.max(VERSION)).scalar()
+    version = month_end.agg(F.max(VERSION)).scalar() if version is None else F.lit(version)
     keys = ["Customer", "Division", "Country", "Sales_Manager", "Month_No", "Year"]
     future = month_end.where(F.col("FC_Date") > F.col(VERSION)).groupBy(*keys).agg(
         half_even(exact_total(COMBINED)).alias("Forecast_Plus_Delta")

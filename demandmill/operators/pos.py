@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from demandmill.functions.dates import month_lag, month_short, trailing_year
 from demandmill.functions.rules import (
     accuracy,
+    exact_sum,
+    exact_total,
     if_known,
     match_join,
     percent,
     ratio,
-    total,
 )
 
 # File days that count as a month's second week, and the lag left out.
@@ -104,20 +105,15 @@ def view_totals(base: DataFrame, keys: list[str]) -> DataFrame:
     A row can be in two views. Rows are first summed per lag and lead-time flag, so the copy per
     view is made of a few totals instead of the rows: one pass and one small shuffle for all views.
     """
-    sums = {
-        "Mean_Fcst": total("Mean_Fcst"),
-        "Mean_ABS_Error": total("Mean_ABS_Error"),
-        "Shipped_Units": total("Shipped_Units"),
-        **{f"{q}_Below": total(f"{q}_Below") for q in QUANTILES},
-    }
+    sums = ["Mean_Fcst", "Mean_ABS_Error", "Shipped_Units", *[f"{q}_Below" for q in QUANTILES]]
     small = base.groupBy(*keys, "Lag", "Our_LT").agg(
-        *[c.alias(n) for n, c in sums.items()], F.count(F.lit(1)).alias("Num_SKUs")
+        *[exact_sum(n).alias(n) for n in sums], F.count(F.lit(1)).alias("Num_SKUs")
     )
     views = [F.when(F.col("Lag") == n, F.lit(f"Lag_{n}")) for n in LAGS]
     views.append(F.when(F.col("Our_LT"), F.lit("Our_LT")))
     tagged = small.withColumn("View", F.explode(F.array_compact(F.array(*views))))
     return tagged.groupBy("View", *keys).agg(
-        *[F.sum(n).alias(n) for n in sums], F.sum("Num_SKUs").alias("Num_SKUs")
+        *[exact_total(n).alias(n) for n in sums], F.sum("Num_SKUs").alias("Num_SKUs")
     )
 
 
@@ -172,8 +168,8 @@ def accuracy_by_segment(base: DataFrame) -> DataFrame:
     t = view_totals(base, ["DEMAND_CAT_CU", "ABC_REV_ITM_CU"])
     view, demand, abc = F.col("View"), F.col("DEMAND_CAT_CU"), F.col("ABC_REV_ITM_CU")
     g = t.groupingSets([[view, demand], [view, abc]], view, demand, abc).agg(
-        F.sum("Mean_ABS_Error").alias("e"),
-        F.sum("Shipped_Units").alias("s"),
+        exact_total("Mean_ABS_Error").alias("e"),
+        exact_total("Shipped_Units").alias("s"),
         F.grouping("ABC_REV_ITM_CU").alias("by_demand"),
     )
     by_demand = F.col("by_demand") == 1

@@ -18,9 +18,7 @@ TEST_SET = "_Test_Set"
 
 SALES, STAT, TEST = "Sales", "Stat", "Test"
 KINDS = (SALES, STAT, TEST)
-
-# Nested rows per array before the detail of an item is split over several output rows.
-DETAIL_PART = 100_000
+DETAIL_KEYS = ("SKU", "Model", "Month_Year", "Kind")
 
 
 def accuracy_data(
@@ -57,8 +55,9 @@ def scoring_rows(test_set: DataFrame, acc: DataFrame) -> DataFrame:
     """One row per item, model, month and kind of forecast, with errors and accuracies.
 
     Items without any accuracy data are left out; a month without it keeps its row with unknown
-    errors.
+    errors. The accuracy data, itself a join, is written once: it tells known items and gives values.
     """
+    acc = checkpointed(acc)
     test = test_set.select(
         "SKU", "Model", F.col("Month").alias("Month_Year"), F.col("Forecast").alias("Test_Units")
     )
@@ -205,24 +204,15 @@ def excluded_skus(test_set: DataFrame, acc: DataFrame) -> DataFrame:
     return test_set.select("SKU").subtract(acc.select("SKU"))
 
 
-def sku_detail_nested(rows: DataFrame, part: int = DETAIL_PART) -> DataFrame:
-    """All scored rows of an item and model as one array; ``Copies`` counts equal rows.
+def sku_detail_nested(rows: DataFrame) -> DataFrame:
+    """All scored rows of an item, model, month and kind as one array; ``Copies`` counts equal rows.
 
-    Lookup copies can make an item's detail as long as the table. Equal rows are counted before
-    anything is collected, and an item that still has more than ``part`` rows is spread over several
-    output rows by a hash of the row, so no array outgrows a task. Others have the single part 0.
+    Lookup copies can repeat a row any number of times. Equal rows are counted before anything is
+    collected, so an array holds only the different rows of one cell.
     """
     counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("Copies"))
-    details = [c for c in counted.columns if c not in ("SKU", "Model")]
-    large = (
-        counted.groupBy("SKU", "Model")
-        .agg(F.ceil(F.sum("Copies") / part).alias("__parts"))
-        .where(F.col("__parts") > 1)
-    )
-    spread = match_join(counted, large, [("SKU", "SKU"), ("Model", "Model")]).withColumn(
-        "Part", F.pmod(F.xxhash64(*details), F.coalesce("__parts", F.lit(1)))
-    )
-    return spread.groupBy("SKU", "Model", "Part").agg(
+    details = [c for c in counted.columns if c not in DETAIL_KEYS]
+    return counted.groupBy(*DETAIL_KEYS).agg(
         F.array_sort(F.collect_list(F.struct(*details))).alias("Detail")
     )
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandmill.functions import dates, text
-from demandmill.functions.rules import strict_sum
+from demandmill.functions.rules import exact_total, half_even, strict_sum
 from demandmill.operators import (
     backtest,
     harmonise,
@@ -29,14 +30,13 @@ from demandmill.operators import (
     series,
     weekly,
 )
-from demandmill.plans import inputs
+from demandmill.plans import files, inputs
 from demandmill.session import shared_dir
 from demandmill.sources import layouts, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODELS = ["naive", "seasonal_naive", "moving_avg"]
-PYTHON_MODELS = {n: models.PYTHON_MODELS[n] for n in MODELS}
+MODELS = list(models.NATIVE_MODELS)
 TEST_MONTHS, LEAD_TIME, HORIZON = 3, 3, 6
 SCORED = ("CUST N", ["GOL", "SOC"], "USA")
 TEST_LABELS = [dates.label_of(m) for m in inputs.MONTHS[-TEST_MONTHS:]]
@@ -183,12 +183,13 @@ def _append(spark: SparkSession, sf: str) -> DataFrame:
 def _month_end(spark: SparkSession, sf: str, version: dt.date = inputs.THIS_VERSION) -> DataFrame:
     raw = inputs.at_version(inputs.month_end_raw(spark, sf), version)
     deltas = inputs.at_version(inputs.month_end_deltas(spark, sf), version)
-    return monthend.month_end_rework(raw, deltas)
+    return monthend.month_end_rework(raw, deltas, version=version)
 
 
 def _month_end_r(spark: SparkSession, sf: str, pooled: bool = False) -> DataFrame:
     return monthend.month_end_rework_r(
-        inputs.month_end_raw(spark, sf), inputs.month_end_deltas(spark, sf), pooled
+        inputs.month_end_raw(spark, sf), inputs.month_end_deltas(spark, sf), pooled,
+        version=inputs.THIS_VERSION,
     )
 
 
@@ -201,23 +202,53 @@ def _variance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Publish the month end, then read the exported current table back."""
+def _published(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
+    """Month ends of two versions published one after the other; their folder and column types."""
     root = f"{shared_dir(spark)}/month-end-{uuid.uuid4().hex}"
     raw, deltas = inputs.month_end_raw(spark, sf), inputs.month_end_deltas(spark, sf)
-    sinks.publish_month_end(
-        monthend.month_end_rework(raw, deltas),
-        monthend.month_end_deltas(raw, deltas),
-        root,
-        inputs.THIS_VERSION,
-    )
+    for version in (inputs.LAST_VERSION, inputs.THIS_VERSION):
+        sinks.publish_month_end(
+            monthend.month_end_rework(raw, deltas, version=version),
+            monthend.month_end_deltas(raw, deltas, version=version),
+            root,
+            version,
+        )
     fields = {f.name: f for f in layouts.MONTH_END.fields}
     schema = T.StructType(
         [fields.get(c, T.StructField(c, T.DoubleType())) for c in monthend.PUBLISHED]
     )
+    return root, schema
+
+
+def _roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Publish the month end, then read the exported current table back."""
+    root, schema = _published(spark, sf)
     return readers.read_typed_csv(spark, f"{root}/current_csv", schema, "MM/dd/yyyy")
 
 
+def _outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """All five published outputs read back: rows and sums of each."""
+    root, schema = _published(spark, sf)
+    part = T.StructType([f for f in schema.fields if f.name != monthend.COMBINED])
+    tables = {
+        "deltas": spark.read.parquet(f"{root}/deltas").where(
+            F.col(monthend.VERSION) == F.lit(inputs.THIS_VERSION)
+        ),
+        "monthly": sinks.published_month(spark, root, inputs.THIS_VERSION),
+        "current": readers.read_typed_csv(spark, f"{root}/current_csv", schema, "MM/dd/yyyy"),
+        "last_month": readers.read_typed_csv(spark, f"{root}/last_month_csv", part, "MM/dd/yyyy"),
+        "previous": readers.read_typed_csv(spark, f"{root}/previous_month_csv", schema, "MM/dd/yyyy"),
+    }
+    counted = [
+        df.agg(
+            F.count(F.lit(1)).alias("n"), F.max(monthend.VERSION).alias("version"),
+            *[half_even(exact_total(m), 2).alias(m) for m in ("Shipments", "Forecast", "Delta")],
+        ).select(F.lit(name).alias("output"), "*")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def _previous_month(spark: SparkSession, sf: str) -> DataFrame:
     """Order value of every month beside the month before it, with both export names."""
     monthly = (
@@ -282,12 +313,17 @@ def _backtest(name: str) -> Query:
 
 
 def _forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    return backtest.model_forecasts(_series(spark, sf), PYTHON_MODELS, HORIZON)
+    return backtest.model_forecasts(_series(spark, sf), models.PYTHON_MODELS, HORIZON)
+
+
+def _native_forecasts(spark: SparkSession, sf: str, names: list[str] = MODELS) -> DataFrame:
+    chosen = {n: models.NATIVE_MODELS[n] for n in names}
+    return backtest.model_forecasts_native(_series(spark, sf), chosen, HORIZON)
 
 
 def _backtest_python(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.test_set_forecasts_python(
-        _series(spark, sf), PYTHON_MODELS, TEST_MONTHS, LEAD_TIME
+        _series(spark, sf), models.PYTHON_MODELS, TEST_MONTHS, LEAD_TIME
     )
 
 
@@ -310,7 +346,7 @@ def _detail(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = F.aggregate("Detail", F.lit(0).cast("bigint"), lambda acc, d: acc + d["Copies"])
     return scoring.sku_detail_nested(_scored(spark, sf)).select(
-        "SKU", "Model", "Part", rows.alias("n_rows"), cost.alias("abs_error_cost")
+        *scoring.DETAIL_KEYS, rows.alias("n_rows"), cost.alias("abs_error_cost")
     )
 
 
@@ -333,16 +369,23 @@ QUERIES: dict[str, Query] = {
     "file_metadata": lambda s, d: shown(_file_metadata(s, d)),
     "weekly_to_monthly": lambda s, d: shown(weekly.forecasts_long(_weekly(s, d))),
     "strict_sum": _strict,
+    "ingest_reports_two_runs": lambda s, d: shown(files.reports_in_two_runs(s, d)),
+    "ingest_weekly_day_by_day": lambda s, d: shown(files.weekly_day_by_day(s, d)),
+    "ingest_weekly_backlog": lambda s, d: shown(files.weekly_backlog(s, d)),
     "forecast_measures_wide": lambda s, d: shown(_measures(s, d)),
     "append_unique": lambda s, d: shown(_append(s, d)),
     "write_read_roundtrip": lambda s, d: shown(_roundtrip(s, d)),
+    "published_outputs": lambda s, d: shown(_outputs(s, d)),
+    "snapshot_export": lambda s, d: monthend.snapshot_export(
+        monthend.forecast_snapshot(_month_end(s, d), inputs.snapshot_history(s, d), inputs.THIS_VERSION)
+    ),
     "previous_month_partition": lambda s, d: shown(_previous_month(s, d)),
     "month_end_rework": lambda s, d: shown(_month_end(s, d)),
     "month_end_rework_r": lambda s, d: shown(_month_end_r(s, d)),
     "month_end_rework_r_pooled": lambda s, d: shown(_month_end_r(s, d, pooled=True)),
     "month_over_month_top10": _variance,
     "forecast_snapshot": lambda s, d: monthend.forecast_snapshot(
-        _month_end(s, d), inputs.snapshot_history(s, d)
+        _month_end(s, d), inputs.snapshot_history(s, d), inputs.THIS_VERSION
     ),
     "harmonise_accuracy": _harmonised,
     "error_metrics": lambda s, d: harmonise.error_metrics(_harmonised(s, d)),
@@ -353,6 +396,7 @@ QUERIES: dict[str, Query] = {
     **{f"backtest_{n}": _backtest(n) for n in models.NATIVE_MODELS},
     "backtest_python": lambda s, d: shown(_backtest_python(s, d)),
     "model_forecasts": lambda s, d: shown(_forecasts(s, d)),
+    "model_forecasts_native": lambda s, d: shown(_native_forecasts(s, d)),
     "accuracy_base": _accuracy,
     "scoring_rows": _scored,
     "scoring_sku_totals": lambda s, d: scoring.sku_totals(_scored(s, d)),
@@ -363,6 +407,6 @@ QUERIES: dict[str, Query] = {
     "excluded_skus": lambda s, d: scoring.excluded_skus(_test_set(s, d), _accuracy(s, d)),
     "sku_detail_nested": _detail,
     "forecast_export_wide": lambda s, d: backtest.forecast_export(
-        _forecasts(s, d), "moving_avg", inputs.LAST_MONTH, HORIZON
+        _native_forecasts(s, d, ["moving_avg"]), "moving_avg", inputs.LAST_MONTH, HORIZON
     ),
 }

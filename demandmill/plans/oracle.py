@@ -441,6 +441,10 @@ def manager_sql(me: str) -> str:
   GROUP BY manager"""
 
 
+def exact2(name: str) -> str:
+    return rnd(f"sum(CAST({name} AS DECIMAL(28,10)))", 2)
+
+
 MONTH_END: dict[str, str] = {
     "month_end_rework": REWORKED,
     "write_read_roundtrip": REWORKED,
@@ -479,6 +483,23 @@ SELECT customer AS "Customer", division AS "Division", country AS "Country",
        manager AS "Sales_Manager", m AS "Month_No", y AS "Year", t AS "Forecast_Type",
        x AS "Forecast_Plus_Delta"
 FROM both_parts, (VALUES ('BF'), ('LE')) AS types(t)""",
+    "published_outputs": f"""WITH {ORDER_ROWS}, {month_end_sql(THIS, "me", False)},
+{month_end_sql(LAST, "prev", False)},
+delta_rows AS (
+  SELECT CAST(v * CASE srp5 WHEN '1-URGENT' THEN 0.02 ELSE -0.01 END AS DOUBLE) AS delta
+  FROM grouped WHERE srp5 IN ('1-URGENT', '2-HIGH')),
+sums AS (
+  SELECT '{THIS}' AS version, count(*) AS n, {exact2("ship")} AS s, {exact2("fcst")} AS f,
+         {exact2("delta")} AS d
+  FROM me),
+before AS (
+  SELECT '{LAST}' AS version, count(*) AS n, {exact2("ship")} AS s, {exact2("fcst")} AS f,
+         {exact2("delta")} AS d
+  FROM prev)
+SELECT o AS output, n, version, s AS "Shipments", f AS "Forecast", d AS "Delta"
+FROM sums, (VALUES ('monthly'), ('current'), ('last_month')) AS names(o)
+UNION ALL SELECT 'previous', n, version, s, f, d FROM before
+UNION ALL SELECT 'deltas', count(*), '{THIS}', 0, 0, {exact2("delta")} FROM delta_rows""",
     "previous_month_partition": """WITH m AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
@@ -568,37 +589,30 @@ dense AS (
   LEFT JOIN sku_month m ON m.key = k.key AND m.month = c.month)"""
 )
 
-# Test months are calendar positions 80, 81 and 82; the last training point is four before.
-BACKTESTS = f"""targets AS (
-  SELECT t.key, t.i, t.month, n.y AS naive, s.y AS seasonal,
-         (n.y + n1.y + n2.y) / 3.0 AS average
-  FROM dense t
-  JOIN dense n ON n.key = t.key AND n.i = t.i - 4
-  JOIN dense n1 ON n1.key = t.key AND n1.i = t.i - 5
-  JOIN dense n2 ON n2.key = t.key AND n2.i = t.i - 6
-  JOIN dense s ON s.key = t.key AND s.i = t.i - 12
-  WHERE t.i >= 80),
+# Test months are calendar positions 80, 81 and 82; the last training point is four before. Drift is
+# the line through the first and last training point, the level a running one.
+BACKTESTS = f"""lags AS (
+  SELECT key, i, month, lag(y, 4) OVER w AS naive, lag(y, 12) OVER w AS seasonal,
+         (lag(y, 4) OVER w + lag(y, 5) OVER w + lag(y, 6) OVER w) / 3.0 AS average,
+         lag(y, 4) OVER w + (lag(y, 4) OVER w - first_value(y) OVER w) * 4 / (i - 4) AS drift
+  FROM dense WINDOW w AS (PARTITION BY key ORDER BY i)),
+targets AS (SELECT * FROM lags WHERE i >= 80),
+runs AS (
+  SELECT key, list(y ORDER BY i) AS ys FROM dense GROUP BY key),
+levels AS (
+  SELECT t.key, t.i, t.month,
+         list_reduce(ys[1:t.i - 3], lambda level, y: y * 0.5 + level * 0.5) AS level
+  FROM targets t JOIN runs USING (key)),
 test_set AS (
   SELECT 'S' || key AS sku, 'naive' AS model, i, month, {rnd("naive")} AS x FROM targets
   UNION ALL SELECT 'S' || key, 'seasonal_naive', i, month, {rnd("seasonal")} FROM targets
-  UNION ALL SELECT 'S' || key, 'moving_avg', i, month, {rnd("average")} FROM targets)"""
-
-# The same targets from the line through the first and last point, and from a running level.
-TRENDS = f"""runs AS (
-  SELECT t.key, t.i, t.month, list(h.y ORDER BY h.i) AS ys
-  FROM dense t JOIN dense h ON h.key = t.key AND h.i <= t.i - 4
-  WHERE t.i >= 80 GROUP BY ALL),
-trends AS (
-  SELECT key, i, month, ys[-1] + (ys[-1] - ys[1]) * 4 / (len(ys) - 1) AS drift,
-         list_reduce(ys, lambda level, y: y * 0.5 + level * 0.5) AS level
-  FROM runs),
-test_set AS (
-  SELECT 'S' || key AS sku, 'drift' AS model, i, month, greatest({rnd("drift")}, 0) AS x FROM trends
-  UNION ALL SELECT 'S' || key, 'smoothing', i, month, {rnd("level")} FROM trends)"""
+  UNION ALL SELECT 'S' || key, 'moving_avg', i, month, {rnd("average")} FROM targets
+  UNION ALL SELECT 'S' || key, 'drift', i, month, greatest({rnd("drift")}, 0) FROM targets
+  UNION ALL SELECT 'S' || key, 'smoothing', i, month, {rnd("level")} FROM levels)"""
 
 
-def backtest_sql(where: str, test_set: str = BACKTESTS) -> str:
-    return f"""WITH {DENSE}, {test_set}
+def backtest_sql(where: str) -> str:
+    return f"""WITH {DENSE}, {BACKTESTS}
 SELECT sku AS "SKU", model AS "Model", i - 3 AS "Origin", CAST(month AS VARCHAR) AS "Target_Month",
        strftime(month, '%b_%Y') AS "Month", x AS "Forecast"
 FROM test_set {where}"""
@@ -612,7 +626,14 @@ future AS (
   SELECT d.key, h, 'seasonal_naive', d.y FROM dense d JOIN steps ON d.i = 82 + h - 12
   UNION ALL
   SELECT d.key, h, 'moving_avg', x
-  FROM (SELECT key, sum(y) / 3.0 AS x FROM dense WHERE i >= 80 GROUP BY key) d, steps)"""
+  FROM (SELECT key, sum(y) / 3.0 AS x FROM dense WHERE i >= 80 GROUP BY key) d, steps
+  UNION ALL
+  SELECT b.key, h, 'drift', b.y + (b.y - a.y) * h / 82
+  FROM dense a JOIN dense b ON a.key = b.key AND a.i = 0 AND b.i = 82, steps
+  UNION ALL
+  SELECT key, h, 'smoothing', x
+  FROM (SELECT key, list_reduce(list(y ORDER BY i), lambda level, y: y * 0.5 + level * 0.5) AS x
+        FROM dense GROUP BY key) d, steps)"""
 
 ACCURACY = f"""grain AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_partkey AS key,
@@ -666,7 +687,8 @@ def _summary() -> str:
 
 
 BEST_COLUMNS = """"Sales_Acc_Cost", "Stat_Acc_Cost", "moving_avg_Test_Set_Acc_Cost",
-         "naive_Test_Set_Acc_Cost", "seasonal_naive_Test_Set_Acc_Cost\""""
+         "naive_Test_Set_Acc_Cost", "seasonal_naive_Test_Set_Acc_Cost", "drift_Test_Set_Acc_Cost",
+         "smoothing_Test_Set_Acc_Cost\""""
 
 BACKTEST: dict[str, str] = {
     "history_long": f"""WITH {DENSE}
@@ -680,8 +702,8 @@ FROM dense""",
     "backtest_naive": backtest_sql("WHERE model = 'naive'"),
     "backtest_seasonal_naive": backtest_sql("WHERE model = 'seasonal_naive'"),
     "backtest_moving_avg": backtest_sql("WHERE model = 'moving_avg'"),
-    "backtest_drift": backtest_sql("WHERE model = 'drift'", TRENDS),
-    "backtest_smoothing": backtest_sql("WHERE model = 'smoothing'", TRENDS),
+    "backtest_drift": backtest_sql("WHERE model = 'drift'"),
+    "backtest_smoothing": backtest_sql("WHERE model = 'smoothing'"),
     "backtest_python": backtest_sql(""),
     "model_forecasts": f"""WITH {DENSE}, {FUTURE}
 SELECT 'S' || key AS "SKU", model AS "Model", h AS "Horizon",
@@ -733,7 +755,10 @@ wide AS (
          max(acc) FILTER (WHERE model = 'seasonal_naive' AND kind = 'Test')
            AS "seasonal_naive_Test_Set_Acc_Cost",
          max(acc) FILTER (WHERE model = 'moving_avg' AND kind = 'Test')
-           AS "moving_avg_Test_Set_Acc_Cost"
+           AS "moving_avg_Test_Set_Acc_Cost",
+         max(acc) FILTER (WHERE model = 'drift' AND kind = 'Test') AS "drift_Test_Set_Acc_Cost",
+         max(acc) FILTER (WHERE model = 'smoothing' AND kind = 'Test')
+           AS "smoothing_Test_Set_Acc_Cost"
   FROM ranked GROUP BY sku),
 long AS (SELECT "SKU", n, a FROM wide UNPIVOT INCLUDE NULLS (a FOR n IN ({BEST_COLUMNS}))),
 best AS (
@@ -744,11 +769,19 @@ SELECT wide.*, b AS "Best_Model" FROM wide JOIN best USING ("SKU")""",
     "excluded_skus": f"""WITH {DENSE}, {ACCURACY}
 SELECT DISTINCT 'S' || key AS "SKU" FROM dense WHERE 'S' || key NOT IN (SELECT sku FROM acc)""",
     "sku_detail_nested": f"""{SCORING}
-SELECT sku AS "SKU", model AS "Model", 0 AS "Part", count(*) AS n_rows,
-       coalesce(sum(abs(oc - c)), 0) AS abs_error_cost
-FROM scored GROUP BY 1, 2""",
+SELECT sku AS "SKU", model AS "Model", strftime(month, '%b_%Y') AS "Month_Year", kind AS "Kind",
+       count(*) AS n_rows, coalesce(sum(abs(oc - c)), 0) AS abs_error_cost
+FROM scored GROUP BY 1, 2, 3, 4""",
+}
+
+BACKTEST["model_forecasts_native"] = BACKTEST["model_forecasts"]
+MONTH_END["snapshot_export"] = MONTH_END["forecast_snapshot"]
+FILES = {
+    "ingest_reports_two_runs": _reports()["clean_report_reviews"],
+    "ingest_weekly_day_by_day": WEEK["weekly_to_monthly"],
+    "ingest_weekly_backlog": WEEK["weekly_to_monthly"],
 }
 
 ORACLES: dict[str, str] = {
-    **POS, **CLEAN, **_reports(), **WEEK, **MONTH_END, **HARMONISED, **BACKTEST,
+    **POS, **CLEAN, **_reports(), **WEEK, **MONTH_END, **HARMONISED, **BACKTEST, **FILES,
 }

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandmill.functions import rules
+from demandmill.operators import pos
 
 
 def one(spark, column, **values):
@@ -79,3 +80,20 @@ def test_match_join_matches_null(spark):
     got = rules.match_join(left, right, [("k", "kk")])
     assert got.columns == ["k", "v", "w"]
     assert {(r.v, r.w) for r in got.collect()} == {(1, 10), (2, 20), (3, None)}
+
+
+@pytest.mark.parametrize("n", [1, 3, 7, 16])
+def test_sums_of_fractions_do_not_depend_on_partitions(spark, n):
+    """Views, KPIs and segments of fractional units, dealt in different ways."""
+    base = spark.range(20_000).selectExpr(
+        "date'2020-01-01' Fcst_Date", "'January' Month", "2020 Year", "int(id % 3 + 1) Lag",
+        "id % 5 = 0 Our_LT", "id * 0.1 / 3 Mean_Fcst", "id * 0.7 / 9 Mean_ABS_Error",
+        "id * 1.3 / 7 Shipped_Units", "1 P70_Below", "0 P80_Below", "1 P90_Below",
+        "concat('D', id % 4) DEMAND_CAT_CU", "concat('A', id % 3) ABC_REV_ITM_CU",
+    )
+
+    def results(df):
+        tables = pos.accuracy_by_view(df), pos.kpi_totals(df), pos.accuracy_by_segment(df)
+        return [sorted(map(tuple, t.collect()), key=repr) for t in tables]
+
+    assert results(base.repartition(n)) == results(base.coalesce(1))
