@@ -107,3 +107,14 @@ def test_too_many_weeks(spark):
     df = spark.createDataFrame([("a", "b", "c", "1")], "ASIN string, UPC string, Product_Title string, `Week 27 - Mean Forecast` string")
     with pytest.raises(ValueError, match="27"):
         weekly.weekly_cells(df, F.current_date())
+
+
+def test_a_seventh_is_rounded_on_the_exact_remainder(spark):
+    from fractions import Fraction
+
+    texts = ["3.5", "10.5", "17.5", "-3.5", "-10.5", "3.4999999999", "3.5000000001", "0", "7", "-0.0000000001",
+             "24.5", "7378697629483820.5", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "cast(t as decimal(38,10)) x")
+    got = {r.t: r.y for r in df.select("t", weekly.seventh(F.col("x")).alias("y")).collect()}
+    assert got[None] is None
+    assert all(got[t] == round(Fraction(t) / 7) for t in texts if t)
