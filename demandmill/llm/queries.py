@@ -141,7 +141,34 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
-    # RE2 has no \x20 inside a class with other meaning than here: the six white-space characters.
+    # Escapes: one per backslash, closing marker, and place where three # begin (roles need none).
+    "op2_chat": r"""
+WITH src AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+t AS (
+    SELECT *, row_number() OVER w AS nth, lag(role) OVER w AS before,
+           length(text) - length(replace(text, '\', ''))
+           + (length(text) - length(replace(text, '</turn>', ''))) // 7
+           + coalesce(list_sum(list_transform(regexp_extract_all(text, '###+'), lambda x: length(x) - 2)), 0)
+             AS escapes
+    FROM src WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(4 + length(role) + 2 + length(text) + escapes + 8) AS BIGINT) AS formatted_chars,
+       bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                     WHEN before IN ('system', 'assistant') THEN role = 'user'
+                     WHEN before = 'user' THEN role = 'assistant'
+                     ELSE false END) AS in_order
+FROM t GROUP BY conv_id
+""",
     "op5_exact_dedup": r"""
 WITH t AS (
     SELECT doc_id, coalesce(length(text), 0) AS n,
