@@ -154,14 +154,17 @@ def exact_dedup(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Data
         F.lit(True).alias("kept"), "text_sha256",
     )
     # Rows that cannot be told apart are counted, so a group of copies shuffles as few rows.
-    kinds = (
+    kinds = checkpointed(
         flagged.where("__maybe")
         .groupBy("text_sha256", "__n_chars", "doc_id")
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
     order = F.struct(-F.col("__n_chars"), F.isnull("doc_id"), F.col("doc_id"))
-    groups = kinds.groupBy("text_sha256").agg(
-        F.min(order).alias("__best"), F.sum("__copies").alias("group_size")
+    # Written, so that both sides of the join are dealt for it alone: Spark then splits a hot text.
+    groups = checkpointed(
+        kinds.groupBy("text_sha256").agg(
+            F.min(order).alias("__best"), F.sum("__copies").alias("group_size")
+        )
     )
     repeated = (
         kinds.join(groups, "text_sha256")
