@@ -64,7 +64,8 @@ def pos_accuracy_base(
 
     With ``dedupe`` (the dashboard's form) equal rows count once; the lookups are made distinct
     before they are joined, so copies cannot multiply each other. Without it every match of a
-    lookup gives a row. Lookups carry no broadcast hint (see ``match_join``).
+    lookup gives a row. Lookups carry no broadcast hint (see ``match_join``). Segments are joined to
+    the lead times, item by item, so the forecast rows take part in two joins.
     """
     first, last = trailing_year(asof)
     shipped = actuals.where(F.col("Date").between(F.lit(first), F.lit(last))).select(
@@ -75,11 +76,16 @@ def pos_accuracy_base(
         segments = segments.distinct() if segments is not None else None
     rows = with_lag(forecasts, asof)
     shared = [c for c in leadtimes.columns if c in rows.columns]
-    rows = match_join(rows, leadtimes, [(c, c) for c in shared])
+    items = leadtimes
+    if segments is not None:
+        items = match_join(
+            leadtimes.withColumn("__known", F.lit(True)), segments, [("SKU", "ITEM_NUMBER")]
+        )
+    rows = match_join(rows, items, [(c, c) for c in shared])
     rows = rows.withColumn("Our_LT", if_known(F.col("Lag") == F.col("Our_LT"), F.lit(True), F.lit(False)))
     rows = match_join(rows, shipped, [("Fcst_Date", "Date"), ("ASIN", "ASIN")])
     if segments is not None:
-        rows = match_join(rows, segments, [("SKU", "ITEM_NUMBER")])
+        rows = _segments_of_unknown_items(rows, segments)
     metrics: dict[str, Column] = {
         "Mean_ABS_Error": F.abs(F.col("Mean_Fcst") - F.col("Shipped_Units"))
     }
@@ -99,6 +105,19 @@ def pos_accuracy_base(
     return rows.distinct() if dedupe else rows
 
 
+def _segments_of_unknown_items(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """Rows without a lead time have no SKU; they match the segments that have none.
+
+    Those few segments go to every row as one value, so the rows need no key of their own: NULL would
+    put them all into one partition.
+    """
+    names = ["DEMAND_CAT_CU", "ABC_REV_ITM_CU"]
+    none = segments.where(F.col("ITEM_NUMBER").isNull()).agg(F.collect_list(F.struct(*names))).scalar()
+    matches = F.when(F.col("__known").isNull(), none).otherwise(F.array(F.struct(*names)))
+    found = rows.withColumn("__match", F.explode_outer(matches))
+    return found.withColumns({n: F.col(f"__match.{n}") for n in names}).drop("__match", "__known")
+
+
 def view_totals(base: DataFrame, keys: list[str]) -> DataFrame:
     """Sums per view and ``keys``; the views are Lag 1, 2, 3 and the item's own lead time.
 

@@ -141,3 +141,34 @@ def test_representative_and_labels(spark):
     assert got["one"].Mean_Fcst == 8 and got["one"].abc_col == "red"
     assert got["two"].SKU == "S2 (0% )" and got["two"].abc_col == "yellow"
     assert got["two"].Category.startswith("NA (")
+
+
+def test_items_without_a_lead_time_match_segments_without_an_item(spark):
+    """NULL matches NULL, with and without such segments."""
+    fc = spark.createDataFrame(
+        [(dt.date(2020, 1, 13), x, x, x, 3, "March", 2020, 1.0, 1.0, 1.0, 1.0) for x in ("A", "B")],
+        "POS_Fcst_Version_Date date, ASIN string, UPC string, Product_Title string, Month_Num int, "
+        "Month string, Year int, Mean_Fcst double, P70_Fcst double, P80_Fcst double, P90_Fcst double",
+    )
+    lt = spark.createDataFrame([("A", "SA", 2, "C", "S")],
+                               "ASIN string, SKU string, Our_LT int, Category string, Sub_Category string")
+    act = spark.createDataFrame([(dt.date(2020, 3, 1), "A", 1.0)], "Date date, ASIN string, Shipped_Units double")
+    kind = "ITEM_NUMBER string, DEMAND_CAT_CU string, ABC_REV_ITM_CU string"
+    for extra, want in (([], [("A", "Smooth"), ("B", None)]),
+                        ([(None, "New", "C"), (None, "Lumpy", "C")],
+                         [("A", "Smooth"), ("B", "Lumpy"), ("B", "New")])):
+        seg = spark.createDataFrame([("SA", "Smooth", "A"), *extra], kind)
+        got = pos.pos_accuracy_base(fc, lt, act, dt.date(2020, 10, 15), seg, True).collect()
+        assert sorted(((r.ASIN, r.DEMAND_CAT_CU) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_forecast_rows_take_part_in_two_joins(spark, sf):
+    from demandmill.plans import catalog
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = catalog.QUERIES["pos_base"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spine = text[: text.index("l_quantity")] if "l_quantity" in text else text
+    assert "NestedLoop" not in text and spine.count("SortMergeJoin") <= 3
