@@ -241,7 +241,9 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id``, a row per row of ``docs``."""
     rows = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle))
-    return rows.join(_classes(rows, radius), "fp").select(
+    # Written, so that both sides of the join are dealt for it alone: Spark then splits a hot fingerprint.
+    classes = checkpointed(_classes(rows, radius))
+    return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
