@@ -45,22 +45,28 @@ ORDER = 5
 #: The end symbol, also in front of every text; no word or space has this byte.
 END = b"\n"
 #: Bytes of text in a block, of text looked at together, and of text per bucket.
-BLOCK, PART, PER_BUCKET = 32 << 20, 1 << 21, 32 << 20
-ZSTD = pa.Codec("zstd")
+BLOCK, PART, PER_BUCKET = 32 << 20, 1 << 20, 32 << 20
+#: Entries a block gathers before it adds up equal ones.
+HELD = 1 << 20
+ZSTD = pa.Codec("zstd", 3)
 
 
 def normalised(text: bytes) -> bytes:
     return b" ".join(text.translate(LOWER).split())
 
 
-def _pack(array: np.ndarray) -> bytes:
-    raw = np.ascontiguousarray(array).tobytes()
+def _pack(raw: bytes | np.ndarray) -> bytes:
+    raw = raw if isinstance(raw, bytes) else raw.tobytes()
     return len(raw).to_bytes(8, "little") + ZSTD.compress(raw, asbytes=True)
 
 
-def _unpack(packed: bytes, kind) -> np.ndarray:
+def _unpacked(packed: bytes) -> bytes:
     size = int.from_bytes(packed[:8], "little")
-    return np.frombuffer(ZSTD.decompress(packed[8:], size, asbytes=True) if size else b"", kind)
+    return ZSTD.decompress(memoryview(packed)[8:], size, asbytes=True) if size else b""
+
+
+def _unpack(packed: bytes, kind) -> np.ndarray:
+    return np.frombuffer(_unpacked(packed), kind)
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -87,13 +93,12 @@ def _blocks(id_type: pa.DataType):
         task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def block() -> pa.RecordBatch:
-            raw = np.frombuffer(b"".join(t for _, _, t in held), np.uint8)
             columns = [
                 pa.array([(task << 32) + made], pa.int64()),
                 pa.array([[i for i, _, _ in held]], pa.list_(id_type)),
                 pa.array([[x for _, x, _ in held]], pa.list_(pa.bool_())),
                 pa.array([[len(t) for _, _, t in held]], pa.list_(pa.int64())),
-                pa.array([_pack(raw)], pa.binary()),
+                pa.array([_pack(b"".join(t for _, _, t in held))], pa.binary()),
                 pa.array([sum(_tokens(t) for _, taught, t in held if taught)], pa.int64()),
             ]
             names = ["block", "doc_ids", "learn", "sizes", "texts", "train_tokens"]
@@ -115,7 +120,7 @@ def _blocks(id_type: pa.DataType):
 
 def _texts(row: dict) -> Iterator[list[tuple[int, bytes, bool]]]:
     """Place, text and learn flag of a block's texts, in parts of bounded size."""
-    raw, at, part, size = _unpack(row["texts"], np.uint8).tobytes(), 0, [], 0
+    raw, at, part, size = _unpacked(row["texts"]), 0, [], 0
     for n, (length, taught) in enumerate(zip(row["sizes"], row["learn"])):
         part.append((n, raw[at : at + length], taught))
         at, size = at + length, size + length + 1
@@ -151,8 +156,11 @@ END_WORD = -1
 
 
 def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
+    """Distinct keys in order with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -164,8 +172,11 @@ def _entries(order: int, buckets: int):
     """Rows ``bucket, block, keys, counts``: a block's distinct keys with their training counts."""
 
     def of_block(row: dict) -> pa.RecordBatch:
-        keys, counts = [], []
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for part in _texts(row):
+            if sum(map(len, keys[1:])) > HELD:
+                merged = _counted(np.concatenate(keys), np.concatenate(counts))
+                keys, counts = [merged[0]], [merged[1]]
             for flag in (True, False):
                 texts = [t for _, t, taught in part if taught == flag]
                 if not texts:
@@ -387,17 +398,11 @@ def score(docs: DataFrame, learn: Column, order: int = ORDER) -> DataFrame:
         place = np.argsort(keys)
         value = np.empty(len(keys))
         value[place] = chances(keys[place], n[place], low, order)
-        return pa.table({"key": part.column("key"), "value": pa.array(value, pa.float64())})
+        home = pa.array(_bucket(keys, buckets), pa.int64())
+        return pa.table({"key": part.column("key"), "value": pa.array(value), "bucket": home})
 
     ending = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
-    scored = all_grams.groupBy(ending).applyInArrow(model, "key long, value double")
-
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            home = _bucket(batch.column("key").to_numpy().astype(np.int64), buckets)
-            yield batch.append_column("bucket", pa.array(home, pa.int64()))
-
-    scored = map_arrow(scored, homes, "key long, value double, bucket long")
+    scored = all_grams.groupBy(ending).applyInArrow(model, "key long, value double, bucket long")
     answers = (
         entries.groupBy("bucket")
         .cogroup(scored.groupBy("bucket"))
