@@ -23,5 +23,5 @@ def test_executors_without_the_package(tmp_path):
         [sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, capture_output=True, text=True,
         timeout=300,
     )
-    assert "backtest_python 1800" in done.stdout, done.stderr[-2000:]
-    assert "model_forecasts 3600" in done.stdout
+    assert "backtest_python 3000" in done.stdout, done.stderr[-2000:]
+    assert "model_forecasts 6000" in done.stdout
