@@ -15,7 +15,7 @@ from demandmill.session import shared_dir
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; trained on labelled ones outside the held-out fold."""
     model = language_id.train(docs, fold("doc_id", 5) != 0)
-    rows = language_id.predict(docs.select("text", whole_row(docs)), model)
+    rows = language_id.predict(docs.select(whole_row(docs)), model)
     return rows.where("accepted").select("__row.*")
 
 

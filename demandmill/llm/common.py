@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,9 +25,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """``mapInArrow`` with this package importable on the executors."""
+    """``mapInArrow`` with this package importable on the executors.
+
+    Workers are used again by later tasks, so what a task has freed goes back to the system.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def whole_row(df: DataFrame) -> Column:
@@ -33,11 +53,15 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    """UTF-8 bytes of a text column, or of that field of ``__row``; null becomes empty."""
+def text_column(batch: pa.RecordBatch) -> pa.Array:
+    """The column ``text``, or that field of ``__row``."""
     at = batch.schema.get_field_index("__row")
-    texts = batch.column(at).field(column) if at >= 0 else batch.column(column)
-    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+    return batch.column(at).field("text") if at >= 0 else batch.column("text")
+
+
+def texts_of(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """UTF-8 bytes of the texts, one after the other; null becomes empty."""
+    return (t.as_py() or b"" for t in text_column(batch).cast(pa.binary()))
 
 
 def fold(doc_id: Column | str, folds: int) -> Column:

@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandmill.llm.common import map_arrow, with_columns_after
+from demandmill.llm.common import map_arrow, text_column, with_columns_after
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS, GRAMS = 4096, 16, (2, 3, 4, 5)
@@ -217,7 +217,7 @@ class _Scorer:
         self.sums = np.concatenate([self.sums, np.add.reduceat(self.table[buckets], starts, axis=0)])
         self.grams = np.concatenate([self.grams, grams])
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def __call__(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
         langs, scores = [], []
         for group in _groups(texts):
             if len(self.words) > REMEMBERED:
@@ -241,7 +241,7 @@ class _Scorer:
         return langs, np.concatenate(scores) if scores else np.zeros(0)
 
 
-def _groups(texts: list[str | None], chars: int = 1 << 20) -> Iterator[list[str | None]]:
+def _groups(texts: Iterable[str | None], chars: int = 1 << 20) -> Iterator[list[str | None]]:
     """Runs of texts of about ``chars`` characters in all; a longer text is a run of its own."""
     group, size = [], 0
     for text in texts:
@@ -254,12 +254,17 @@ def _groups(texts: list[str | None], chars: int = 1 << 20) -> Iterator[list[str
         yield group
 
 
+def _nothing_known(texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
+    n = sum(1 for _ in texts)
+    return [UNKNOWN] * n, np.zeros(n)
+
+
 def _predicted(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _Scorer(model) if model else lambda texts: ([UNKNOWN] * len(texts), [0.0] * len(texts))
+        score = _Scorer(model) if model else _nothing_known
         low = model.threshold if model else 0.0
         for batch in batches:
-            langs, scores = score(batch.column("text").to_pylist())
+            langs, scores = score(t.as_py() for t in text_column(batch))
             taken = [lang != UNKNOWN and s >= low for lang, s in zip(langs, scores)]
             rest = [n for n in batch.schema.names if n not in ("lang_pred", "score", "accepted")]
             yield pa.RecordBatch.from_arrays(
@@ -275,6 +280,9 @@ def _predicted(model: Model | None):
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred, score`` (calibrated chance of it) and ``accepted``."""
+    """``docs`` with ``lang_pred, score`` (calibrated chance of it) and ``accepted``.
+
+    ``docs`` holds ``text``, or whole rows as ``__row``.
+    """
     schema = with_columns_after(docs.schema, "lang_pred string, score double, accepted boolean")
     return map_arrow(docs, _predicted(model), schema)

@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -268,7 +269,7 @@ def _transcoded(model: str, with_text: bool):
         encoder = Encoder(pieces)
         for batch in batches:
             texts = batch.column("text")
-            upto = np.cumsum([0, *(len(t or "") for t in texts.to_pylist())])
+            upto = np.r_[0, np.cumsum(pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False))]
             # Batches are cut so that the flat arrays stay small; one long text is one part.
             cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] + GROUP, GROUP)))
             cuts = np.unique(np.r_[0, np.minimum(cuts, batch.num_rows), batch.num_rows])
