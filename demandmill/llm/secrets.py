@@ -2,9 +2,10 @@
 
 The text is layer 0. Escapes in a layer (URL ``%41``, Unicode ``\\u0041``) are undone in place and make
 one new layer; every base64 run that decodes to text makes one, and bytes that are gzip, zlib, bzip2 or
-xz data are unpacked first. New layers go on the worklist until none is left; a layer whose text has
-been seen in the document is dropped, so cycles end. Every layer's characters know the span of the
-original text they come from, and what is found in a layer is reported at that span.
+xz data are unpacked first. New layers go on the worklist until none is left; a layer with the text and
+the origins of one seen before is dropped, so cycles end and equal runs at other places stay. Every
+layer's characters know the span of the original text they come from, and what is found in a layer is
+reported at that span.
 
 Kinds and patterns are fixed by ``KINDS``; a match that is too short is dropped after it has taken its
 characters. Spans are code points, end exclusive; those of layer 0 are the base spans and always stay.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -90,6 +92,13 @@ class Layer:
     def origin(self, a: int, b: int) -> tuple[int, int]:
         return int(self.start[a:b].min()), int(self.end[a:b].max())
 
+    def key(self) -> bytes:
+        """Equal for layers of one text whose characters come from the same places."""
+        parts = hashlib.sha256(self.text.encode())
+        parts.update(np.ascontiguousarray(self.start, np.int64))
+        parts.update(np.ascontiguousarray(self.end, np.int64))
+        return parts.digest()
+
 
 def _unescaped(piece: str) -> list[tuple[str, int, int]]:
     """Characters of one run of escapes with the part of the run that made them."""
@@ -215,7 +224,8 @@ def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int
     """``(kind, start, end, layer)`` of a text and its layers by start, kind, end; and completeness."""
     spans = {span: 0 for span in scan(text)}
     place = np.arange(len(text))
-    work, seen = [Layer(text, place, place + 1, 0)], {text}
+    work = [Layer(text, place, place + 1, 0)]
+    seen = {work[0].key()}
     room, complete = max_decoded, True
     while work:
         layer = work.pop()
@@ -226,13 +236,14 @@ def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int
         made += decoded_runs(layer, max(1, room))
         for new, whole in made:
             complete &= whole
-            if new.text in seen:
+            key = new.key()
+            if key in seen:
                 continue
             if len(new.text) > room:
                 complete = False
                 continue
             room -= len(new.text)
-            seen.add(new.text)
+            seen.add(key)
             work.append(new)
             for kind, a, b in scan(new.text):
                 spans.setdefault((kind, *new.origin(a, b)), new.depth)

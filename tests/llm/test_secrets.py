@@ -102,6 +102,18 @@ def test_span_of_the_part_that_holds_it():
     assert b"token: abcdefgh12" in inside and len(inside) < 25
 
 
+@pytest.mark.parametrize("layer", LAYERS)
+def test_equal_runs_at_other_places(layer):
+    hidden = LAYERS[layer](SECRET)
+    text = f"{hidden} first\n{hidden} second\n{LAYERS['base64'](SECRET)} third"
+    found, complete = secrets.find(text)
+    assert complete
+    runs = [(m.start(), m.end()) for m in re.finditer(re.escape(hidden), text)]
+    runs.append((text.index(" second\n") + 8, text.index(" third")))
+    for start, end in runs:
+        assert any(k == "assign" and start <= a < b <= end for k, a, b, _ in found)
+
+
 def test_cycle_and_broken_layers():
     for text in ["%41" * 9, "%25" * 50, "%2525252541", "%FF%FE%41", "\\ud800\\u0041", "A" * 64, "=" * 40,
                  b64(b"\x1f\x8b broken"), b64(zlib.compress(b"x" * 500)[:-8]), "\\u{110000}", "\\U00110000"]:
