@@ -1,11 +1,11 @@
 """Secret scans: a worklist of decoded layers, each scanned like the text itself.
 
 The text is layer 0. Escapes in a layer (URL ``%41``, Unicode ``\\u0041``) are undone in place and make
-one new layer; every base64 run that decodes to text makes one, and bytes that are gzip, zlib, bzip2 or
-xz data are unpacked first. New layers go on the worklist until none is left; a layer with the text and
-the origins of one seen before is dropped, so cycles end and equal runs at other places stay. Every
-layer's characters know the span of the original text they come from, and what is found in a layer is
-reported at that span.
+one new layer; every readable part of a base64 run makes one, whatever stands before or behind it in the
+run and over line breaks, and gzip, zlib, bzip2 or xz data in a run is unpacked and makes one. New layers
+go on the worklist until none is left; a layer with the text and the origins of one seen before is
+dropped, so cycles end and equal runs at other places stay. Every layer's characters know the span of the
+original text they come from, and what is found in a layer is reported at that span.
 
 Kinds and patterns are fixed by ``KINDS``; a match that is too short is dropped after it has taken its
 characters. Spans are code points, end exclusive; those of layer 0 are the base spans and always stay.
@@ -20,7 +20,6 @@ columns stay as they are, columns named like a result are replaced. An empty tab
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -28,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +57,23 @@ ESCAPE = re.compile(
     r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+"
 )
 #: The shortest text with a secret, 14 characters, is 19 characters of base64; nested ones are longer.
-RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00")
+LEAST_BYTES, LEAST_RUN = 14, 19
+#: A long run, or one that a line break follows, with the runs that only line breaks part from it.
+RUNS = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{19,}+|[A-Za-z0-9+/_-]++(?=[ \t]*+[\r\n]))"
+    r"(?:[ \t]*+[\r\n][ \t\r\n]*+[A-Za-z0-9+/_-]++)*+"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+STANDARD = str.maketrans("-_", "+/")
+ZLIB = (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+UTF8 = re.compile(
+    rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+    rb"|\xf4[\x80-\x8f][\x80-\xbf]{2})++"
+)
+#: Bytes of compressed data unpacked at a time.
+PIECE = 4096
 MAX_DECODED = 1 << 26
 
 _RUN_CLASS = bytes(
@@ -66,6 +81,9 @@ _RUN_CLASS = bytes(
 )
 _HEX_CLASS = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
 
+#: Line breaks are left out of a run.
+BREAK = re.compile(rb"(?<![ \t])[ \t]*+[\r\n][ \t\r\n]*+")
+
 Span = tuple[str, int, int]
 
 
@@ -164,60 +182,126 @@ def unescape(layer: Layer) -> Layer | None:
     return Layer("".join(texts), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
 
 
-def unpack(raw: bytes, room: int) -> tuple[bytes | None, bool]:
-    """Bytes of compressed data (None if it is none), and whether all of them are there."""
-    try:
-        if raw.startswith(b"\x1f\x8b"):
-            tool = zlib.decompressobj(31)
-        elif raw.startswith(b"\x78"):
-            tool = zlib.decompressobj()
-        elif raw.startswith(b"BZh"):
-            tool = bz2.BZ2Decompressor()
-        else:
-            tool = lzma.LZMADecompressor(format=lzma.FORMAT_XZ)
-        out = tool.decompress(raw, room)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None, True
-    return out, len(out) < room
+def unpack(raw: bytes, room: int) -> tuple[bytes, int, bool]:
+    """Data of the compressed stream ``raw`` begins with, the bytes it takes, and whether all is there.
 
-
-def decoded_runs(layer: Layer, room: int) -> Iterator[tuple[Layer, bool]]:
-    """A layer for every base64 run that holds text, unpacked where it is compressed."""
-    for m in RUN.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
+    A broken stream gives what comes before the break and takes one byte, so what follows is looked at.
+    """
+    tool, step, at = _unpacker(raw[:6]), PIECE, 0
+    out, size = [], 0
+    while at < len(raw) and not tool.eof:
+        before = tool.copy() if step > 1 and hasattr(tool, "copy") else None
         try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
+            got = tool.decompress(raw[at : at + step], room - size)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
+            if before is None:
+                return b"".join(out), 1, True
+            tool, step = before, 1  # up to the very byte that breaks it
             continue
-        whole, packed = True, False
-        while raw is not None and raw.startswith(MAGIC) and whole:
-            raw, whole = unpack(raw, room)
-            packed = True
-        try:
-            text = raw.decode() if raw else ""
-        except UnicodeDecodeError:
-            if whole:
+        at += step
+        out.append(got)
+        size += len(got)
+        if size >= room:
+            return b"".join(out), len(raw), False
+    return b"".join(out), min(at, len(raw)) - len(tool.unused_data), True
+
+
+def _unpacker(head: bytes):
+    if head.startswith(b"\x1f\x8b"):
+        return zlib.decompressobj(31)
+    if head.startswith(ZLIB):
+        return zlib.decompressobj()
+    if head.startswith(b"BZh"):
+        return bz2.BZ2Decompressor()
+    if head.startswith(b"\xfd7zXZ\x00"):
+        return lzma.LZMADecompressor(format=lzma.FORMAT_XZ)
+    return None
+
+
+def _texts(raw: bytes) -> Iterator[tuple[int, int]]:
+    """Start and end of the parts of ``raw`` that are text and may hold something."""
+    if not may_hold(raw):
+        parts = []
+    elif _is_text(raw):
+        parts = [(0, len(raw))]
+    else:
+        parts = [m.span() for m in UTF8.finditer(raw)]
+    return ((a, b) for a, b in parts if b - a >= LEAST_BYTES and may_hold(raw[a:b]))
+
+
+def _packed(raw: bytes, room: int) -> Iterator[tuple[bytes, int, int, bool]]:
+    """Data of every compressed stream in ``raw``, the bytes it takes, and whether all of it is there.
+
+    Streams within the data of a stream count as its bytes.
+    """
+    work, seen = [(raw, None)], set()
+    while work:
+        within, span = work.pop()
+        at = 0
+        while m := MAGIC.search(within, at):
+            data, taken, whole = unpack(within[m.start() :], room)
+            at = m.start() + max(1, taken)
+            place = span or (m.start(), at if taken > 1 else len(raw))
+            if len(data) < LEAST_BYTES or (data, place) in seen:
                 continue
-            text = raw.decode(errors="ignore")
-        if not text or sum(map(_odd, text)) * 10 > len(text):
+            room = max(1, room - len(data))
+            seen.add((data, place))
+            work.append((data, place))
+            yield data, *place, whole
+
+
+def _joined_runs(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Characters of every base64 run, and their places.
+
+    Runs parted by line breaks only are taken each by itself, as blocks (an empty line, or a line
+    shorter than the one before, ends a block) and all together.
+    """
+    for found in RUNS.finditer(text):
+        if found.end() - found.start() < LEAST_RUN:
             continue
-        if packed:
-            lo, hi = layer.origin(m.start(), m.end())
-            starts, ends = np.full(len(text), lo), np.full(len(text), hi)
-        else:
-            sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
-            to = np.cumsum(sizes)
-            # Byte i of the run lies in characters 4i/3 to 4(i + 1)/3.
-            a = m.start() + (to - sizes) * 4 // 3
-            b = np.minimum(m.start() + -(-to * 4 // 3), m.end()) - 1
-            starts, ends = layer.start[a], layer.end[b]
-        yield Layer(text, starts, ends, layer.depth + 1), whole
+        lines = [(m.start(), m.end()) for m in LINE.finditer(text, found.start(), found.end())]
+        cuts = [0]
+        for i in range(1, len(lines)):
+            (a, b), (c, d) = lines[i - 1], lines[i]
+            gap = text[b:c]
+            shorter = i - 1 > cuts[-1] and b - a < lines[i - 2][1] - lines[i - 2][0]
+            if shorter or gap.count("\n") > 1 or "\n" not in gap and gap.count("\r") > 1:
+                cuts.append(i)
+        parts = {(i, i + 1) for i in range(len(lines))} | set(zip(cuts, [*cuts[1:], len(lines)]))
+        for i, j in sorted(parts | {(0, len(lines))}):
+            if sum(b - a for a, b in lines[i:j]) >= LEAST_RUN:
+                places = np.concatenate([np.arange(a, b) for a, b in lines[i:j]])
+                yield "".join(text[a:b] for a, b in lines[i:j]).translate(STANDARD), places
 
 
-def _odd(char: str) -> bool:
-    return not (char.isprintable() or char in "\t\n\r")
+def decoded_runs(layer: Layer, room: int) -> Iterator[tuple[Layer, bool]]:
+    """A layer for every part of a base64 run that holds text, and for what is unpacked from one.
+
+    A run may begin or end with characters that are not of the encoded part (``blob_``, a path), so
+    each of the four ways to deal it into groups is tried and its readable parts are kept.
+    """
+    for chars, places in _joined_runs(layer.text):
+        for skip in range(4):
+            run = chars[skip:]
+            run = run[: len(run) - (len(run) % 4 == 1)]
+            raw = base64.b64decode(run + "=" * (-len(run) % 4))
+            # Byte i of the run lies in characters 4i/3 to 4(i + 1)/3.
+            own = places[skip : skip + len(run)]
+            for a, b in _texts(raw):
+                text = raw[a:b].decode()
+                sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+                to = a + np.cumsum(sizes)
+                first, last = (to - sizes) * 4 // 3, np.minimum(-(-to * 4 // 3), len(run)) - 1
+                yield Layer(text, layer.start[own[first]], layer.end[own[last]], layer.depth + 1), True
+            for data, a, b, whole in _packed(raw, room):
+                at = own[a * 4 // 3 : min(-(-b * 4 // 3), len(run))]
+                lo, hi = int(layer.start[at].min()), int(layer.end[at].max())
+                for x, y in _texts(data):
+                    text = data[x:y].decode()
+                    starts, ends = np.full(len(text), lo), np.full(len(text), hi)
+                    yield Layer(text, starts, ends, layer.depth + 1), True
+                if not whole:
+                    yield Layer("", own[:0], own[:0], layer.depth + 1), False
 
 
 def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int, int, int]], bool]:
@@ -229,13 +313,12 @@ def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int
     room, complete = max_decoded, True
     while work:
         layer = work.pop()
-        made = []
         plain = unescape(layer)
-        if plain:
-            made.append((plain, True))
-        made += decoded_runs(layer, max(1, room))
-        for new, whole in made:
+        made = [(plain, True)] if plain else []
+        for new, whole in chain(made, decoded_runs(layer, max(1, room))):
             complete &= whole
+            if not new.text:
+                continue
             key = new.key()
             if key in seen:
                 continue
@@ -258,7 +341,7 @@ def may_hold(raw: bytes) -> bool:
         any(word in low for word in KEYWORDS)
         or b"%" in raw
         or b"\\" in raw
-        or len(max(raw.translate(_RUN_CLASS).split(), key=len, default=b"")) >= 16
+        or len(max(BREAK.sub(b"", raw).translate(_RUN_CLASS).split(), key=len, default=b"")) >= 16
     )
 
 

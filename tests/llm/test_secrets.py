@@ -114,6 +114,52 @@ def test_equal_runs_at_other_places(layer):
         assert any(k == "assign" and start <= a < b <= end for k, a, b, _ in found)
 
 
+def wrapped(run, width, end="\n"):
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+def hit_in(text, start, end):
+    found, complete = secrets.find(text)
+    assert complete and secrets.may_hold(text.encode())
+    return any(k == "assign" and layer and start <= a < b <= end for k, a, b, layer in found)
+
+
+@pytest.mark.parametrize("before", ["blob_", "cfg-", "x/", "k/v/", "/d/", "abc", "ab", "x", "é/"])
+@pytest.mark.parametrize("after", ["", "/rest", "-tail", "_x"])
+@pytest.mark.parametrize("layer", ["base64", "urlsafe", "gzip", "zlib", "bzip2"])
+def test_run_inside_a_longer_one(layer, before, after):
+    for pad in range(3):
+        run = LAYERS[layer]("x" * pad + " " + SECRET).rstrip("=")
+        text = f"see {before}{run}{after} end"
+        start = len(f"see {before}")
+        assert hit_in(text, max(0, start - 4), start + len(run) + len(after))
+
+
+@pytest.mark.parametrize("layer", ["base64", "urlsafe", "gzip", "zlib", "bzip2"])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r", "\n    "])
+@pytest.mark.parametrize("width", [10, 16, 64, 75, 76])
+def test_wrapped_run(layer, end, width):
+    noise = hashlib.sha512(b"n").hexdigest().replace("a", " ") * 3
+    run = wrapped(LAYERS[layer](noise + SECRET + " " + noise), width, end)
+    text = f"é head:\n{run}\nlast words"
+    start = text.index(run)
+    assert hit_in(text, start, start + len(run) + 12)
+
+
+def test_runs_on_neighbouring_lines():
+    run = b64(b"password = hunter2hunter")
+    assert not run.endswith("=")
+    text = f"{run}\n{run}\n{run}"
+    for n in range(3):
+        start = n * (len(run) + 1)
+        assert hit_in(text, start, start + len(run))
+
+
+def test_readable_part_of_binary_data():
+    text = b64(b"\xff\xfe\x00\x01" + SECRET.encode() + b"\x00\xff" * 9)
+    assert hit_in(text, 0, len(text))
+
+
 def test_cycle_and_broken_layers():
     for text in ["%41" * 9, "%25" * 50, "%2525252541", "%FF%FE%41", "\\ud800\\u0041", "A" * 64, "=" * 40,
                  b64(b"\x1f\x8b broken"), b64(zlib.compress(b"x" * 500)[:-8]), "\\u{110000}", "\\U00110000"]:
