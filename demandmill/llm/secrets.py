@@ -183,27 +183,32 @@ def unescape(layer: Layer) -> Layer | None:
 
 
 def unpack(raw: bytes, room: int) -> tuple[bytes, int, bool]:
-    """Data of the compressed stream ``raw`` begins with, the bytes it takes, and whether all is there.
+    """Data of the compressed stream ``raw`` begins with and of those of its kind that follow at once.
 
-    A broken stream gives what comes before the break and takes one byte, so what follows is looked at.
+    Also the bytes they take, and whether all of their data is there. A broken stream gives what comes
+    before the break and takes one byte, so what follows is looked at.
     """
-    tool, step, at = _unpacker(raw[:6]), PIECE, 0
-    out, size = [], 0
-    while at < len(raw) and not tool.eof:
-        before = tool.copy() if step > 1 and hasattr(tool, "copy") else None
-        try:
-            got = tool.decompress(raw[at : at + step], room - size)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            if before is None:
-                return b"".join(out), 1, True
-            tool, step = before, 1  # up to the very byte that breaks it
-            continue
-        at += step
-        out.append(got)
-        size += len(got)
-        if size >= room:
-            return b"".join(out), len(raw), False
-    return b"".join(out), min(at, len(raw)) - len(tool.unused_data), True
+    out, size, at = [], 0, 0
+    while at < len(raw) and raw[at : at + 2] == raw[:2]:
+        tool, step, begun = _unpacker(raw[at : at + 6]), PIECE, at
+        if tool is None:
+            break
+        while at < len(raw) and not tool.eof:
+            before = tool.copy() if step > 1 and hasattr(tool, "copy") else None
+            try:
+                got = tool.decompress(raw[at : at + step], room - size)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError):
+                if before is None:
+                    return b"".join(out), begun + 1, True
+                tool, step = before, 1  # up to the very byte that breaks it
+                continue
+            at = min(at + step, len(raw))
+            out.append(got)
+            size += len(got)
+            if size >= room:
+                return b"".join(out), len(raw), False
+        at -= len(tool.unused_data)
+    return b"".join(out), at, True
 
 
 def _unpacker(head: bytes):

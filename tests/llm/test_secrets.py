@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
@@ -160,6 +161,31 @@ def test_readable_part_of_binary_data():
     assert hit_in(text, 0, len(text))
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+def test_every_member_of_compressed_data(pack):
+    for members in [["plain words", SECRET], ["plain words", "more", SECRET, "end"]]:
+        text = b64(b"".join(pack(m.encode()) for m in members))
+        assert hit_in(text, 0, len(text))
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+def test_secret_over_two_members(pack):
+    text = b64(pack(SECRET[:6].encode()) + pack(SECRET[6:].encode()))
+    assert hit_in(text, 0, len(text))
+
+
+@pytest.mark.parametrize("head", ["x^", "BZh", "BZh9 ", "x\x01"])
+def test_text_that_begins_like_compressed_data(head):
+    text = b64((head + " " + SECRET).encode())
+    assert hit_in(text, 0, len(text))
+
+
+def test_broken_stream_gives_what_comes_first():
+    raw = gzip.compress((SECRET + " " + "words " * 9).encode())
+    text = b64(raw[:-8] + b"\0" * 8)
+    assert hit_in(text, 0, len(text))
+
+
 def test_cycle_and_broken_layers():
     for text in ["%41" * 9, "%25" * 50, "%2525252541", "%FF%FE%41", "\\ud800\\u0041", "A" * 64, "=" * 40,
                  b64(b"\x1f\x8b broken"), b64(zlib.compress(b"x" * 500)[:-8]), "\\u{110000}", "\\U00110000"]:
