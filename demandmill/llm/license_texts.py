@@ -1,5 +1,7 @@
 """Licence templates. The public wording of each licence or notice."""
 
+from demandmill.llm import license_bodies as bodies
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including
 without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
@@ -49,7 +51,63 @@ License, or (at your option) any later version. This program is distributed in t
 useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
 PARTICULAR PURPOSE. See the GNU General Public License for more details."""
 
+BSD_4_CLAUSE = """3. All advertising materials mentioning features or use of this software must display the
+following acknowledgement: This product includes software developed by the copyright holder. 4."""
+
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the
+authors be held liable for any damages arising from the use of this software. Permission is granted to
+anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be
+misrepresented; you must not claim that you wrote the original software. If you use this software in a
+product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+original software. 3. This notice may not be removed or altered from any source distribution."""
+
+MPL_2_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
+the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+MPL_1_1_HEADER = """The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License");
+you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.mozilla.org/MPL/ Software distributed under the License is distributed on an "AS IS" basis,
+WITHOUT WARRANTY OF ANY KIND, either express or implied. See the License for the specific language
+governing rights and limitations under the License."""
+
+EPL_HEADER = """This program and the accompanying materials are made available under the terms of the Eclipse
+Public License {} which accompanies this distribution, and is available at {}"""
+
+CC0_HEADER = """To the extent possible under law, the author has waived all copyright and related or neighboring
+rights to this work."""
+
+#: Family and version of the GNU licences, and the name that stands before "Public License".
+GNU = [
+    ("GPL-1.0", "General", "1"),
+    ("GPL-2.0", "General", "2"),
+    ("GPL-3.0", "General", "3"),
+    ("LGPL-2.0", "Library General", "2"),
+    ("LGPL-2.1", "Lesser General", "2.1"),
+    ("LGPL-3.0", "Lesser General", "3"),
+    ("AGPL-3.0", "Affero General", "3"),
+]
+CREATIVE_COMMONS = ["BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"]
+
+
+def _gnu_header(kind: str, version: str, what: str) -> str:
+    text = GPL_3_HEADER.replace("GNU General", f"GNU {kind}").replace("version 3", f"version {version}")
+    return text.replace("This program", f"This {what}")
+
+
+def _gnu_templates() -> dict[str, str]:
+    out = {}
+    for name, kind, version in GNU:
+        out[f"{name}-header"] = _gnu_header(kind, version, "program")
+        out[f"{name}-library-header"] = _gnu_header(kind, version, "library")
+        out[f"{name}-notice"] = f"This work is licensed under the GNU {kind} Public License, version {version}."
+    return out
+
+
 TEMPLATES: dict[str, str] = {
+    "Apache-1.1-notice": "Licensed under the Apache License, Version 1.1.",
+    "Apache-2.0": bodies.APACHE_2,
     "Apache-2.0-header": APACHE_HEADER,
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "BSD-2-Clause": BSD_2,
@@ -58,12 +116,41 @@ TEMPLATES: dict[str, str] = {
         "\nCOPYRIGHT HOLDERS", " COPYRIGHT HOLDERS", 1
     ),
     "BSD-3-Clause-notice": "Released under the BSD 3-Clause License.",
-    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
-    "GPL-3.0-header": GPL_3_HEADER,
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "BSD-4-Clause": BSD_2.replace(
+        " THIS SOFTWARE", f" {BSD_4_CLAUSE}{BSD_3_CLAUSE[2:]} THIS SOFTWARE", 1
+    ),
+    "BSD-4-Clause-notice": "Released under the BSD 4-Clause License.",
+    **{
+        f"CC-{kind}-{version}-notice": f"Licensed under CC {kind} {version}."
+        for kind in CREATIVE_COMMONS
+        for version in ("2.0", "2.5", "3.0", "4.0")
+    },
+    "CC0-1.0": bodies.CC0_1,
+    "CC0-1.0-header": CC0_HEADER,
+    "CC0-1.0-notice": "Licensed under CC0 1.0.",
+    "EPL-1.0-header": EPL_HEADER.format("v1.0", "http://www.eclipse.org/legal/epl-v10.html"),
+    "EPL-1.0-notice": "Licensed under the Eclipse Public License, Version 1.0.",
+    "EPL-2.0-header": EPL_HEADER.format("2.0", "https://www.eclipse.org/legal/epl-2.0/"),
+    "EPL-2.0-notice": "Licensed under the Eclipse Public License, Version 2.0.",
+    **_gnu_templates(),
+    "GPL-2.0": bodies.GPL_2,
+    "GPL-3.0": bodies.GPL_3,
+    "LGPL-2.0": bodies.LGPL_2,
+    "LGPL-2.1": bodies.LGPL_2_1,
+    "LGPL-3.0": bodies.LGPL_3,
+    "AGPL-3.0": bodies.AGPL_3,
     "ISC": ISC,
     "MIT": MIT,
     "MIT-notice": "Released under the MIT License.",
+    "ISC-notice": "Released under the ISC License.",
+    "MPL-1.1": bodies.MPL_1_1,
+    "MPL-1.1-header": MPL_1_1_HEADER,
+    "MPL-1.1-notice": "Licensed under the Mozilla Public License, Version 1.1.",
+    "MPL-2.0": bodies.MPL_2,
+    "MPL-2.0-header": MPL_2_HEADER,
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "Unlicense": bodies.UNLICENSE,
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain.",
+    "Zlib": ZLIB,
+    "Zlib-notice": "Released under the zlib License.",
 }

@@ -51,8 +51,15 @@ class Templates:
         self.bigrams = {n: Counter(self.pairs(words[n]).tolist()) for n in self.names}
         self.sizes = {n: sum(c.values()) for n, c in self.bigrams.items()}
         known = np.unique([b for c in self.bigrams.values() for b in c])
-        self.any = np.zeros(self.base * self.base, bool)
-        self.any[known] = True
+        # Numbers of the known bigrams (0: none), and how often each template has them.
+        self.number = np.zeros(self.base * self.base, np.int32)
+        self.number[known] = np.arange(1, len(known) + 1)
+        self.counts = np.zeros((len(known) + 1, len(self.names)), np.int32)
+        for i, name in enumerate(self.names):
+            for bigram, n in self.bigrams[name].items():
+                self.counts[self.number[bigram], i] = n
+        sizes = np.array([self.sizes[n] for n in self.names])
+        self.least = threshold / (2 - threshold) * sizes - 1e-9
 
     def pairs(self, words: list[str]) -> np.ndarray:
         ids = np.fromiter((self.word_id.get(w, 0) for w in words), np.int64, len(words))
@@ -61,39 +68,48 @@ class Templates:
     def matches(self, text: str) -> list[tuple[str, float, int, int]]:
         """``(template, score, first word, end word)`` of every match, by template and place."""
         pairs = self.pairs(WORD.findall(text.lower()))
-        place = np.flatnonzero(self.any[pairs]) if len(pairs) else []
+        codes = self.number[pairs]
+        place = np.flatnonzero(codes)
         if not len(place):
             return []
-        there = Counter(pairs[place].tolist())
+        codes = codes[place]
+        there, often = np.unique(codes, return_counts=True)
+        shared = np.minimum(self.counts[there], often[:, None]).sum(0)
         out = []
-        for name in self.names:
-            own, n = self.bigrams[name], self.sizes[name]
-            least = self.threshold / (2 - self.threshold) * n
-            if sum(min(c, own[b]) for b, c in there.items() if b in own) >= least - 1e-9:
-                hits = [(int(p), int(pairs[p])) for p in place if int(pairs[p]) in own]
-                out += [(name, *m) for m in self._stretches(hits, own, n)]
+        for i in np.flatnonzero(shared >= self.least):
+            own, name = self.counts[:, i], self.names[i]
+            hits = own[codes] > 0
+            out += [(name, *m) for m in self._stretches(place[hits], codes[hits], own, self.sizes[name])]
         return sorted(out, key=lambda m: (m[0], m[2]))
 
-    def _stretches(self, hits, own: Counter, n: int) -> list[tuple[float, int, int]]:
+    def _stretches(
+        self, place: np.ndarray, codes: np.ndarray, own: np.ndarray, n: int
+    ) -> list[tuple[float, int, int]]:
         t = self.threshold
         low, high = t / (2 - t) * n - 1e-9, (2 - t) / t * n + 1e-9
-        found = []
-        for i, (a, _) in enumerate(hits):
-            if i + int(np.ceil(low)) - 1 >= len(hits) or hits[i + int(np.ceil(low)) - 1][0] - a + 1 > high:
+        need = int(np.ceil(low))
+        # How many of the same bigram stand before each one.
+        order = np.argsort(codes, kind="stable")
+        first = np.searchsorted(codes[order], codes)
+        before = np.empty(len(codes), np.int64)
+        before[order] = np.arange(len(codes))
+        before -= first
+        found, skipped, left = [], np.zeros(len(own), np.int64), 0
+        for i in range(len(place) - need + 1):
+            a = int(place[i])
+            if place[i + need - 1] - a + 1 > high:
                 continue  # too few shared bigrams within the longest stretch from here
-            left, shared, best = Counter(own), 0, None
-            for b, bigram in hits[i:]:
-                m = b - a + 1
-                if m > high:
-                    break
-                if left[bigram] > 0:
-                    left[bigram] -= 1
-                    shared += 1
-                score = 2 * shared / (n + m)
-                if m >= low and score >= t - 1e-12 and (best is None or score > best[0]):
-                    best = (score, a, b + 2)
-            if best:
-                found.append(best)
+            j = int(np.searchsorted(place, a + high - 1, side="right"))
+            c = codes[i:j]
+            while left < i:
+                skipped[codes[left]] += 1
+                left += 1
+            shared = np.cumsum(before[i:j] - skipped[c] < own[c])
+            m = place[i:j] - a + 1
+            score = np.where(m >= low, 2 * shared / (n + m), 0.0)
+            k = int(np.argmax(score))
+            if score[k] >= t - 1e-12:
+                found.append((float(score[k]), a, int(place[i + k]) + 2))
         kept: list[tuple[float, int, int]] = []
         for score, a, b in sorted(found, key=lambda f: (-f[0], f[1])):
             # Neighbours share a word where one ends and the next begins, never a bigram.

@@ -82,6 +82,35 @@ def test_documents_hold_their_lines(documents):
             assert not names
 
 
+def test_neighbouring_licences_are_told_apart():
+    """The best template of every notice, header and text is its own family and version."""
+    scan = licenses.Templates(TEMPLATES)
+    lgpl = """This library is free software; you can redistribute it and/or modify it under the terms of the
+        GNU Lesser General Public License as published by the Free Software Foundation; either version {} of
+        the License, or (at your option) any later version. This library is distributed in the hope that it
+        will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+        FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."""
+    gpl = lgpl.replace("Lesser ", "").replace("library", "program")
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+        MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    texts = [
+        ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
+        ("GPL-3.0", "licensed under the GNU General Public License, version 3"),
+        ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+        ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+        ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
+        ("GPL-2.0", gpl.format("2")), ("GPL-3.0", gpl.format("3")),
+        ("LGPL-2.1", lgpl.format("2.1")), ("LGPL-3.0", lgpl.format("3")),
+        ("LGPL-3.0", lgpl.format("3").replace("library", "program")),
+        ("AGPL-3.0", gpl.format("3").replace("GNU", "GNU Affero")),
+        ("MPL-2.0", mpl),
+    ]
+    texts += [(n, t) for n, t in TEMPLATES.items() if not n.endswith(("header", "notice"))]
+    for want, text in texts:
+        best = max(scan.matches(f"words before {text} and after"), key=lambda m: m[1])
+        assert best[0] in (want, f"{want}-header", f"{want}-library-header", f"{want}-notice"), (want, best)
+
+
 def test_frames(docs_of):
     rows = [(1, None), (2, ""), (3, "word"), (4, "x " * 100_000), (None, TEMPLATES["MIT"]), (5, "a b"), (5, "a b")]
     df = docs_of(rows).withColumn("licenses", F.lit("clash"))
