@@ -35,8 +35,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
-    return pieces.encode(docs.select("doc_id", "source", "lang", "text"), PIECE_MODEL).drop("text")
+    """Ids of every document of the mix, and the text they decode to."""
+    rows = docs.select("doc_id", "source", "lang", "text")
+    return pieces.encode(rows, PIECE_MODEL, with_text=True).drop("text")
 
 
 STAGES = [

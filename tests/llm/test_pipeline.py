@@ -85,6 +85,14 @@ def test_tokens(tables):
         assert r.ids == library.encode(texts[r.doc_id])
 
 
+def test_decoded_texts(tables):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    out = tables[5].collect()
+    assert out
+    for r in out:
+        assert r.decoded == library.decode(r.ids)
+
+
 def test_run_gives_the_same(spark, tables):
     got = corpus_pipeline.run(spark, SF).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("ids").alias("ids"))
     want = tables[-1].groupBy("doc_id").agg(F.count("*").alias("n"), F.max("ids").alias("ids"))
