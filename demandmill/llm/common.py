@@ -23,11 +23,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_arrow(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema,
+    give_back: bool = True,
 ) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors.
 
-    Workers are used again by later tasks, so what a task has freed goes back to the system.
+    Workers are used again by later tasks, so what a task has freed goes back to the system; jobs of
+    many short passes do without.
     """
     ship_package(df.sparkSession)
 
@@ -35,7 +37,8 @@ def map_arrow(
         try:
             yield from function(batches)
         finally:
-            _give_back()
+            if give_back:
+                _give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -75,5 +78,6 @@ def with_columns_after(schema, added: str) -> str:
     from pyspark.sql import types as T
 
     new = T._parse_datatype_string(added)
-    kept = [f for f in schema.fields if f.name not in new.names]
+    taken = {n.lower() for n in new.names}
+    kept = [f for f in schema.fields if f.name.lower() not in taken]
     return T.StructType(kept + new.fields)

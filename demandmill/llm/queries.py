@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -17,15 +18,20 @@ from demandmill.llm import (
     lm_score,
     mixing,
     pieces,
+    prefix_trie,
     secrets,
     simhash,
+    token_files,
+    whitening,
 )
 from demandmill.llm.common import fold, read
+from demandmill.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Path of the tokenizer model; executors open it at the same place.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +133,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.sequences(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(own))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it does not fit a long."""
+    rows = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    return token_files.token_table(read(spark, sf_dir, "documents"), BYTE_TOKENIZER, path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_chat": op2_chat,
@@ -138,6 +160,9 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whitening": op12_whitening,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLES: dict[str, str] = {
@@ -181,5 +206,62 @@ SELECT doc_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept,
        text_sha256
 FROM t
+""",
+    # crc32 bit by bit; a node is the text of its turns' ids.
+    "op11_prefix_trie": r"""
+WITH src AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+coded AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth,
+           dense_rank() OVER (ORDER BY role, text) AS id,
+           len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM src
+),
+convs AS (
+    SELECT conv_id, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(
+            range(1, length(conv_id::VARCHAR) + 1),
+            lambda i: [ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+                          WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM src)
+),
+built AS (
+    SELECT conv_id, nth, id, words FROM coded JOIN convs USING (conv_id) WHERE nth > h
+    UNION ALL
+    SELECT v.conv_id, c.nth, c.id, c.words
+    FROM convs v JOIN coded c ON c.conv_id = v.conv_id - v.conv_id % 20 AND c.nth <= v.h
+),
+prefixes AS (
+    SELECT conv_id, row_number() OVER w AS depth, words,
+           string_agg(id::VARCHAR, ',') OVER w AS node
+    FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY nth)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+),
+paths AS (
+    SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS last
+    FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+),
+nodes AS (
+    SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(words) AS saving,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), ''))
+             AS ends_sha256
+    FROM paths GROUP BY node, depth
+),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+subtrees AS (
+    SELECT p.node, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum(n.saving) AS saved_tokens
+    FROM nodes n LEFT JOIN children c ON c.node = n.node
+    JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+    GROUP BY p.node
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes up ON up.node = n.parent
+LEFT JOIN children c ON c.node = n.node JOIN subtrees s ON s.node = n.node
 """,
 }
