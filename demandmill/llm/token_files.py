@@ -30,20 +30,23 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Split
 
 from demandmill.llm.common import map_arrow
 
@@ -51,18 +54,37 @@ MAGIC = b"bitids01"
 TRAILER = struct.Struct(">7Q8s")
 #: Ids of a block (a multiple of eight), bytes of text per shard.
 PER_BLOCK, SHARD_BYTES = 1 << 15, 16 << 20
-#: Rows of text encoded at once, words that a worker remembers.
-TEXTS_AT_ONCE, REMEMBERED = 256, 400_000
+#: Rows of text encoded at once, words that a worker remembers, new words to a line.
+TEXTS_AT_ONCE, REMEMBERED, LINES = 256, 600_000, 512
 #: An index of up to so many files (some 40 MB) may be broadcast.
 BROADCAST_FILES = 500_000
 
-#: Fixed value: how byte-level tokenizers of this kind cut a text into words.
-WORDS = (
-    r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: Characters whose classes have long been settled, so that every Unicode version cuts them alike.
+SETTLED = (
+    (0x0000, 0x04FF), (0x2010, 0x2027), (0x2030, 0x205E), (0x3041, 0x3096), (0x30A1, 0x30FA),
+    (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
 )
-#: A character outside the ranges whose classes have long been settled.
-UNSETTLED = "[^\x00-ӿ‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣]"
+
+
+def _class(kind: str) -> str:
+    """Settled characters of a Unicode category, for use between brackets."""
+    out = []
+    for first, last in SETTLED:
+        points = (p for p in range(first, last + 1) if unicodedata.category(chr(p))[0] == kind)
+        # Points in a row have one difference from their place.
+        for _, run in groupby(enumerate(points), lambda x: x[1] - x[0]):
+            run = [p for _, p in run]
+            out.append(f"{re.escape(chr(run[0]))}-{re.escape(chr(run[-1]))}")
+    return "".join(out)
+
+
+def word_pattern() -> re.Pattern:
+    """How byte-level tokenizers of this kind cut a text of settled characters into words."""
+    letter, digit, space = _class("L"), _class("N"), "\t-\r \x85\xa0"
+    return re.compile(
+        f"'(?:[sdmt]|ll|ve|re)| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+"
+        f"|[{space}]+(?![^{space}])|[{space}]+"
+    )
 
 
 # ---- packing ------------------------------------------------------------------------------------
@@ -140,6 +162,19 @@ class Shard:
 # ---- encoding -----------------------------------------------------------------------------------
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted(set(range(256)) - set(plain))
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+class _Places(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class Encoder:
     """The library's ids of texts; remembers words where they can be told apart safely."""
 
@@ -149,57 +184,101 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         kind = json.loads(self.tokenizer.to_str())
         pre, model = kind.get("pre_tokenizer") or {}, kind.get("model") or {}
+        self.alphabet = byte_alphabet()
+        # The same merges, over words that are cut already and end at line breaks.
+        line_break = self.alphabet[10]
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Split(line_break, "isolated")
+        self.newline = self._library(["\n"])[0]
         self.by_words = (
             not kind.get("normalizer") and not kind.get("truncation") and not kind.get("padding")
             and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True
             and not pre.get("add_prefix_space") and model.get("type") == "BPE"
-            and not model.get("dropout")
+            and not model.get("dropout") and len(self.newline) == 1
         )
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
-        self.vocabulary = max(self.vocabulary, largest + 1)
-        own = [regex.escape(t["content"]) for t in kind.get("added_tokens") or []]
-        self.whole = regex.compile("|".join([UNSETTLED, *own]))
-        self.words = regex.compile(WORDS)
-        self.forget()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.vocabulary = max(vocabulary.values(), default=0) + 1
+        self.added = [t["content"] for t in kind.get("added_tokens") or []]
+        settled = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in SETTLED)
+        self.unsettled, self.words = re.compile(f"[^{settled}]"), word_pattern()
+        self.place = _Places()
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
+        """Keep the words that came more than once, the most frequent half of the bound at most."""
+        often = np.flatnonzero(self.uses > 1)
+        most = max(1, REMEMBERED // 2)
+        if len(often) > most:
+            often = np.sort(often[np.argpartition(-self.uses[often], most)[:most]])
+        words = list(self.place)
+        self.place = _Places((words[i], n) for n, i in enumerate(often.tolist()))
+        self.ids = self.ids[self._at(often)]
+        self.sizes, self.uses = self.sizes[often], np.zeros(len(often), np.int64)
+
+    def _at(self, words: np.ndarray) -> np.ndarray:
+        """Where the ids of words stand in ``ids``."""
+        sizes = self.sizes[words]
+        ends = np.cumsum(sizes)
+        starts = (np.cumsum(self.sizes) - self.sizes)[words]
+        return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        found = self._library(words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        """Ids of new words. Words that are not white space go through the merges in lines, a word each."""
+        blank = [w.isspace() for w in words]
+        spaces = iter(self._library([w for w, b in zip(words, blank) if b]))
+        plain = [w for w, b in zip(words, blank) if not b]
+        lines = [
+            ("\n".join(plain[at : at + LINES]) + "\n").encode().decode("latin-1").translate(self.alphabet)
+            for at in range(0, len(plain), LINES)
+        ]
+        found = self.merges.encode_batch_fast(lines, add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in found)])
+        ends = np.flatnonzero(flat == self.newline[0])
+        if len(ends) != len(plain):
+            raise ValueError("the tokenizer joins words over line breaks")
+        starts = np.r_[0, ends[:-1] + 1]
+        own = iter(zip(starts.tolist(), ends.tolist()))
+        made = []
+        for b in blank:
+            if b:
+                made.append(np.array(next(spaces), np.uint32))
+            else:
+                first, end = next(own)
+                made.append(flat[first:end])
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        self.ids = np.concatenate([self.ids, *made])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(made), np.int64)])
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text."""
         if len(self.place) > REMEMBERED:
             self.forget()
-        cut: list[np.ndarray | None] = []
-        known, place = len(self.place), self.place
+        place, known = self.place, len(self.place)
+        at: list[int] = []
+        cut: list[tuple[int, int] | None] = []
         for text in texts:
-            if not self.by_words or self.whole.search(text):
+            if self.by_words and not self.unsettled.search(text) and not any(t in text for t in self.added):
+                start = len(at)
+                at.extend(map(place.__getitem__, self.words.findall(text)))
+                cut.append((start, len(at)))
+            else:
                 cut.append(None)
-                continue
-            words = self.words.findall(text)
-            cut.append(np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, len(words)))
         if len(place) > known:
-            self._learn(list(place)[known:])
-        for text, words in zip(texts, cut):
-            if words is None:
+            self._learn(list(islice(place, known, None)))
+        words = np.array(at, np.int64)
+        self.uses += np.bincount(words, minlength=len(self.uses))
+        ids = self.ids[self._at(words)]
+        upto = np.r_[0, np.cumsum(self.sizes[words])]
+        for text, span in zip(texts, cut):
+            if span is None:
                 yield np.array(self._library([text])[0], np.uint32)
             else:
-                sizes = self.sizes[words]
-                ends = np.cumsum(sizes)
-                total = int(ends[-1]) if len(ends) else 0
-                yield self.ids[np.arange(total) + np.repeat(self.starts[words] - (ends - sizes), sizes)]
+                yield ids[upto[span[0]] : upto[span[1]]]
 
 
 @lru_cache(maxsize=2)
