@@ -370,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "weekly_to_monthly": lambda s, d: shown(weekly.forecasts_long(_weekly(s, d))),
     "strict_sum": _strict,
     "ingest_reports_two_runs": lambda s, d: shown(files.reports_in_two_runs(s, d)),
+    "ingest_late_and_changed": lambda s, d: shown(files.late_and_changed(s, d)),
     "ingest_weekly_day_by_day": lambda s, d: shown(files.weekly_day_by_day(s, d)),
     "ingest_weekly_backlog": lambda s, d: shown(files.weekly_backlog(s, d)),
     "forecast_measures_wide": lambda s, d: shown(_measures(s, d)),

@@ -778,6 +778,7 @@ BACKTEST["model_forecasts_native"] = BACKTEST["model_forecasts"]
 MONTH_END["snapshot_export"] = MONTH_END["forecast_snapshot"]
 FILES = {
     "ingest_reports_two_runs": _reports()["clean_report_reviews"],
+    "ingest_late_and_changed": _reports()["clean_report_reviews"],
     "ingest_weekly_day_by_day": WEEK["weekly_to_monthly"],
     "ingest_weekly_backlog": WEEK["weekly_to_monthly"],
 }

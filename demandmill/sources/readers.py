@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from demandmill.functions.text import without_nul
 from demandmill.sources.layouts import Layout
 
 PATH = "Source_File"
+#: Headers read side by side.
+READERS = 16
 
 
 def _csv(spark: SparkSession):
@@ -33,16 +35,36 @@ def file_path() -> Column:
     return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
-def headers(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, tuple[str, ...]]]:
-    """Every file with its column names: one row per file reaches the driver."""
-    lines = spark.read.text(paths).where("_metadata.file_block_start = 0")
-    first = (
-        lines.select(file_path().alias(PATH), "value", F.monotonically_increasing_id().alias("n"))
-        .groupBy(PATH)
-        .agg(F.min_by("value", "n").alias("line"))
-    )
-    found = [(r[PATH], next(csv.reader([r.line.lstrip("\ufeff").removeprefix("ï»¿")]), [])) for r in first.collect()]
-    return sorted((path, tuple(n.strip() for n in names)) for path, names in found)
+def file_time() -> Column:
+    """Modification time of the row's file, in microseconds."""
+    return F.unix_micros("_metadata.file_modification_time")
+
+
+def headers(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, list[str]]]:
+    """Path and column names of every file that has a first line, by path.
+
+    Only the first line of a file is read, of many files side by side. Files are those of one load.
+    """
+    files = spark.read.format("binaryFile").load(paths).select("path", file_path().alias(PATH)).collect()
+
+    def names(file) -> tuple[str, list[str]]:
+        line = first_line(spark, file.path) or ""
+        cells = next(csv.reader([line.lstrip("\ufeff").removeprefix("ï»¿")]), [])
+        return file[PATH], [n.strip() for n in cells]
+
+    with ThreadPoolExecutor(READERS) as pool:
+        return sorted(x for x in pool.map(names, files) if x[1])
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """A file's first line; what follows stays unread."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
 
 
 def _by_position(spark: SparkSession, paths: str | list[str], width: int) -> DataFrame:
@@ -50,56 +72,67 @@ def _by_position(spark: SparkSession, paths: str | list[str], width: int) -> Dat
     return _csv(spark).schema(schema).csv(paths)
 
 
-def read_report(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
-    """Report CSVs: columns by position, all text, plus the file path.
+def read_report(
+    spark: SparkSession, paths: str | list[str], layout: Layout, **added: Column
+) -> DataFrame:
+    """Report CSVs: columns by position, all text, plus the file path and columns ``added``.
 
     Positions mean the same only under one header: files whose headers differ (but for case), or have
     not as many columns as the layout, are an error.
     """
-    found = headers(spark, paths)
-    kinds = {tuple(n.lower() for n in names) for _, names in found}
+    kinds = {tuple(n.lower() for n in names): path for path, names in headers(spark, paths)}
     if len(kinds) > 1:
-        raise ValueError(f"report files have {len(kinds)} different headers: {[p for p, _ in found]}")
+        raise ValueError(f"report files have different headers: {sorted(kinds.values())}")
     if kinds and len(next(iter(kinds))) != len(layout.columns):
         raise ValueError(f"{len(layout.columns)} columns expected, found {len(next(iter(kinds)))}")
     raw = _csv(spark).schema(layout.raw_schema()).csv(paths)
-    return raw.select("*", file_path().alias(PATH))
+    return raw.select("*", file_path().alias(PATH), *[c.alias(n) for n, c in added.items()])
 
 
-def read_weekly(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_weekly(spark: SparkSession, paths: str | list[str], **added: Column) -> DataFrame:
     """Weekly planning CSVs: all columns, each file's by the names in its own header, all text.
 
-    Files may order their columns differently; they must have the same ones, else it is an error.
+    Files may order their columns differently; they must have the same ones, else it is an error. All
+    files are one scan: where orders differ, a row's cells are picked by its file's places. Columns
+    ``added`` come last.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, names in headers(spark, paths):
-        groups.setdefault(tuple(weekly_names(list(names))), []).append(path)
-    if not groups:
+    found = [(path, weekly_names(names)) for path, names in headers(spark, paths)]
+    if not found:
         raise ValueError("no weekly file with a header")
-    first = next(iter(groups))
-    for names, files in groups.items():
-        if set(names) != set(first) or len(set(names)) != len(names):
-            odd = sorted(set(names) ^ set(first)) or "repeated names"
-            raise ValueError(f"columns of {files} do not match the other files: {odd}")
-    parts = [
-        _by_position(spark, files, len(names)).select(
-            *[without_nul(F.col(f"c{i}")).alias(n) for i, n in enumerate(names)],
-            file_path().alias(PATH),
-        )
-        for names, files in groups.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    first, names = found[0]
+    for path, other in found:
+        if set(other) != set(names) or len(set(other)) != len(other):
+            odd = sorted(set(other) ^ set(names)) or "repeated names"
+            raise ValueError(f"columns of {path} do not match {first}: {odd}")
+    rows = _by_position(spark, paths, len(names))
+    more = [file_path().alias(PATH), *[c.alias(n) for n, c in added.items()]]
+    if all(other == names for _, other in found):
+        cells = [without_nul(F.col(f"c{i}")).alias(n) for i, n in enumerate(names)]
+        return rows.select(*cells, *more)
+    # A row per file; Spark broadcasts it while it is small.
+    places = spark.createDataFrame(
+        [(path, [other.index(n) + 1 for n in names]) for path, other in found],
+        f"{PATH} string, __places array<int>",
+    )
+    cells = F.array(*[F.col(f"c{i}") for i in range(len(names))]).alias("__cells")
+    placed = rows.select(cells, *more).join(places, PATH)
+    return placed.select(
+        *[
+            without_nul(F.element_at("__cells", F.get("__places", F.lit(i)))).alias(n)
+            for i, n in enumerate(names)
+        ],
+        PATH, *added,
+    )
 
 
 def weekly_names(header: list[str]) -> list[str]:
-    """Header with the byte-order mark removed and the item's title named like in other files.
+    """Header with the item's title named like in other files.
 
     The title is the third column, unless one has that name already.
     """
-    names = [c.lstrip("﻿").removeprefix("ï»¿") for c in header]
-    if "Product_Title" not in names:
-        names[2] = "Product_Title"
-    return names
+    if "Product_Title" in header:
+        return header
+    return [*header[:2], "Product_Title", *header[3:]]
 
 
 def read_typed_csv(

@@ -41,6 +41,23 @@ def write_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The path's file system, and the path for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = hadoop(spark, path)
+    return system.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file, if it is there."""
+    system, at = hadoop(spark, path)
+    system.delete(at, True)
+
+
 def append_unique(all_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
     """History plus new rows, each distinct row once."""
     return all_rows.unionByName(new_rows).distinct()

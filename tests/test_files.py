@@ -1,6 +1,7 @@
 """Reading, writing, publication and file-drop ingest."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,9 +60,12 @@ def test_weekly_file(spark, tmp_path):
     assert (inv.Per_Rep_OOS, inv.Ordered_Units, inv.Replenishment_Category) == (0.05, 5, "Core")
 
 
-def test_byte_order_mark_names():
-    assert readers.weekly_names(["ï»¿ASIN", "UPC", "x"]) == ["ASIN", "UPC", "Product_Title"]
-    assert readers.weekly_names(["﻿ASIN", "UPC", "x"])[0] == "ASIN"
+def test_byte_order_mark_names(spark, tmp_path):
+    for n, mark in enumerate(("ï»¿", "\ufeff", "")):
+        (tmp_path / f"{n}.csv").write_text(f"{mark}ASIN, UPC,x\n", "utf-8")
+    (tmp_path / "3.csv").write_text("Product_Title,UPC,x\n")
+    assert [readers.weekly_names(names) for _, names in readers.headers(spark, str(tmp_path))] == [
+        ["ASIN", "UPC", "Product_Title"]] * 3 + [["Product_Title", "UPC", "x"]]
 
 
 def test_partition_overwrite_is_repeatable(spark, tmp_path):
@@ -158,7 +162,7 @@ def test_a_repeated_file_counts_once(spark, tmp_path):
     weekly_file(tmp_path / "drop" / "Copy of Weekly_04_13_2020.csv", "B1", "7")
     ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
     assert weekly_months(spark, out)[dt.date(2020, 4, 13), "B1", 5] == 31
-    assert ingest.published_rows(spark, f"{out}/inventory").count() == 1
+    assert ingest.published_rows(spark, out, "inventory").count() == 1
 
 
 def test_undated_files_are_listed(spark, tmp_path):
@@ -171,6 +175,94 @@ def test_undated_files_are_listed(spark, tmp_path):
     assert listed == {"no date.csv", "Weekly_13_45_2020.csv"}
 
 
+def age(path, days):
+    then = path.stat().st_mtime - 86_400 * days
+    os.utime(path, (then, then))
+
+
+def test_late_and_rewritten_files_are_loaded(spark, tmp_path):
+    drop, out, state = drop_folder(tmp_path)
+    a, b = (tmp_path / "drop" / f"Weekly_04_{d}_2020.csv" for d in (13, 20))
+
+    def load():
+        ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+        inventory = ingest.published_rows(spark, out, "inventory")
+        return weekly_months(spark, out), {(r.Date.day, r.ASIN) for r in inventory.collect()}
+
+    weekly_file(a, "B1", "7")
+    weekly_file(tmp_path / "drop" / "Weekly_old_04_13_2020.csv", "B3", "7")
+    age(tmp_path / "drop" / "Weekly_old_04_13_2020.csv", 30)
+    assert len(load()[0]) == 10
+    # one file is new, one comes ten days late
+    weekly_file(b, "B1", "14")
+    weekly_file(tmp_path / "drop" / "Weekly_late_04_20_2020.csv", "B2", "7")
+    age(tmp_path / "drop" / "Weekly_late_04_20_2020.csv", 10)
+    months, inventory = load()
+    assert len(months) == 20 and months[dt.date(2020, 4, 20), "B2", 5] == 31
+    # rewritten under its name: other values and another item
+    weekly_file(a, "B9", "70")
+    months, inventory = load()
+    assert months[dt.date(2020, 4, 13), "B9", 5] == 310
+    assert (dt.date(2020, 4, 13), "B1", 5) not in months
+    assert inventory == {(13, "B9"), (13, "B3"), (20, "B1"), (20, "B2")}
+    # a file that is being written has no bytes yet: what was loaded stays
+    a.write_text("")
+    assert load()[1] == inventory
+    # rewritten without rows
+    a.write_text(",".join(HEADER) + "\n")
+    months, inventory = load()
+    assert inventory == {(13, "B3"), (20, "B1"), (20, "B2")} and len(months) == 15
+    (tmp_path / "drop" / "Weekly_old_04_13_2020.csv").write_text(",".join(HEADER) + "\n")
+    months, inventory = load()
+    assert inventory == {(20, "B1"), (20, "B2")} and {v.day for v, *_ in months} == {20}
+    assert ingest.files_to_load(spark, drop, out).count() == 0
+
+
+def test_a_load_that_broke_is_done_again(spark, tmp_path, monkeypatch):
+    drop, out, state = drop_folder(tmp_path)
+    weekly_file(tmp_path / "drop" / "Weekly_04_13_2020.csv", "B1", "7")
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "publish_rows", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.ingest_weekly(spark, drop, out, state)
+    assert ingest.files_to_load(spark, drop, out).count() == 1
+    ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+    assert len(weekly_months(spark, out)) == 5
+    assert ingest.published_rows(spark, out, "inventory").count() == 1
+
+
+def test_files_come_in_groups_and_under_any_name(spark, tmp_path):
+    drop, out, state = drop_folder(tmp_path)
+    for n, name in enumerate(["a[1]", "b {x,y}", "c*", "d+e", "f%20g", "h?"]):
+        weekly_file(tmp_path / "drop" / f"{name}_04_13_2020.csv", f"B{n}", "7")
+    ingest.ingest_weekly(spark, drop, out, state, files_at_once=4).awaitTermination()
+    assert len(weekly_months(spark, out)) == 30
+    assert spark.read.parquet(f"{out}/files").agg(F.max("Load")).first()[0] == 2
+
+
+def test_publishing_reads_only_its_dates(spark, tmp_path, monkeypatch):
+    drop, out, state = drop_folder(tmp_path)
+    for day in (13, 20):
+        weekly_file(tmp_path / "drop" / f"Weekly_04_{day}_2020.csv", "B1", "7")
+    ingest.ingest_weekly(spark, drop, out, state).awaitTermination()
+    rows = ingest.current_rows(spark, out, "inventory", [dt.date(2020, 4, 20)])
+    scan = next(x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Date#" in x and "FileScan" in x)
+    assert "2020-04-20" in scan and "2020-04-13" not in scan
+    assert rows.count() == 1
+
+
+def test_headers_do_not_read_whole_files(spark, tmp_path):
+    """No job reads lines, however large a file is."""
+    head = ",".join(f"c{i}" for i in range(14))
+    (tmp_path / "big.csv").write_text(head + "\n" + ("x" * 1000 + "\n") * 100_000)
+    (tmp_path / "small.csv").write_text("\ufeffa, b\n1,2\n")
+    (tmp_path / "empty.csv").write_text("")
+    system = readers.first_line(spark, f"{tmp_path}/big.csv")
+    assert system == head
+    found = {path.split("/")[-1]: names for path, names in readers.headers(spark, str(tmp_path))}
+    assert found == {"big.csv": head.split(","), "small.csv": ["a", "b"]}
+
+
 def test_columns_in_another_order(spark, tmp_path):
     """Each file is read by its own header."""
     weekly_file(tmp_path / "Weekly_04_13_2020.csv", "B1", "7")
@@ -186,6 +278,8 @@ def test_columns_in_another_order(spark, tmp_path):
     got = {(r.POS_Fcst_Version_Date.day, r.Month_Num): r for r in monthly.collect()}
     assert (got[13, 5].Mean_Fcst, got[13, 5].P70_Fcst) == (31, 31)
     assert (got[20, 5].Mean_Fcst, got[20, 5].P70_Fcst) == (31, 310)
+    # both orders are one scan
+    assert raw._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
 
 
 def test_other_columns_are_an_error(spark, tmp_path):
@@ -210,7 +304,7 @@ def test_stream_of_reports(spark, tmp_path):
     for name, asin in (("R US UPC_June_2019.csv", "B"), ("R CA UPC_June_2019.csv", "C"), ("R.csv", "D")):
         (tmp_path / "drop" / name).write_text(f"{head}\n{asin},0,T,{','.join('7' * 11)}\n")
         ingest.ingest_reports(spark, drop, layouts.REVIEWS, out, state).awaitTermination()
-    rows = ingest.published_rows(spark, f"{out}/reports").collect()
+    rows = ingest.published_rows(spark, out, "reports").collect()
     assert sorted((r.ASIN, r.Date, r["5_Stars"]) for r in rows) == [
         ("B", dt.date(2019, 6, 1), 7), ("C", dt.date(2019, 6, 1), 7),
     ]
