@@ -101,8 +101,13 @@ def month_end_rework(
 
     Rows with an unknown key are dropped from the raw table; deltas keep theirs, filled.
     """
+    return rework_with(raw, month_end_deltas(raw, deltas, fill_keys, version), version)
+
+
+def rework_with(raw: DataFrame, ready: DataFrame, version: dt.date | None = None) -> DataFrame:
+    """``month_end_rework`` from the result of ``month_end_deltas``, such as a written one."""
     rows = with_month_year(latest_version(raw, version)).select(*raw.columns)
-    union = rows.unionByName(month_end_deltas(raw, deltas, fill_keys, version))
+    union = rows.unionByName(ready.select(*raw.columns))
     sums = union.dropna(subset=list(KEYS)).groupBy(*KEYS).agg(
         *[exact_total(m).alias(m) for m in METRICS]
     )

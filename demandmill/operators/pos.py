@@ -28,6 +28,9 @@ QUANTILES = ("P70", "P80", "P90")
 SEGMENT_ORDER = ("A", "B", "C", "Smooth", "Erratic", "Intermittent", "Lumpy")
 UNREPORTED_DEMAND = ("New", "Inactive")
 
+#: Partitions that rows without an item are spread over.
+SALTS = 64
+
 TREND_TYPES = ("Mean_Acc", "P70_Below", "P80_Below", "P90_Below")
 
 
@@ -78,14 +81,13 @@ def pos_accuracy_base(
     shared = [c for c in leadtimes.columns if c in rows.columns]
     items = leadtimes
     if segments is not None:
-        items = match_join(
-            leadtimes.withColumn("__known", F.lit(True)), segments, [("SKU", "ITEM_NUMBER")]
-        )
+        named = segments.where(F.col("ITEM_NUMBER").isNotNull())
+        items = leadtimes.join(named, F.col("SKU") == F.col("ITEM_NUMBER"), "left").drop("ITEM_NUMBER")
     rows = match_join(rows, items, [(c, c) for c in shared])
     rows = rows.withColumn("Our_LT", if_known(F.col("Lag") == F.col("Our_LT"), F.lit(True), F.lit(False)))
     rows = match_join(rows, shipped, [("Fcst_Date", "Date"), ("ASIN", "ASIN")])
     if segments is not None:
-        rows = _segments_of_unknown_items(rows, segments)
+        rows = _segments_without_item(rows, segments)
     metrics: dict[str, Column] = {
         "Mean_ABS_Error": F.abs(F.col("Mean_Fcst") - F.col("Shipped_Units"))
     }
@@ -105,17 +107,28 @@ def pos_accuracy_base(
     return rows.distinct() if dedupe else rows
 
 
-def _segments_of_unknown_items(rows: DataFrame, segments: DataFrame) -> DataFrame:
-    """Rows without a lead time have no SKU; they match the segments that have none.
+def _segments_without_item(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """Rows without a SKU (or without a lead time) match the segments that have no item.
 
-    Those few segments go to every row as one value, so the rows need no key of their own: NULL would
-    put them all into one partition.
+    Such segments are counted per pair of classes first, so a hot NULL is a few rows with counts, given
+    once per salt. Rows are spread over the salts, those with a SKU over salts that match nothing: NULL
+    would put them all into one partition. Copies come back by count after the join.
     """
     names = ["DEMAND_CAT_CU", "ABC_REV_ITM_CU"]
-    none = segments.where(F.col("ITEM_NUMBER").isNull()).agg(F.collect_list(F.struct(*names))).scalar()
-    matches = F.when(F.col("__known").isNull(), none).otherwise(F.array(F.struct(*names)))
-    found = rows.withColumn("__match", F.explode_outer(matches))
-    return found.withColumns({n: F.col(f"__match.{n}") for n in names}).drop("__match", "__known")
+    pairs = (
+        segments.where(F.col("ITEM_NUMBER").isNull())
+        .groupBy(*[F.col(n).alias(f"__{n}") for n in names])
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    spread = F.pmod(F.xxhash64("ASIN", "Fcst_Date", "POS_Fcst_Version_Date"), F.lit(SALTS)).cast("int")
+    unnamed = F.col("SKU").isNull()
+    salted = rows.withColumn("__salt", F.when(unnamed, spread).otherwise(-1 - spread))
+    joined = salted.join(pairs, "__salt", "left")
+    copies = F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
+    return joined.withColumns(
+        {"__copy": copies, **{n: F.when(unnamed, F.col(f"__{n}")).otherwise(F.col(n)) for n in names}}
+    ).drop("__salt", "__copy", "__copies", *[f"__{n}" for n in names])
 
 
 def view_totals(base: DataFrame, keys: list[str]) -> DataFrame:

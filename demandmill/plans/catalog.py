@@ -168,13 +168,26 @@ def _measures(spark: SparkSession, sf: str) -> DataFrame:
     return weekly.combine_forecast_measures([weekly.forecasts_long(_weekly(spark, sf))])
 
 
-def _append(spark: SparkSession, sf: str) -> DataFrame:
+def _append_halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders known already, and orders of a load that repeats a year of them."""
     orders = inputs.table(spark, sf, "orders").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("date")
     )
     known = orders.where(F.col("o_orderdate") < F.lit(dt.date(1999, 1, 1)))
-    loaded = orders.where(F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1)))
-    return sinks.append_unique(known, loaded)
+    return known, orders.where(F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1)))
+
+
+def _append(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.append_unique(*_append_halves(spark, sf))
+
+
+def _append_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on a stored table, a partition per quarter; the load is compared with its own alone."""
+    path = f"{shared_dir(spark)}/append-{uuid.uuid4().hex}"
+    halves = _append_halves(spark, sf)
+    for rows in halves:
+        sinks.append_new(spark, path, rows.withColumn("quarter", F.date_format("o_orderdate", "yyyy-'Q'Q")), ["quarter"])
+    return sinks.read_appended(spark, path, halves[0].schema)
 
 
 # ---- month end ----------------------------------------------------------------------------------
@@ -202,42 +215,53 @@ def _variance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _published(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
-    """Month ends of two versions published one after the other; their folder and column types."""
-    root = f"{shared_dir(spark)}/month-end-{uuid.uuid4().hex}"
+class OutputBroken(Exception):
+    """A run that ends between two outputs."""
+
+
+def _publish(spark: SparkSession, sf: str, root: str, version: dt.date, breaks: bool = False) -> None:
     raw, deltas = inputs.month_end_raw(spark, sf), inputs.month_end_deltas(spark, sf)
+
+    def rework(written: DataFrame) -> DataFrame:
+        if breaks:
+            raise OutputBroken
+        return monthend.rework_with(raw, written, version)
+
+    ready = monthend.month_end_deltas(raw, deltas, version=version)
+    sinks.publish_month_end(ready, rework, root, version)
+
+
+def _published(spark: SparkSession, sf: str) -> str:
+    """Folder with month ends of two versions published one after the other."""
+    root = f"{shared_dir(spark)}/month-end-{uuid.uuid4().hex}"
     for version in (inputs.LAST_VERSION, inputs.THIS_VERSION):
-        sinks.publish_month_end(
-            monthend.month_end_rework(raw, deltas, version=version),
-            monthend.month_end_deltas(raw, deltas, version=version),
-            root,
-            version,
-        )
+        _publish(spark, sf, root, version)
+    return root
+
+
+def _published_types(*without: str) -> T.StructType:
     fields = {f.name: f for f in layouts.MONTH_END.fields}
-    schema = T.StructType(
-        [fields.get(c, T.StructField(c, T.DoubleType())) for c in monthend.PUBLISHED]
-    )
-    return root, schema
+    names = [c for c in monthend.PUBLISHED if c not in without]
+    return T.StructType([fields.get(c, T.StructField(c, T.DoubleType())) for c in names])
 
 
 def _roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Publish the month end, then read the exported current table back."""
-    root, schema = _published(spark, sf)
-    return readers.read_typed_csv(spark, f"{root}/current_csv", schema, "MM/dd/yyyy")
+    path = sinks.published_path(spark, _published(spark, sf), "current_csv")
+    return readers.read_typed_csv(spark, path, _published_types(), "MM/dd/yyyy")
 
 
-def _outputs(spark: SparkSession, sf: str) -> DataFrame:
+def _output_sums(spark: SparkSession, root: str, version: dt.date) -> DataFrame:
     """All five published outputs read back: rows and sums of each."""
-    root, schema = _published(spark, sf)
-    part = T.StructType([f for f in schema.fields if f.name != monthend.COMBINED])
+    export = lambda name, *without: readers.read_typed_csv(
+        spark, sinks.published_path(spark, root, name), _published_types(*without), "MM/dd/yyyy"
+    )
     tables = {
-        "deltas": spark.read.parquet(f"{root}/deltas").where(
-            F.col(monthend.VERSION) == F.lit(inputs.THIS_VERSION)
-        ),
-        "monthly": sinks.published_month(spark, root, inputs.THIS_VERSION),
-        "current": readers.read_typed_csv(spark, f"{root}/current_csv", schema, "MM/dd/yyyy"),
-        "last_month": readers.read_typed_csv(spark, f"{root}/last_month_csv", part, "MM/dd/yyyy"),
-        "previous": readers.read_typed_csv(spark, f"{root}/previous_month_csv", schema, "MM/dd/yyyy"),
+        "deltas": sinks.published_month(spark, root, version, "deltas"),
+        "monthly": sinks.published_month(spark, root, version),
+        "current": export("current_csv"),
+        "last_month": export("last_month_csv", monthend.COMBINED),
+        "previous": export("previous_month_csv"),
     }
     counted = [
         df.agg(
@@ -249,6 +273,38 @@ def _outputs(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def _outputs(spark: SparkSession, sf: str) -> DataFrame:
+    return _output_sums(spark, _published(spark, sf), inputs.THIS_VERSION)
+
+
+def _broken(spark: SparkSession, sf: str) -> DataFrame:
+    """One version is published; the run of the next breaks after its first output: the old one is whole."""
+    root = f"{shared_dir(spark)}/month-end-{uuid.uuid4().hex}"
+    _publish(spark, sf, root, inputs.LAST_VERSION)
+    try:
+        _publish(spark, sf, root, inputs.THIS_VERSION, breaks=True)
+    except OutputBroken:
+        sinks.drop_unnamed(spark, root)
+    return _output_sums(spark, root, inputs.LAST_VERSION)
+
+
+def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    return monthend.forecast_snapshot(
+        _month_end(spark, sf), inputs.snapshot_history(spark, sf), inputs.THIS_VERSION
+    )
+
+
+def _snapshot_rewritten(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored snapshot history read, extended by this month's, and switched to."""
+    root = f"{shared_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    current = _month_end(spark, sf)
+    sinks.rewrite(spark, root, lambda _: inputs.snapshot_history(spark, sf))
+    sinks.rewrite(
+        spark, root, lambda old: monthend.forecast_snapshot(current, old, inputs.THIS_VERSION)
+    )
+    return monthend.snapshot_export(sinks.read_current(spark, root, layouts.SNAPSHOT))
+
+
 def _previous_month(spark: SparkSession, sf: str) -> DataFrame:
     """Order value of every month beside the month before it, with both export names."""
     monthly = (
@@ -375,19 +431,18 @@ QUERIES: dict[str, Query] = {
     "ingest_weekly_backlog": lambda s, d: shown(files.weekly_backlog(s, d)),
     "forecast_measures_wide": lambda s, d: shown(_measures(s, d)),
     "append_unique": lambda s, d: shown(_append(s, d)),
+    "append_new_partitions": lambda s, d: shown(_append_stored(s, d)),
     "write_read_roundtrip": lambda s, d: shown(_roundtrip(s, d)),
     "published_outputs": lambda s, d: shown(_outputs(s, d)),
-    "snapshot_export": lambda s, d: monthend.snapshot_export(
-        monthend.forecast_snapshot(_month_end(s, d), inputs.snapshot_history(s, d), inputs.THIS_VERSION)
-    ),
+    "published_after_break": lambda s, d: shown(_broken(s, d)),
+    "snapshot_export": lambda s, d: monthend.snapshot_export(_snapshot(s, d)),
+    "snapshot_rewritten": _snapshot_rewritten,
     "previous_month_partition": lambda s, d: shown(_previous_month(s, d)),
     "month_end_rework": lambda s, d: shown(_month_end(s, d)),
     "month_end_rework_r": lambda s, d: shown(_month_end_r(s, d)),
     "month_end_rework_r_pooled": lambda s, d: shown(_month_end_r(s, d, pooled=True)),
     "month_over_month_top10": _variance,
-    "forecast_snapshot": lambda s, d: monthend.forecast_snapshot(
-        _month_end(s, d), inputs.snapshot_history(s, d), inputs.THIS_VERSION
-    ),
+    "forecast_snapshot": _snapshot,
     "harmonise_accuracy": _harmonised,
     "error_metrics": lambda s, d: harmonise.error_metrics(_harmonised(s, d)),
     "canonical_customer": _combined,

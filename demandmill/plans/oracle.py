@@ -413,6 +413,25 @@ def month_end_sql(version: str, me: str, keep_null: bool) -> str:
   FROM {me}_rows GROUP BY ALL)"""
 
 
+def outputs_sql(now: str, before: str | None) -> str:
+    """Rows and sums of the five outputs of version ``now``, the one before being published or not."""
+    sums = """SELECT '{v}' AS version, count(*) AS n, {s} AS s, {f} AS f, {d} AS d FROM {t}"""
+    part = lambda v, t: sums.format(v=v, t=t, s=exact2("ship"), f=exact2("fcst"), d=exact2("delta"))
+    earlier = f"{month_end_sql(before, 'prev', False)}," if before else ""
+    previous = part(before, "prev") if before else "SELECT NULL AS version, 0 AS n, 0 AS s, 0 AS f, 0 AS d"
+    return f"""WITH {ORDER_ROWS}, {month_end_sql(now, "me", False)},
+{earlier}
+delta_rows AS (
+  SELECT CAST(v * CASE srp5 WHEN '1-URGENT' THEN 0.02 ELSE -0.01 END AS DOUBLE) AS delta
+  FROM grouped WHERE srp5 IN ('1-URGENT', '2-HIGH')),
+sums AS ({part(now, "me")}),
+before AS ({previous})
+SELECT o AS output, n, version, s AS "Shipments", f AS "Forecast", d AS "Delta"
+FROM sums, (VALUES ('monthly'), ('current'), ('last_month')) AS names(o)
+UNION ALL SELECT 'previous', n, version, s, f, d FROM before
+UNION ALL SELECT 'deltas', count(*), '{now}', 0, 0, {exact2("delta")} FROM delta_rows"""
+
+
 def month_end_columns(version: str, director: bool, combined: str = "combined") -> str:
     d = "director AS \"Director\"," if director else ""
     return f"""'{version}' AS "ME_Version_Date", country AS "Country", division AS "Division",
@@ -483,23 +502,8 @@ SELECT customer AS "Customer", division AS "Division", country AS "Country",
        manager AS "Sales_Manager", m AS "Month_No", y AS "Year", t AS "Forecast_Type",
        x AS "Forecast_Plus_Delta"
 FROM both_parts, (VALUES ('BF'), ('LE')) AS types(t)""",
-    "published_outputs": f"""WITH {ORDER_ROWS}, {month_end_sql(THIS, "me", False)},
-{month_end_sql(LAST, "prev", False)},
-delta_rows AS (
-  SELECT CAST(v * CASE srp5 WHEN '1-URGENT' THEN 0.02 ELSE -0.01 END AS DOUBLE) AS delta
-  FROM grouped WHERE srp5 IN ('1-URGENT', '2-HIGH')),
-sums AS (
-  SELECT '{THIS}' AS version, count(*) AS n, {exact2("ship")} AS s, {exact2("fcst")} AS f,
-         {exact2("delta")} AS d
-  FROM me),
-before AS (
-  SELECT '{LAST}' AS version, count(*) AS n, {exact2("ship")} AS s, {exact2("fcst")} AS f,
-         {exact2("delta")} AS d
-  FROM prev)
-SELECT o AS output, n, version, s AS "Shipments", f AS "Forecast", d AS "Delta"
-FROM sums, (VALUES ('monthly'), ('current'), ('last_month')) AS names(o)
-UNION ALL SELECT 'previous', n, version, s, f, d FROM before
-UNION ALL SELECT 'deltas', count(*), '{THIS}', 0, 0, {exact2("delta")} FROM delta_rows""",
+    "published_outputs": outputs_sql(THIS, LAST),
+    "published_after_break": outputs_sql(LAST, None),
     "previous_month_partition": """WITH m AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
@@ -776,9 +780,11 @@ FROM scored GROUP BY 1, 2, 3, 4""",
 
 BACKTEST["model_forecasts_native"] = BACKTEST["model_forecasts"]
 MONTH_END["snapshot_export"] = MONTH_END["forecast_snapshot"]
+MONTH_END["snapshot_rewritten"] = MONTH_END["forecast_snapshot"]
 FILES = {
     "ingest_reports_two_runs": _reports()["clean_report_reviews"],
     "ingest_late_and_changed": _reports()["clean_report_reviews"],
+    "append_new_partitions": CLEAN["append_unique"],
     "ingest_weekly_day_by_day": WEEK["weekly_to_monthly"],
     "ingest_weekly_backlog": WEEK["weekly_to_monthly"],
 }

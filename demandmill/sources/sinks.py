@@ -1,18 +1,30 @@
 """Writers and publication.
 
-A published table is a Parquet directory partitioned by its version. Loading a version again
-replaces just its partition, so a repeated or restarted load gives the same table, and history is
-not read to add to it.
+A partitioned table is a Parquet directory; loading a version again replaces just its partition, so a
+repeated or restarted load gives the same table, and history is not read to add to it.
+
+Outputs that belong together are published at once: each run writes a folder of its own, and one small
+pointer file, replaced in one step at the end, names the folders that count. Readers follow it. A run
+that breaks leaves the pointer as it was, so readers see the old version whole, and a table is never
+written where it is being read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandmill.functions.rules import col
+from demandmill.sources.readers import first_line, read_table
+
+POINTER = "current.json"
+ROW_DIGEST = "Row_Digest"
 
 
 def write_csv(df: DataFrame, path: str, date_format: str = "yyyy-MM-dd") -> None:
@@ -63,19 +75,89 @@ def append_unique(all_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
     return all_rows.unionByName(new_rows).distinct()
 
 
-def write_version(df: DataFrame, root: str, version: str) -> str:
-    """Write a new version beside the others; returns its directory.
+def append_new(
+    spark: SparkSession, path: str, new_rows: DataFrame, keys: list[str]
+) -> None:
+    """``append_unique`` on a stored table partitioned by ``keys``: writes only rows it does not hold.
 
-    Used where a table is built from its own last version: the path being read is never the path
-    being written.
+    A stored row carries a digest of its values. The new rows are compared, by digest alone, with the
+    partitions that they themselves fall in; no other partition is read, and nothing is written again.
     """
-    path = f"{root}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    values = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(new_rows.columns)]), {"ignoreNullFields": "false"})
+    rows = new_rows.withColumn(ROW_DIGEST, F.sha2(values, 256)).dropDuplicates([ROW_DIGEST])
+    if exists(spark, path):
+        touched = new_rows.select(*keys).distinct().collect()
+        # One condition per partition of the load; a load has few.
+        here = F.lit(False)
+        for row in touched:
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(f"`{k}`").eqNullSafe(F.lit(row[k]))
+            here = here | same
+        schema = rows.schema
+        stored = spark.read.schema(schema).parquet(path).where(here).select(ROW_DIGEST)
+        rows = rows.join(stored, ROW_DIGEST, "left_anti")
+    rows.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of ``append_new``."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+# ---- pointer ------------------------------------------------------------------------------------
+
+
+def read_pointer(spark: SparkSession, root: str) -> dict:
+    """What the pointer names; nothing before the first publication."""
+    path = f"{root}/{POINTER}"
+    return json.loads(first_line(spark, path)) if exists(spark, path) else {}
+
+
+def switch_pointer(spark: SparkSession, root: str, named: dict) -> None:
+    """Replace the pointer in one step."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    system, target = hadoop(spark, f"{root}/{POINTER}")
+    target = system.makeQualified(target)
+    fresh = jvm.Path(target.getParent(), f".{POINTER}-{uuid.uuid4().hex}")
+    out = system.create(fresh)
+    out.write(bytearray(json.dumps(named).encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    options[0] = jvm.Options.Rename.OVERWRITE
+    jvm.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        fresh, target, options
+    )
+
+
+def new_run() -> str:
+    """Name of a folder for one run."""
+    return f"run-{uuid.uuid4().hex}"
+
+
+def drop_unnamed(spark: SparkSession, root: str) -> None:
+    """Remove the folders of runs that the pointer does not name. No run may be under way."""
+    named = json.dumps(read_pointer(spark, root))
+    system, at = hadoop(spark, root)
+    for status in system.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith("run-") and name not in named:
+            system.delete(status.getPath(), True)
 
 
-def read_version(spark: SparkSession, root: str, version: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={version}")
+def rewrite(
+    spark: SparkSession, root: str, change: Callable[[DataFrame | None], DataFrame]
+) -> None:
+    """Read-modify-write: the current rows (None at first), changed, are written beside them, then count."""
+    named = read_pointer(spark, root)
+    old = read_current(spark, root) if named else None
+    run = new_run()
+    change(old).write.parquet(f"{root}/{run}")
+    switch_pointer(spark, root, {"rows": run, "before": named.get("rows")})
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    return read_table(spark, f"{root}/{read_pointer(spark, root)['rows']}", schema)
 
 
 def export_name(version: Column | str) -> Column:
@@ -89,38 +171,55 @@ def export_name(version: Column | str) -> Column:
     )
 
 
-def with_month_keys(df: DataFrame, version: str = "ME_Version_Date") -> DataFrame:
-    return df.withColumns({"me_year": F.year(version), "me_month": F.month(version)})
+def month_key(version: dt.date) -> str:
+    return f"{version:%Y-%m}"
+
+
+def month_before(version: dt.date) -> dt.date:
+    """A day of the month before; in January that is December of the year before."""
+    return version.replace(day=1) - dt.timedelta(days=1)
 
 
 def publish_month_end(
-    current: DataFrame, deltas: DataFrame, root: str, version: dt.date
+    deltas: DataFrame, rework: Callable[[DataFrame], DataFrame], root: str, version: dt.date
 ) -> None:
-    """Write the month-end outputs of one version.
+    """Write the five month-end outputs of one version, then make them count together.
 
-    ``current`` is computed once, into its month's partition of the history; the exports (current,
-    current without the combined column, previous month) read the partitions they need.
+    ``rework`` makes the current table from the written deltas, so these are computed once. The exports
+    (current, current without the combined column, previous month) are read from written months. The
+    pointer names a folder per month for deltas and current tables, so other months stay where they are.
     """
-    spark = current.sparkSession
-    write_partitions(with_month_keys(deltas), f"{root}/deltas", ["me_year", "me_month"])
-    write_partitions(with_month_keys(current), f"{root}/monthly", ["me_year", "me_month"])
-    written = published_month(spark, root, version)
-    write_csv(written, f"{root}/current_csv", "MM/dd/yyyy")
-    write_csv(written.drop("Actl_TP_Fcst_Delta"), f"{root}/last_month_csv", "MM/dd/yyyy")
-    write_csv(
-        previous_month(spark, root, version), f"{root}/previous_month_csv", "MM/dd/yyyy"
+    spark = deltas.sparkSession
+    named, run, key = read_pointer(spark, root), new_run(), month_key(version)
+    deltas.write.parquet(f"{root}/{run}/deltas")
+    rework(spark.read.parquet(f"{root}/{run}/deltas")).write.parquet(f"{root}/{run}/monthly")
+    written = spark.read.parquet(f"{root}/{run}/monthly")
+    write_csv(written, f"{root}/{run}/current_csv", "MM/dd/yyyy")
+    write_csv(written.drop("Actl_TP_Fcst_Delta"), f"{root}/{run}/last_month_csv", "MM/dd/yyyy")
+    months = named.get("monthly", {}) | {key: f"{run}/monthly"}
+    before = months.get(month_key(month_before(version)))
+    previous = spark.read.parquet(f"{root}/{before}") if before else written.limit(0)
+    write_csv(previous, f"{root}/{run}/previous_month_csv", "MM/dd/yyyy")
+    exports = {n: f"{run}/{n}" for n in ("current_csv", "last_month_csv", "previous_month_csv")}
+    switch_pointer(
+        spark, root,
+        {"monthly": months, "deltas": named.get("deltas", {}) | {key: f"{run}/deltas"}, **exports},
     )
 
 
-def published_month(spark: SparkSession, root: str, version: dt.date) -> DataFrame:
-    """Published rows of the month of ``version``; only that partition is read."""
-    return (
-        spark.read.parquet(f"{root}/monthly")
-        .where((F.col("me_year") == version.year) & (F.col("me_month") == version.month))
-        .drop("me_year", "me_month")
-    )
+def published_path(spark: SparkSession, root: str, output: str, version: dt.date | None = None) -> str:
+    """Folder of a published output; of its month, for ``monthly`` and ``deltas``."""
+    at = read_pointer(spark, root)[output]
+    return f"{root}/{at if version is None else at[month_key(version)]}"
+
+
+def published_month(
+    spark: SparkSession, root: str, version: dt.date, output: str = "monthly"
+) -> DataFrame:
+    """Published rows of the month of ``version``; only that month is read."""
+    return spark.read.parquet(published_path(spark, root, output, version))
 
 
 def previous_month(spark: SparkSession, root: str, version: dt.date) -> DataFrame:
-    """Published rows of the month before; in January that is December of the year before."""
-    return published_month(spark, root, version.replace(day=1) - dt.timedelta(days=1))
+    """Published rows of the month before."""
+    return published_month(spark, root, month_before(version))

@@ -86,33 +86,80 @@ def test_append_unique_twice_is_once(spark):
     assert once.count() == 3
 
 
-def test_versions(spark, tmp_path):
+def test_append_new_reads_only_its_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "i int, s string, day date"
+    day = lambda n: dt.date(2020, 1, n)
+    first = [(1, "a", day(1)), (1, "a", day(1)), (2, None, day(2)), (3, "c", None)]
+    second = [(2, None, day(2)), (4, "d", day(2)), (4, "d", day(2)), (3, "c", None), (5, "e", day(3))]
+    sinks.append_new(spark, path, spark.createDataFrame(first, schema), ["day"])
+    before = {f.name for f in (tmp_path / "t").rglob("*.parquet")}
+    # a partition that the load does not fall in may even be unreadable
+    for file in (tmp_path / "t" / "day=2020-01-01").glob("*.parquet"):
+        file.rename(f"{file}.away")
+        file.write_bytes(b"no parquet")
+    sinks.append_new(spark, path, spark.createDataFrame(second, schema), ["day"])
+    for file in (tmp_path / "t" / "day=2020-01-01").glob("*.away"):
+        file.rename(str(file).removesuffix(".away"))
+    rows = sinks.read_appended(spark, path, spark.createDataFrame([], schema).schema).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted({*first, *second}, key=repr)
+    assert before <= {f.name for f in (tmp_path / "t").rglob("*.parquet")}
+    sinks.append_new(spark, path, spark.createDataFrame(second, schema), ["day"])
+    assert spark.read.parquet(path).count() == len(rows)
+
+
+def test_rewrite_switches_at_the_end(spark, tmp_path):
     root = str(tmp_path / "v")
-    sinks.write_version(spark.createDataFrame([(1,)], "i int"), root, "2020-01")
-    old = sinks.read_version(spark, root, "2020-01")
-    sinks.write_version(old.withColumn("i", F.col("i") + 1), root, "2020-02")
-    assert sinks.read_version(spark, root, "2020-02").first().i == 2
-    assert sinks.read_version(spark, root, "2020-01").first().i == 1
+    assert sinks.read_pointer(spark, root) == {}
+    sinks.rewrite(spark, root, lambda old: spark.createDataFrame([(1,)], "i int"))
+    old = sinks.read_current(spark, root)
+    with pytest.raises(ZeroDivisionError):
+        sinks.rewrite(spark, root, lambda rows: 1 / 0)
+    broken = lambda rows: rows.withColumn("i", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.rewrite(spark, root, broken)
+    assert sinks.read_current(spark, root).first().i == 1
+    sinks.rewrite(spark, root, lambda rows: rows.withColumn("i", F.col("i") + 1))
+    assert sinks.read_current(spark, root).first().i == 2
+    # a reader that began before the switch reads on
+    assert old.first().i == 1
+    sinks.drop_unnamed(spark, root)
+    runs = {p.name for p in (tmp_path / "v").iterdir() if p.name.startswith("run-")}
+    assert runs == {v for v in sinks.read_pointer(spark, root).values()}
 
 
 def test_publish_over_new_year(spark, sf, tmp_path):
     root = str(tmp_path / "me")
     raw, deltas = inputs.month_end_raw(spark, sf), inputs.month_end_deltas(spark, sf)
-    december, january = dt.date(2019, 12, 31), dt.date(2020, 1, 31)
-    for v in (december, january):
+    december, january, february = dt.date(2019, 12, 31), dt.date(2020, 1, 31), dt.date(2020, 2, 29)
+
+    def publish(v, rework=monthend.rework_with):
         stamp = lambda df: monthend.latest_version(df).withColumn("ME_Version_Date", F.lit(v))
         r, d = stamp(raw), stamp(deltas)
-        sinks.publish_month_end(
-            monthend.month_end_rework(r, d), monthend.month_end_deltas(r, d), root, v
-        )
+        sinks.publish_month_end(monthend.month_end_deltas(r, d), lambda w: rework(r, w), root, v)
+
+    csv = lambda name: spark.read.option("header", True).csv(sinks.published_path(spark, root, name))
+    publish(december)
+    assert csv("previous_month_csv").count() == 0
+    publish(january)
     now, before = sinks.published_month(spark, root, january), sinks.previous_month(spark, root, january)
     assert now.count() == before.count() > 0
     assert {r[0] for r in before.select("ME_Version_Date").distinct().collect()} == {december}
-    lines = spark.read.option("header", True).csv(f"{root}/last_month_csv")
+    lines = csv("last_month_csv")
     assert "Actl_TP_Fcst_Delta" not in lines.columns and lines.count() == now.count()
     assert {r[0] for r in lines.select("ME_Version_Date").distinct().collect()} == {"01/31/2020"}
-    csv = spark.read.option("header", True).csv(f"{root}/previous_month_csv")
-    assert csv.count() == before.count()
+    assert csv("previous_month_csv").count() == before.count()
+    # a run that breaks while its second output is written changes nothing that a reader sees
+    named = sinks.read_pointer(spark, root)
+    with pytest.raises(Exception, match="broken"):
+        publish(february, lambda r, w: monthend.rework_with(r, w).withColumn(
+            "Country", F.raise_error(F.lit("broken")).cast("string")))
+    assert sinks.read_pointer(spark, root) == named and lines.count() == now.count()
+    # the month again: its folder is another, the others stay
+    publish(january)
+    again = sinks.read_pointer(spark, root)
+    assert again["monthly"]["2019-12"] == named["monthly"]["2019-12"]
+    assert again["monthly"]["2020-01"] != named["monthly"]["2020-01"]
 
 
 def test_export_name(spark):

@@ -11,7 +11,9 @@ from demandmill.plans.catalog import QUERIES
 from demandmill.sources import layouts
 
 # These write their tables when called.
-EAGER = {n for n in QUERIES if n.startswith("ingest_")} | {"write_read_roundtrip", "published_outputs"}
+EAGER = {n for n in QUERIES if n.startswith(("ingest_", "published_"))} | {
+    "write_read_roundtrip", "snapshot_rewritten", "append_new_partitions",
+}
 
 
 def plan(df):

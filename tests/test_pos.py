@@ -162,6 +162,37 @@ def test_items_without_a_lead_time_match_segments_without_an_item(spark):
         assert sorted(((r.ASIN, r.DEMAND_CAT_CU) for r in got), key=repr) == sorted(want, key=repr)
 
 
+def test_a_third_of_both_sides_without_an_item(spark):
+    """Hot NULLs, counted and salted, give what matching row by row gives, copies included."""
+    rng = random.Random(5)
+    asins = [f"A{i}" for i in range(60)]
+    fc = forecast(spark, [(VERSION, a, 5, 1.0) for a in asins])
+    lead = [(a, None if i % 3 == 0 else f"S{i}", 1, "c", "s") for i, a in enumerate(asins[:50])]
+    lead += lead[:9]
+    seg = [(None, rng.choice("XY"), rng.choice(["A", None])) for _ in range(40)]
+    seg += [(f"S{i}", "Z", "B") for i in range(0, 60, 2)]
+    kind = "ITEM_NUMBER string, DEMAND_CAT_CU string, ABC_REV_ITM_CU string"
+    ships = shipped(spark, [(dt.date(2020, 5, 1), a, 1.0) for a in asins])
+
+    def plain(lead, seg):
+        out = []
+        for a in asins:
+            skus = [x[1] for x in lead if x[0] == a] or [None]
+            for sku in skus:
+                out += [(a, sku, d, c) for n, d, c in seg if n == sku] or [(a, sku, None, None)]
+        return out
+
+    for dedupe in (False, True):
+        got = pos.pos_accuracy_base(
+            fc, leads(spark, lead), ships, ASOF, spark.createDataFrame(seg, kind), dedupe
+        )
+        text = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in text
+        rows = [(r.ASIN, r.SKU, r.DEMAND_CAT_CU, r.ABC_REV_ITM_CU) for r in got.collect()]
+        want = plain(set(lead), set(seg)) if dedupe else plain(lead, seg)
+        assert sorted(rows, key=repr) == sorted(want, key=repr)
+
+
 def test_forecast_rows_take_part_in_two_joins(spark, sf):
     from demandmill.plans import catalog
 
