@@ -166,12 +166,13 @@ def _bucket(docs: DataFrame) -> Column | None:
         return F.lit(-1)
     buckets = min(math.ceil(found.n / BUCKET_ROWS), MAX_BUCKETS)
     starts = sorted({found.low, *found.cuts[:: math.ceil(RANGES / buckets)]})
-    ends = [*starts[1:], found.high + 1]
+    # The last range ends with the largest id there can be, at most.
+    ends = [*starts[1:], min(found.high + 1, (1 << 63) - 1)]
     parts = max(1, buckets // len(starts))
     doc_id = F.col("doc_id")
     nth = F.size(F.filter(_numbers(starts, "long"), lambda s: s <= doc_id)) - 1
     low = F.get(_numbers(starts, "long"), nth).cast("double")
-    width = F.get(_numbers(ends, "long"), nth).cast("double") - low
+    width = F.greatest(F.get(_numbers(ends, "long"), nth).cast("double") - low, F.lit(1.0))
     part = F.least(F.lit(parts - 1), F.floor((doc_id.cast("double") - low) / width * parts))
     return F.when(doc_id.isNull(), F.lit(-1)).otherwise(nth * parts + part).cast("int")
 

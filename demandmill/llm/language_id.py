@@ -5,20 +5,24 @@ itself, each hashed to a bucket with an embedding. A text is the average over al
 words; a linear softmax over that average gives the languages. Both layers are trained together by
 minibatch stochastic gradient descent in numpy.
 
-Training takes a bounded sample: about ``per_class`` labelled rows of each language, chosen by a hash
-of the id, each reduced on its executor to ``BUCKETS`` half-precision numbers. A fifth of them is held
-back for calibration: a temperature that minimises their log loss, and a rejection threshold that at
-most ``max_loss`` of their rightly predicted rows fall under.
-
-Null text, or text without a letter, gives ``und`` with score 0 and is rejected, as is every text when
-there was nothing to learn from. Rows are scored one by one, so repeated rows agree. Other columns stay
-as they are; columns named like a result are replaced.
+Training takes a bounded sample: of each language the ``per_class`` different labelled rows with the
+smallest hashes of id and text, each reduced on its executor to ``BUCKETS`` half-precision numbers. A
+fifth of them is held back for calibration: a temperature that minimises their log loss, and a rejection
+threshold that at most ``max_loss`` of their rightly predicted rows fall under. The driver holds the
+sample and a column per language, so the languages must be few (some hundreds).
+
+Null text, or text without a letter (numbers like \u00bd and \u2167 are none), gives ``und`` with score 0 and is
+rejected, as is every text when there was nothing to learn from. Rows are scored one by one, so repeated
+rows agree; they count once in the sample. Of languages with equal scores the first by name is given.
+Texts of any length are scored whole, some megabytes of them at a time. Other columns stay as they are;
+columns named like a result are replaced. An empty table gives no rows, and no model.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,7 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandmill.llm.common import map_arrow, text_column, with_columns_after
@@ -34,7 +38,11 @@ from demandmill.llm.common import map_arrow, text_column, with_columns_after
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS, GRAMS = 4096, 16, (2, 3, 4, 5)
 PER_CLASS, MAX_LOSS = 500, 0.001
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Word characters that are neither letters nor digits: fractions, raised digits, Roman numerals.
+NUMBERS = "".join(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()
+)
+LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
 #: Words a worker remembers between texts; past that it starts anew.
 REMEMBERED = 200_000
 
@@ -51,7 +59,7 @@ def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(len(flat), np.uint64)
     for n in range(1, max(GRAMS) + 1):
         ahead = np.zeros(len(flat), np.uint64)
-        ahead[: len(flat) - n + 1] = flat[n - 1 :]
+        ahead[: max(0, len(flat) - n + 1)] = flat[n - 1 :]
         key = key * np.uint64(257) + ahead + np.uint64(1)
         if n in GRAMS:
             at = np.flatnonzero(left >= n)
@@ -161,23 +169,23 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Model | None:
     """A model from labelled rows for which ``learn`` holds; None when there are none.
 
-    ``per_class`` bounds the sample: that many rows of a language are expected, twice as many in all
-    can come.
+    ``per_class`` bounds the sample, and the same rows are chosen however the table is dealt out.
     """
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("sample")), 11) / float(1 << 53)
+    hashed = F.xxhash64("doc_id", "text", F.lit("sample")).alias("__h")
+    draw = F.shiftrightunsigned("__h", 11) / float(1 << 53)
+    # Twice as many as are wanted are looked at in order; more only where rows repeat.
     share = F.create_map(
-        *[F.lit(x) for lang in languages for x in (lang, min(1.0, per_class / sizes[lang]))]
-    )
-    sample = (
-        known.where(draw < F.element_at(share, F.col("lang")))
-        .select("doc_id", "lang", "text")
-        .limit(2 * per_class * len(languages))
+        *[F.lit(x) for lang in languages for x in (lang, min(1.0, 2 * per_class / sizes[lang] + 0.001))]
     )
+    near = known.select("lang", "text", hashed).where(draw < F.element_at(share, F.col("lang")))
+    different = near.groupBy("lang", "__h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("__h")
+    sample = different.withColumn("__nth", F.row_number().over(order)).where(F.col("__nth") <= per_class)
     # The order of arrival must not decide the model.
     rows = map_arrow(sample.select("lang", "text"), _sampled, "lang string, shares binary").collect()
     rows.sort(key=lambda r: (zlib.crc32(r.shares), bytes(r.shares), r.lang))

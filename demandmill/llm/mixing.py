@@ -5,8 +5,9 @@ what is over goes to the other sources by weight. Inside a source every document
 ``target / words`` times, times its own weight where one is given: the whole part of that are certain
 copies, the rest ``p`` is a chance. Documents are ranked by their random odds ``u / (1 - u)`` divided
 by their inclusion odds ``p / (1 - p)``; the sample is the smallest ranks up to the words still
-wanted, so its size is fixed and each inclusion has about its chance. ``u`` is a hash of the id and
-the seed: reruns agree.
+wanted, so its size is fixed and each inclusion has about its chance. ``u`` is a hash of the whole row
+and the seed: reruns agree. Equal rows are counted and numbered, and the number is part of the hash, so
+some of them are taken more often than others and a sample's size holds whatever repeats.
 
 The cut in a source is found without sorting it: words are summed by rank in 1024 bins, then in 1024
 parts of the bin where the budget ends, and only that part is ranked row by row. A hot source is
@@ -14,8 +15,9 @@ therefore summed in parallel. Afterwards each row's copies follow from its own i
 cut, without a shuffle of texts.
 
 Null text has size 0, is in no sample, and is listed; a source without words has target 0. Null is a
-source, last in order. Rows of one source that share a ``doc_id`` are taken alike. An empty table
-gives no rows.
+source, last in order. Rows that share a ``doc_id``, or have none, are drawn each for itself. A text of
+any length counts whole, in SQL functions. The windows over sources hold a row per source. Columns that
+hold maps are not part of a row's hash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandmill.llm.common import SPACE
+from demandmill.llm.common import SPACE, whole_row
 from demandmill.session import checkpointed
 
 WEIGHTS = (3, 1, 2)
@@ -31,6 +33,8 @@ BUDGET, MAX_COPIES, SEED = 1.5, 2, 9
 BINS = 1024
 #: A table of sources up to this many rows is broadcast (about 100 bytes each).
 BROADCAST_SOURCES = 20_000
+#: Repeated rows up to this many (40 bytes each) are broadcast; copies that are made at once.
+BROADCAST_ROWS, PART = 200_000, 4096
 
 
 def word_count(text: Column | str = "text") -> Column:
@@ -43,9 +47,28 @@ def word_count(text: Column | str = "text") -> Column:
     return F.coalesce(F.size(parts) - outer, F.lit(0)).cast("long")
 
 
-def _unit(doc_id: Column, seed: int) -> Column:
-    """A number in (0, 1) that depends on the id alone."""
-    return (F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(seed)), 11) + F.lit(0.5)) / float(1 << 53)
+def _unit(nth: Column, seed: int) -> Column:
+    """A number in (0, 1) that depends on the row and its number among equal rows."""
+    mixed = F.xxhash64("__g", "__h", nth.cast("long"), F.lit(seed))
+    return ((F.shiftrightunsigned(mixed, 11) + F.lit(0.5)) / float(1 << 53)).alias("__u")
+
+
+def _identity(docs: DataFrame) -> list[Column]:
+    """128 bits of hash over a row."""
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return [F.xxhash64(*columns).alias("__g"), F.xxhash64(F.lit(1), *columns).alias("__h")]
+
+
+def _numbered(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """A row for each of the ``n`` copies a row stands for, with ``__nth`` from 0.
+
+    Copies of a row are made in parts of ``PART``, which are dealt out first.
+    """
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / PART))).alias("__part")
+    parts = rows.select("*", part).repartition("__g", "__h", "__part")
+    end = F.least(F.col("n"), (F.col("__part") + 1) * PART) - 1
+    nth = F.explode(F.sequence(F.col("__part") * PART, end)).alias("__nth")
+    return parts.select("*", nth).drop("__part").select(*columns, "__nth")
 
 
 def targets(
@@ -164,13 +187,14 @@ def mix(
     ``weight`` makes documents of a source more or less likely to be taken.
     """
     weight = F.lit(1.0) if weight is None else weight
-    own = [
-        "doc_id", "source", word_count().alias("size"), weight.cast("double").alias("weight"),
-        _unit(F.col("doc_id"), seed).alias("__u"),
-    ]
-    narrow = checkpointed(docs.select(*own))
-    sums = narrow.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("weight")).alias("mass")
+    own = ["doc_id", "source", word_count().alias("size"), weight.cast("double").alias("weight"), *_identity(docs)]
+    kinds = docs.select(*own).groupBy("doc_id", "source", "size", "weight", "__g", "__h").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    kinds = checkpointed(kinds)
+    sums = kinds.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("n")).alias("source_size"),
+        F.sum(F.col("size") * F.col("weight") * F.col("n")).alias("mass"),
     )
     sums = checkpointed(sums)
     known = sums.count()
@@ -180,25 +204,54 @@ def mix(
         .join(shares, F.col("__s").eqNullSafe(F.col("source")))
         .select("source", "source_size", "mass", "target")
     )
-    ranked = _beside(narrow, plan, known).select("source", "doc_id", "size", "target", *_copies(max_copies))
+    columns = ["source", "doc_id", "size", "weight", "__g", "__h"]
+    several = checkpointed(_numbered(kinds.where("n > 1"), *columns))
+    single = kinds.where("n = 1").select(*columns, F.lit(0).cast("long").alias("__nth"))
+    drawn = single.unionByName(several).select("source", "doc_id", "size", "weight", _unit(F.col("__nth"), seed))
+    ranked = _beside(drawn, plan, known).select("source", "doc_id", "size", "target", *_copies(max_copies))
     certain = ranked.groupBy("source").agg(
         (F.first("target") - F.sum(F.col("size") * F.col("whole"))).alias("wanted")
     )
     ranked = _beside(ranked.select("source", "doc_id", "size", "rank"), certain, known)
     cut = checkpointed(_cut(checkpointed(ranked), known))
-    plan = _beside(plan, cut.withColumnRenamed("source", "source"), known).unionByName(
+    plan = _beside(plan, cut, known).unionByName(
         plan.join(cut.select(F.col("source").alias("__s")), F.col("source").eqNullSafe(F.col("__s")), "left_anti"),
         allowMissingColumns=True,
     )
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *own)
-    rows = _beside(rows, checkpointed(plan), known).select("*", *_copies(max_copies))
+    plan = checkpointed(plan)
     chosen = (F.col("rank") < F.col("cut_rank")) | (
         (F.col("rank") == F.col("cut_rank"))
         & (F.col("doc_id").isNull() | (F.col("doc_id") <= F.col("cut_id")))
         & F.col("cut_id").isNotNull()
     )
-    copies = F.col("whole") + F.coalesce((F.col("rank") < 1) & chosen, F.lit(False)).cast("long")
-    return rows.select("__row", "size", "source_size", "target", copies.alias("copies"))
+    extra = F.coalesce((F.col("rank") < 1) & chosen, F.lit(False)).cast("long")
+    out = ["__row", "size", "source_size", "target"]
+    rows = docs.select(whole_row(docs), *own)
+    repeats = several.select("__g", "__h").distinct()
+    n_repeats = repeats.count()
+    if not n_repeats:
+        rows = rows.select("*", _unit(F.lit(0), seed))
+        return _beside(rows, plan, known).select("*", *_copies(max_copies)).select(
+            *out, (F.col("whole") + extra).alias("copies")
+        )
+    small = F.broadcast if n_repeats <= BROADCAST_ROWS else lambda df: df
+    alone = rows.join(small(repeats), ["__g", "__h"], "left_anti").select("*", _unit(F.lit(0), seed))
+    alone = _beside(alone, plan, known).select("*", *_copies(max_copies)).select(
+        *out, (F.col("whole") + extra).alias("copies")
+    )
+    # One row of each group of equal rows, and how many of its numbers were drawn once more.
+    groups = _beside(several.select("*", _unit(F.col("__nth"), seed)), plan, known).select(
+        "*", *_copies(max_copies)
+    ).groupBy("__g", "__h").agg(
+        F.count(F.lit(1)).alias("n"), F.first("whole").alias("whole"), F.sum(extra).alias("extra"),
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+    )
+    ones = rows.join(small(repeats), ["__g", "__h"], "left_semi").groupBy("__g", "__h").agg(
+        F.first("__row").alias("__row"), F.first("size").alias("size")
+    )
+    copies = F.col("whole") + (F.col("__nth") < F.col("extra")).cast("long")
+    again = _numbered(ones.join(groups, ["__g", "__h"]), *out, "whole", "extra").select(*out, copies.alias("copies"))
+    return alone.unionByName(again)
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

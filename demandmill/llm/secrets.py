@@ -182,14 +182,15 @@ def unescape(layer: Layer) -> Layer | None:
     return Layer("".join(texts), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
 
 
-def unpack(raw: bytes, room: int) -> tuple[bytes, int, bool]:
-    """Data of the compressed stream ``raw`` begins with and of those of its kind that follow at once.
+def unpack(raw: bytes, room: int, start: int = 0) -> tuple[bytes, int, bool]:
+    """Data of the compressed stream at ``start`` of ``raw`` and of those of its kind that follow at once.
 
     Also the bytes they take, and whether all of their data is there. A broken stream gives what comes
     before the break and takes one byte, so what follows is looked at.
     """
-    out, size, at = [], 0, 0
-    while at < len(raw) and raw[at : at + 2] == raw[:2]:
+    out, size, at = [], 0, start
+    kind = raw[start : start + 2]
+    while at < len(raw) and raw[at : at + 2] == kind:
         tool, step, begun = _unpacker(raw[at : at + 6]), PIECE, at
         if tool is None:
             break
@@ -199,16 +200,16 @@ def unpack(raw: bytes, room: int) -> tuple[bytes, int, bool]:
                 got = tool.decompress(raw[at : at + step], room - size)
             except (zlib.error, OSError, lzma.LZMAError, EOFError):
                 if before is None:
-                    return b"".join(out), begun + 1, True
+                    return b"".join(out), begun + 1 - start, True
                 tool, step = before, 1  # up to the very byte that breaks it
                 continue
             at = min(at + step, len(raw))
             out.append(got)
             size += len(got)
             if size >= room:
-                return b"".join(out), len(raw), False
+                return b"".join(out), len(raw) - start, False
         at -= len(tool.unused_data)
-    return b"".join(out), at, True
+    return b"".join(out), at - start, True
 
 
 def _unpacker(head: bytes):
@@ -244,7 +245,7 @@ def _packed(raw: bytes, room: int) -> Iterator[tuple[bytes, int, int, bool]]:
         within, span = work.pop()
         at = 0
         while m := MAGIC.search(within, at):
-            data, taken, whole = unpack(within[m.start() :], room)
+            data, taken, whole = unpack(within, room, m.start())
             at = m.start() + max(1, taken)
             place = span or (m.start(), at if taken > 1 else len(raw))
             if len(data) < LEAST_BYTES or (data, place) in seen:
@@ -279,9 +280,11 @@ def _joined_runs(text: str) -> Iterator[tuple[str, np.ndarray]]:
                 yield "".join(text[a:b] for a, b in lines[i:j]).translate(STANDARD), places
 
 
-def decoded_runs(layer: Layer, room: int) -> Iterator[tuple[Layer, bool]]:
+def decoded_runs(layer: Layer, room: int) -> Iterator[tuple[Layer, bool, int]]:
     """A layer for every part of a base64 run that holds text, and for what is unpacked from one.
 
+    With each, whether it is whole, and by how much unpacking made it longer.
+
     A run may begin or end with characters that are not of the encoded part (``blob_``, a path), so
     each of the four ways to deal it into groups is tried and its readable parts are kept.
     """
@@ -297,16 +300,16 @@ def decoded_runs(layer: Layer, room: int) -> Iterator[tuple[Layer, bool]]:
                 sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
                 to = a + np.cumsum(sizes)
                 first, last = (to - sizes) * 4 // 3, np.minimum(-(-to * 4 // 3), len(run)) - 1
-                yield Layer(text, layer.start[own[first]], layer.end[own[last]], layer.depth + 1), True
+                yield Layer(text, layer.start[own[first]], layer.end[own[last]], layer.depth + 1), True, 0
             for data, a, b, whole in _packed(raw, room):
                 at = own[a * 4 // 3 : min(-(-b * 4 // 3), len(run))]
                 lo, hi = int(layer.start[at].min()), int(layer.end[at].max())
                 for x, y in _texts(data):
                     text = data[x:y].decode()
                     starts, ends = np.full(len(text), lo), np.full(len(text), hi)
-                    yield Layer(text, starts, ends, layer.depth + 1), True
+                    yield Layer(text, starts, ends, layer.depth + 1), True, max(0, y - x - (b - a))
                 if not whole:
-                    yield Layer("", own[:0], own[:0], layer.depth + 1), False
+                    yield Layer("", own[:0], own[:0], layer.depth + 1), False, 0
 
 
 def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int, int, int]], bool]:
@@ -319,18 +322,19 @@ def find(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple[str, int
     while work:
         layer = work.pop()
         plain = unescape(layer)
-        made = [(plain, True)] if plain else []
-        for new, whole in chain(made, decoded_runs(layer, max(1, room))):
+        made = [(plain, True, 0)] if plain else []
+        for new, whole, grown in chain(made, decoded_runs(layer, max(1, room))):
             complete &= whole
             if not new.text:
                 continue
             key = new.key()
             if key in seen:
                 continue
-            if len(new.text) > room:
+            # Undone escapes and base64 are no longer than what they come from; only unpacking grows.
+            if grown > room:
                 complete = False
                 continue
-            room -= len(new.text)
+            room -= grown
             seen.add(key)
             work.append(new)
             for kind, a, b in scan(new.text):

@@ -18,6 +18,7 @@ no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,10 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandmill.llm.common import LOWER, map_arrow, texts_of, whole_row, with_columns_after
-from demandmill.session import checkpointed
+from demandmill.session import checkpointed, shared_dir
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 TILE = 256
+#: Hashes of up to so many rows (16 bytes each) may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -251,15 +254,28 @@ def near_duplicates(
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest ``doc_id``.
 
-    Of rows that share it, the first by fingerprint, text and a hash of all columns stays. Rows with
-    one fingerprint are reduced where they are read, so a large group shuffles as a row per task.
+    Of rows that share it, the first by fingerprint and then by a hash of all columns stays; of equal
+    rows one. Rows are written with their fingerprints once; which go is decided on ids and hashes alone,
+    and only these move: a hot fingerprint shuffles as numbers, never as texts.
     """
-    narrow = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle))
-    first = _classes(narrow, radius).where("fp = first_fp").select("fp")
-    order = F.struct(
-        F.isnull("__row.doc_id"), F.col("__row.doc_id"), F.col("__row.text"),
-        F.xxhash64(*[F.col("__row")[c] for c in docs.columns]),
-    )
-    rows = fingerprints(docs.select(whole_row(docs)), shingle)
-    best = rows.groupBy("fp").agg(F.min_by("__row", order).alias("__row"))
-    return best.join(first, "fp", "left_semi").select("__row.*")
+    path = f"{shared_dir(docs.sparkSession)}/near-copies-{uuid.uuid4().hex}"
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+    fingerprints(docs.select(whole_row(docs), key.alias("__key")), shingle).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    narrow = rows.select(F.col("__row.doc_id").alias("doc_id"), "fp", "__key")
+    named = checkpointed(_classes(narrow, radius)).where("fp = first_fp").select("fp")
+    first = F.struct(F.isnull("doc_id"), F.col("doc_id"), F.col("__key").alias("key"))
+    best = narrow.groupBy("fp").agg(F.min(first).alias("best")).join(named, "fp", "left_semi")
+    best = best.select(F.col("best.key").alias("__key"), F.lit(True).alias("stays"))
+    sums = narrow.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).join(best, "__key", "left")
+    # Rows that do not simply stay: those that go, and of those that stay the repeated ones.
+    marked = checkpointed(sums.where("stays IS NULL OR n > 1"))
+    counts = marked.agg(F.count(F.lit(1)).alias("all"), F.count("stays").alias("repeated")).first()
+    small = F.broadcast if counts["all"] <= BROADCAST_ROWS else lambda df: df
+    kept = rows.join(small(marked.select("__key")), "__key", "left_anti").select("__row.*")
+    if not counts["repeated"]:
+        return kept
+    repeated = rows.join(small(marked.where("stays").select("__key")), "__key", "left_semi")
+    once = repeated.groupBy("__key").agg(F.first("__row").alias("__row"))
+    return kept.unionByName(once.select("__row.*"))

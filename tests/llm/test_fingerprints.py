@@ -112,3 +112,10 @@ def test_estimates_are_near_true_similarity(documents):
 def test_no_python_in_the_plan(documents):
     plan = fp.edited_fingerprints(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_ids_at_the_ends_of_the_range(docs_of):
+    rows = [((1 << 63) - 1, "a b c"), (-(1 << 63), "d e f"), (0, "g"), (5, "h i")]
+    out = {r.doc_id: r for r in fp.edited_fingerprints(docs_of(rows)).collect()}
+    assert set(out) == {r[0] for r in rows}
+    assert out[(1 << 63) - 1].edited_sha256 == hashlib.sha256(b"a bh i"[:5]).hexdigest()

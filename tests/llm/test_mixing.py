@@ -66,11 +66,56 @@ def test_cases(docs_of):
     assert mixing.mix(docs_of([(1, None), (2, "")])).where("copies > 0").count() == 0
 
 
-def test_repeated_rows_are_taken_alike(docs_of):
-    rows = [(1, "a b", None, "s")] * 5 + [(i, "c d e", None, "s") for i in range(2, 30)]
-    df = mixing.mix(docs_of(rows))
-    assert df.count() == len(rows)
-    assert len({r.copies for r in df.where("__row.doc_id = 1").collect()}) == 1
+def test_repeated_rows_are_drawn_one_by_one(docs_of):
+    """Equal rows, shared ids and null ids: the words taken stay near the target."""
+    cases = [
+        [(7, "a b c d e", None, "s")] * 100,
+        [(7, f"a b c d {i}", None, "s") for i in range(100)],
+        [(None, f"a b c d {i}", None, "s") for i in range(100)],
+        [(None, "a b c d e", None, "s")] * 40 + [(i, "a b c d e", None, "s") for i in range(60)],
+    ]
+    for rows in cases:
+        df = mixing.mix(docs_of(rows))
+        got = df.collect()
+        assert len(got) == 100
+        assert abs(sum(r["size"] * r.copies for r in got) - 750) <= 5
+        assert {r.copies for r in got} == {1, 2}
+        again = mixing.mix(docs_of(rows, 7)).collect()
+        assert sorted((str(r["__row"]), r.copies) for r in got) == sorted((str(r["__row"]), r.copies) for r in again)
+
+
+def test_the_sample_equals_a_plain_sort(docs_of):
+    """Ranks sorted row by row, the words of a source added up in that order."""
+    rows = [(i, "w " * (1 + i % 7), None, f"s{i % 2}") for i in range(400)] + [(3, "w w w", None, "s1")] * 50
+    df = docs_of(rows)
+    got = mixing.mix(df).collect()
+    check(mixing.mix(df), rows)
+    own = df.select("*", *mixing._identity(df)).collect()
+    numbers, want = {}, {}
+    ids = {}
+    for r in own:
+        nth = numbers.setdefault((r["__g"], r["__h"]), [])
+        nth.append(len(nth))
+        ids.setdefault(r.source, []).append((r["__g"], r["__h"], nth[-1], r.doc_id, len((r.text or "").split())))
+    plan = {r["__row"].source: (r.source_size, r.target) for r in got}
+    spark = df.sparkSession
+    for source, members in ids.items():
+        keys = spark.createDataFrame([m[:3] for m in members], "__g long, __h long, nth long")
+        units = [r["__u"] for r in keys.select(mixing._unit(F.col("nth"), mixing.SEED)).collect()]
+        size, target = plan[source]
+        chance = target / size
+        whole, p = int(chance), chance - int(chance)
+        wanted, upto = target - whole * size, 0
+        rank = lambda u: u * (1 - p) / (u * (1 - p) + (1 - u) * p)
+        for u, m in sorted((rank(u), m) for u, m in zip(units, members)):
+            upto += m[4]
+            key = (source, m[3], m[4])
+            want[key] = want.get(key, 0) + whole + (upto - m[4] / 2 <= wanted and p > 0)
+    found = {}
+    for r in got:
+        key = (r["__row"].source, r["__row"].doc_id, r["size"])
+        found[key] = found.get(key, 0) + r.copies
+    assert found == want
 
 
 def test_rows_of_the_mix(docs_of):

@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -207,3 +208,18 @@ def test_frames(docs_of):
     assert sorted(len(r.spans) for r in out) == [0, 0, 1, 1, 1]
     assert all(r.complete and r.base == "clash" for r in out)
     assert secrets.scan_secrets(docs_of([])).count() == 0
+
+
+def test_only_unpacking_is_charged():
+    """Layers that are no longer than their text are scanned whatever their size."""
+    hidden = base64.b64encode(b"password = hunter2hunter2").decode()
+    text = "%41" + "x" * 5000 + " " + hidden
+    found, complete = secrets.find(text, max_decoded=100)
+    assert complete and [s[0] for s in found] == ["assign"]
+
+
+def test_false_heads_of_streams_cost_little():
+    raw = base64.b64encode(b"BZh9" * 60_000).decode()
+    begin = time.time()
+    assert secrets.find(raw) == ([], True)
+    assert time.time() - begin < 20
