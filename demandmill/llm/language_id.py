@@ -39,14 +39,24 @@ UNKNOWN = "und"
 BUCKETS, DIMENSIONS, GRAMS = 4096, 16, (2, 3, 4, 5)
 PER_CLASS, MAX_LOSS = 500, 0.001
 #: Word characters that are neither letters nor digits: fractions, raised digits, Roman numerals.
-NUMBERS = "".join(
-    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()
+NUMBERS = re.compile(
+    "["
+    + "".join(
+        c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()
+    )
+    + "]"
 )
-LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
+WORDS = re.compile(r"[^\W\d_]+")
 #: Words a worker remembers between texts; past that it starts anew.
 REMEMBERED = 200_000
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased."""
+    low = text.lower()
+    return WORDS.findall(low if low.isascii() else NUMBERS.sub(" ", low))
+
+
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words' n-grams in one array, and the number of n-grams of each word."""
     coded = [b"<" + w.encode() + b">" for w in words]
@@ -73,7 +83,7 @@ def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def features(text: str) -> np.ndarray | None:
     """Share of each bucket among the text's n-grams; None without letters."""
-    words = LETTERS.findall(text.lower())
+    words = words_of(text)
     if not words:
         return None
     distinct, count = np.unique(np.array(words, object), return_counts=True)
@@ -230,7 +240,7 @@ class _Scorer:
         for group in _groups(texts):
             if len(self.words) > REMEMBERED:
                 self.forget()
-            words = [LETTERS.findall(t.lower()) if t else [] for t in group]
+            words = [words_of(t) if t else [] for t in group]
             sizes = np.fromiter(map(len, words), np.int64, len(words))
             at = np.fromiter(
                 map(self.words.__getitem__, chain.from_iterable(words)), np.int64, sizes.sum()

@@ -69,7 +69,7 @@ def test_prediction_equals_a_plain_sum(documents):
     model = language_id.train(documents, F.lit(True))
     table = model.embedding @ model.output
     for r in language_id.predict(documents.limit(20), model).collect():
-        words = language_id.LETTERS.findall((r.text or "").lower())
+        words = language_id.words_of(r.text or "")
         if not words:
             assert (r.lang_pred, r.score) == ("und", 0)
             continue
