@@ -39,12 +39,8 @@ UNKNOWN = "und"
 BUCKETS, DIMENSIONS, GRAMS = 4096, 16, (2, 3, 4, 5)
 PER_CLASS, MAX_LOSS = 500, 0.001
 #: Word characters that are neither letters nor digits: fractions, raised digits, Roman numerals.
-NUMBERS = re.compile(
-    "["
-    + "".join(
-        c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()
-    )
-    + "]"
+NUMBERS = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()
 )
 WORDS = re.compile(r"[^\W\d_]+")
 #: Words a worker remembers between texts; past that it starts anew.
@@ -54,7 +50,9 @@ REMEMBERED = 200_000
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased."""
     low = text.lower()
-    return WORDS.findall(low if low.isascii() else NUMBERS.sub(" ", low))
+    if not low.isascii() and not NUMBERS.isdisjoint(low):
+        low = "".join(" " if c in NUMBERS else c for c in low)
+    return WORDS.findall(low)
 
 
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
