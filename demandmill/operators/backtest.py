@@ -16,13 +16,28 @@ from pyspark.sql import functions as F
 
 from demandmill.functions.dates import add_months, header_of, month_label
 from demandmill.functions.rules import floor_zero, half_even
-from demandmill.operators.models import NativeModel, PythonModel
+from demandmill.operators.models import Batched, Fit, NativeModel, PythonModel, fit_all
 from demandmill.operators.series import SERIES, dates_of, values_of
 from demandmill.shipping import ship_package
 
 EXPORT_LABEL = "Custom Stat"
 
 
+class ModelFailed(Exception):
+    """A model raised for an item."""
+
+
+def _fits(
+    pdf: pd.DataFrame, name: str, model: PythonModel | Batched, steps: int, errors: bool
+) -> list[Fit]:
+    fits = fit_all(model, [np.asarray(t) for t in pdf["Train"]], steps)
+    if not errors:
+        for sku, fit in zip(pdf["SKU"], fits):
+            if fit.error:
+                raise ModelFailed(f"{name} on item {sku}: {fit.error}")
+    return fits
+
+
 def origins(series: DataFrame, months: int, lead_time: int) -> DataFrame:
     """One row per item and test month: training length and target index.
 
@@ -68,13 +83,17 @@ def test_set_forecasts(
 
 def test_set_forecasts_python(
     series: DataFrame,
-    models: dict[str, PythonModel],
+    models: dict[str, PythonModel | Batched],
     months: int = 3,
     lead_time: int = 3,
     partitions: int | None = None,
+    errors: bool = False,
 ) -> DataFrame:
     """The same table for Python models.
 
+    With ``errors`` a model that raises for some rows gives them no forecast and its message in a column
+    ``Error``; without, it ends the job. Batched models get the rows of an Arrow batch by length.
+
     Each (item, origin) row carries its own training prefix, so the work spreads over rows and not
     only over items. ``partitions`` sets the number of tasks where fitting, not data size, decides.
     """
@@ -94,15 +113,17 @@ def test_set_forecasts_python(
             for name, model in models.items():
                 out = pdf[["SKU", "Origin", "Target_Month"]].copy()
                 out["Model"] = name
-                out["Raw"] = [float(model(np.asarray(t), step)[step - 1]) for t in pdf["Train"]]
+                fits = _fits(pdf, name, model, step, errors)
+                out["Raw"] = [np.nan if f.error else f.values[step - 1] for f in fits]
+                out["Error"] = [f.error for f in fits]
                 yield out
 
     fitted = rows.mapInPandas(
-        fit, "SKU string, Origin int, Target_Month date, Model string, Raw double"
+        fit, "SKU string, Origin int, Target_Month date, Model string, Raw double, Error string"
     )
     return fitted.select(
         "SKU", "Model", "Origin", "Target_Month", month_label("Target_Month").alias("Month"),
-        _rounded("Raw").alias("Forecast"),
+        _rounded("Raw").alias("Forecast"), *["Error"] * errors,
     )
 
 
@@ -112,14 +133,16 @@ def _rounded(name: str) -> Column:
 
 def model_forecasts(
     series: DataFrame,
-    models: dict[str, PythonModel],
+    models: dict[str, PythonModel | Batched],
     horizon: int,
     partitions: int | None = None,
+    errors: bool = False,
 ) -> DataFrame:
     """``SKU, Model, Horizon, Target_Month, Forecast`` for Python models fitted on full series.
 
     One row per item goes in, so batches of items are fitted where they already are; no grouping
-    shuffle is needed.
+    shuffle is needed. With ``errors`` an item for which a model raises has one row, without step,
+    month and forecast, and the message in a column ``Error``; without, it ends the job.
     """
     ship_package(series.sparkSession)
     rows = series.select(
@@ -131,20 +154,24 @@ def model_forecasts(
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, model in models.items():
-                fcst = [np.asarray(model(np.asarray(t), horizon), float) for t in pdf["Train"]]
+                fits = _fits(pdf, name, model, horizon, errors)
                 out = pdf[["SKU", "Last_Month"]].copy()
                 out["Model"] = name
-                out["Raw"] = fcst
+                out["Raw"] = [f.values for f in fits]
+                out["Error"] = [f.error for f in fits]
                 yield out
 
-    fitted = rows.mapInPandas(fit, "SKU string, Last_Month date, Model string, Raw array<double>")
+    fitted = rows.mapInPandas(
+        fit, "SKU string, Last_Month date, Model string, Raw array<double>, Error string"
+    )
     return fitted.select(
-        "SKU", "Model", "Last_Month", F.posexplode("Raw").alias("__pos", "__raw")
+        "SKU", "Model", "Last_Month", "Error", F.posexplode_outer("Raw").alias("__pos", "__raw")
     ).select(
         "SKU", "Model",
         (F.col("__pos") + 1).alias("Horizon"),
         F.add_months("Last_Month", F.col("__pos") + 1).alias("Target_Month"),
         F.nanvl(F.col("__raw"), F.lit(None).cast("double")).alias("Forecast"),
+        *["Error"] * errors,
     )
 
 

@@ -1,12 +1,15 @@
 """Forecast models.
 
 A native model is a column expression over the history array; it runs in the JVM. Any other model is
-a Python function of one training series, run on Arrow batches inside the tasks.
+a Python function of one training series, run on Arrow batches inside the tasks. A ``Batched`` model is one
+of many equally long series: a matrix with a row per series.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column
@@ -17,6 +20,56 @@ NativeModel = Callable[[Column, Column, int], Column]
 # training values, steps ahead -> that many forecasts
 PythonModel = Callable[[np.ndarray, int], np.ndarray]
 
+
+class Batched(NamedTuple):
+    """A Python model of a matrix (series x points) and steps ahead, giving (series x steps)."""
+
+    fit: Callable[[np.ndarray, int], np.ndarray]
+
+
+class Fit(NamedTuple):
+    """Forecasts of one series, or why there are none."""
+
+    values: np.ndarray | None
+    error: str | None
+
+
+def fit_one(model: PythonModel, train: np.ndarray, steps: int) -> Fit:
+    """A model may raise anything; it then has a message and no forecast for this series."""
+    try:
+        out = np.asarray(model(train, steps), float)
+        if out.shape != (steps,):
+            raise ValueError(f"{steps} forecasts asked, shape {out.shape} given")
+    except Exception as error:
+        return Fit(None, f"{type(error).__name__}: {error}")
+    return Fit(out, None)
+
+
+def fit_all(model: PythonModel | Batched, trains: list[np.ndarray], steps: int) -> list[Fit]:
+    """The fit of every series, in order. Empty series go to the model as any other.
+
+    A batched model gets all series of one length at a time. If it fails on them it is called again
+    for each alone, so only the series at fault have an error.
+    """
+    if not isinstance(model, Batched):
+        return [fit_one(model, t, steps) for t in trains]
+    by_length = defaultdict(list)
+    for place, train in enumerate(trains):
+        by_length[len(train)].append(place)
+    out: list[Fit] = [Fit(None, None)] * len(trains)
+    for places in by_length.values():
+        try:
+            rows = np.asarray(model.fit(np.stack([trains[p] for p in places]), steps), float)
+            if rows.shape != (len(places), steps):
+                raise ValueError(f"shape {rows.shape} given")
+            fits = [Fit(row, None) for row in rows]
+        except Exception:
+            alone = lambda train, n: np.asarray(model.fit(train[None, :], n), float)[0]
+            fits = [fit_one(alone, trains[p], steps) for p in places]
+        for place, fit in zip(places, fits):
+            out[place] = fit
+    return out
+
 YEAR = 12
 
 
@@ -108,6 +161,35 @@ def python_smoothing(alpha: float) -> PythonModel:
     return model
 
 
+def python_ratio(train: np.ndarray, horizon: int) -> np.ndarray:
+    """Last value, grown once more as it grew from the one before."""
+    if len(train) < 2 or train[-2] == 0:
+        raise ValueError("no growth from zero")
+    return np.full(horizon, train[-1] * train[-1] / train[-2])
+
+
+def batch_moving_average(points: int) -> Batched:
+    def fit(trains: np.ndarray, horizon: int) -> np.ndarray:
+        return np.repeat(trains[:, -points:].mean(axis=1)[:, None], horizon, axis=1)
+
+    return Batched(fit)
+
+
+def _year_share(trains: np.ndarray, horizon: int) -> np.ndarray:
+    """Last value, scaled by its share of the last year's mean."""
+    total, last = trains[:, -YEAR:].sum(axis=1), trains[:, -1]
+    if (total == 0).any():
+        raise ValueError("a year without units")
+    return np.repeat((last * last * YEAR / total)[:, None], horizon, axis=1)
+
+
+#: Models that fail on some items.
+PARTIAL_MODELS: dict[str, PythonModel | Batched] = {
+    "ratio": python_ratio,
+    "batch_avg": batch_moving_average(3),
+    "year_share": Batched(_year_share),
+}
+
 PYTHON_MODELS: dict[str, PythonModel] = {
     "naive": python_naive,
     "seasonal_naive": python_seasonal_naive,

@@ -19,6 +19,12 @@ TEST_SET = "_Test_Set"
 SALES, STAT, TEST = "Sales", "Stat", "Test"
 KINDS = (SALES, STAT, TEST)
 DETAIL_KEYS = ("SKU", "Model", "Month_Year", "Kind")
+BASES = ("Units", "Cost")
+MEASURES = ("Adj_Orders", "Error", "ABS_Error")
+ACTUAL = (
+    "SKU", "Month_Year", "Cost", "Adj_FC_Units", "Adj_FC_Cost", "Adj_Orders_Units",
+    "Adj_Orders_Cost", "Stat_FC_Units", "Stat_FC_Cost",
+)
 
 
 def accuracy_data(
@@ -58,25 +64,12 @@ def scoring_rows(test_set: DataFrame, acc: DataFrame) -> DataFrame:
     errors. The accuracy data, itself a join, is written once: it tells known items and gives values.
     """
     acc = checkpointed(acc)
-    test = test_set.select(
-        "SKU", "Model", F.col("Month").alias("Month_Year"), F.col("Forecast").alias("Test_Units")
-    )
-    actual = acc.select(
-        "SKU", "Month_Year", "Cost", "Adj_FC_Units", "Adj_FC_Cost", "Adj_Orders_Units",
-        "Adj_Orders_Cost", "Stat_FC_Units", "Stat_FC_Cost",
-    )
-    joined = test.join(acc.select("SKU").distinct(), "SKU", "left_semi").join(
-        actual, ["SKU", "Month_Year"], "left"
-    )
-    kinds = F.array(
-        _kind(SALES, F.col("Adj_FC_Units"), F.col("Adj_FC_Cost")),
-        _kind(STAT, F.col("Stat_FC_Units"), F.col("Stat_FC_Cost")),
-        _kind(TEST, F.col("Test_Units"), half_even(F.col("Test_Units") * F.col("Cost"))),
-    )
+    joined = _tested(test_set, acc).join(acc.select(*ACTUAL), ["SKU", "Month_Year"], "left")
+    kinds = F.array(*[_kind(name, *_forecasts(name)) for name in KINDS])
     stacked = joined.select(
         "SKU", "Model", "Month_Year", "Adj_Orders_Units", "Adj_Orders_Cost", F.inline(kinds)
     )
-    for basis in ("Units", "Cost"):
+    for basis in BASES:
         orders = F.col(f"Adj_Orders_{basis}")
         stacked = stacked.withColumn(f"Error_{basis}", orders - F.col(f"Fcst_{basis}"))
         stacked = stacked.withColumn(f"ABS_Error_{basis}", F.abs(F.col(f"Error_{basis}")))
@@ -86,6 +79,87 @@ def scoring_rows(test_set: DataFrame, acc: DataFrame) -> DataFrame:
     return stacked
 
 
+def _tested(test_set: DataFrame, acc: DataFrame) -> DataFrame:
+    """Test-set forecasts of the items that the accuracy data holds."""
+    test = test_set.select(
+        "SKU", "Model", F.col("Month").alias("Month_Year"), F.col("Forecast").alias("Test_Units")
+    )
+    return test.join(acc.select("SKU").distinct(), "SKU", "left_semi")
+
+
+def scored_sums(test_set: DataFrame, acc: DataFrame) -> DataFrame:
+    """The scored rows summed to item, model, month and kind, for every result but the detail.
+
+    Errors of the sales and stat forecasts do not depend on a model, so they are summed once per item
+    and month and put beside each model's own sums afterwards; only the test forecasts are scored line
+    by line. Repeated test-set rows count as often as they occur. Grouping and both joins share the
+    partitioning by item and month.
+    """
+    acc = checkpointed(acc)
+    lines = acc.select(*ACTUAL)
+    both = ["SKU", "Month_Year"]
+    own = (
+        _tested(test_set, acc)
+        .join(lines, both, "left")
+        .select(*both, "Model", *_measures(TEST))
+        .groupBy(*both, "Model")
+        .agg(_sums_of(TEST).alias(TEST), F.count(F.lit(1)).alias("__rows"))
+    )
+    shared = (
+        lines.select(*both, *_measures(SALES), *_measures(STAT))
+        .groupBy(*both)
+        .agg(
+            _sums_of(SALES).alias(SALES), _sums_of(STAT).alias(STAT),
+            F.count(F.lit(1)).alias("__lines"),
+        )
+    )
+    # Each test-set row met every line of its item and month, or none.
+    copies = F.expr("int(__rows div greatest(coalesce(__lines, 1), 1))")
+    kinds = F.concat(
+        F.array(_named(TEST)),
+        F.array_repeat(_named(SALES), copies),
+        F.array_repeat(_named(STAT), copies),
+    )
+    return own.join(shared, both, "left").select(
+        "SKU", "Model", "Month_Year", F.inline(kinds)
+    )
+
+
+def _forecasts(name: str) -> tuple[Column, Column]:
+    """Units and cost of a line under one kind of forecast."""
+    if name == TEST:
+        return F.col("Test_Units"), half_even(F.col("Test_Units") * F.col("Cost"))
+    prefix = {SALES: "Adj_FC", STAT: "Stat_FC"}[name]
+    return F.col(f"{prefix}_Units"), F.col(f"{prefix}_Cost")
+
+
+def _measures(name: str) -> list[Column]:
+    """Orders, errors and absolute errors of a line under one kind of forecast."""
+    out = []
+    for basis, forecast in zip(BASES, _forecasts(name)):
+        orders = F.col(f"Adj_Orders_{basis}")
+        error = orders - forecast.cast("double")
+        out += [
+            x.alias(f"{name}_{m}_{basis}") for m, x in zip(MEASURES, (orders, error, F.abs(error)))
+        ]
+    return out
+
+
+def _sums_of(name: str) -> Column:
+    return F.struct(
+        *[
+            F.sum(F.col(f"{name}_{m}_{basis}").cast(EXACT)).alias(f"{m}_{basis}")
+            for basis in BASES
+            for m in MEASURES
+        ]
+    )
+
+
+def _named(name: str) -> Column:
+    sums = [F.col(name)[f"{m}_{basis}"].alias(f"{m}_{basis}") for basis in BASES for m in MEASURES]
+    return F.struct(F.lit(name).alias("Kind"), *sums)
+
+
 def _kind(name: str, units: Column, cost: Column) -> Column:
     return F.struct(
         F.lit(name).alias("Kind"),
@@ -103,7 +177,10 @@ def _known(name: str) -> Column:
 
 
 def sku_totals(rows: DataFrame) -> DataFrame:
-    """Order cost, absolute error cost and accuracy per item, model and kind."""
+    """Order cost, absolute error cost and accuracy per item, model and kind.
+
+    ``rows`` are scored rows or their sums by ``scored_sums``, here and in ``model_summary``.
+    """
     sums = rows.groupBy("SKU", "Model", "Kind").agg(
         *_exact_sums("Adj_Orders_Cost", "ABS_Error_Cost")
     )
@@ -229,11 +306,12 @@ class Scores(NamedTuple):
 def score(
     test_set: DataFrame, acc: DataFrame, models: list[str], month_labels: list[str]
 ) -> Scores:
-    """The four results of a scoring run; the scored rows are computed once for three of them."""
-    rows = checkpointed(scoring_rows(test_set, acc))
+    """The four results of a scoring run; test set, accuracy data and sums are computed once."""
+    test_set, acc = checkpointed(test_set), checkpointed(acc)
+    sums = checkpointed(scored_sums(test_set, acc))
     return Scores(
-        sku_detail_nested(rows),
-        model_summary(rows, month_labels),
-        best_model_per_sku(sku_totals(rows), models),
+        sku_detail_nested(scoring_rows(test_set, acc)),
+        model_summary(sums, month_labels),
+        best_model_per_sku(sku_totals(sums), models),
         excluded_skus(test_set, acc),
     )

@@ -56,9 +56,15 @@ def shown(df: DataFrame) -> DataFrame:
 
 
 def _base(spark: SparkSession, sf: str, dedupe: bool = True) -> DataFrame:
-    seg = pos.segments_of(inputs.segments(spark, sf), inputs.COMPANY, inputs.CUSTOMER)
+    return _based_on(spark, sf, inputs.forecast_monthly(spark, sf), inputs.segments(spark, sf), dedupe)
+
+
+def _based_on(
+    spark: SparkSession, sf: str, forecasts: DataFrame, segments: DataFrame, dedupe: bool = True
+) -> DataFrame:
+    seg = pos.segments_of(segments, inputs.COMPANY, inputs.CUSTOMER)
     return pos.pos_accuracy_base(
-        inputs.forecast_monthly(spark, sf),
+        forecasts,
         inputs.leadtimes(spark, sf),
         inputs.actuals(spark, sf),
         inputs.ASOF,
@@ -67,6 +73,19 @@ def _base(spark: SparkSession, sf: str, dedupe: bool = True) -> DataFrame:
     )
 
 
+def _segments_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy by segment from a stored sheet of segments and a saved table of forecasts."""
+    root = f"{shared_dir(spark)}/sheets-{uuid.uuid4().hex}"
+    sinks.write_csv(inputs.segments(spark, sf), f"{root}/segments")
+    inputs.forecast_monthly(spark, sf).write.parquet(f"{root}/forecasts")
+    base = _based_on(
+        spark, sf,
+        readers.read_table(spark, f"{root}/forecasts", layouts.FORECAST_MONTHLY),
+        readers.read_typed_csv(spark, f"{root}/segments", layouts.SEGMENTS),
+    )
+    return pos.accuracy_by_segment(base)
+
+
 def _by_view(spark: SparkSession, sf: str) -> DataFrame:
     """The plain script's form: no segments, every lookup match counts."""
     base = pos.pos_accuracy_base(
@@ -335,8 +354,19 @@ def _harmonised(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _combined(spark: SparkSession, sf: str) -> DataFrame:
+    return _by_customer(harmonise.error_metrics(_harmonised(spark, sf)))
+
+
+def _combined_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The combined table written as a sheet and read by its declared columns."""
+    path = f"{shared_dir(spark)}/combined-{uuid.uuid4().hex}"
+    sinks.write_csv(harmonise.error_metrics(_harmonised(spark, sf)), path)
+    return _by_customer(readers.read_typed_csv(spark, path, layouts.COMBINED))
+
+
+def _by_customer(metrics: DataFrame) -> DataFrame:
     """Both years with metrics, and customers counted under one name."""
-    table = harmonise.combine_units(harmonise.error_metrics(_harmonised(spark, sf)))
+    table = harmonise.combine_units(metrics)
     return table.groupBy("Customer", "Year").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("Adjusted Orders - Units").alias("units"),
@@ -383,6 +413,13 @@ def _backtest_python(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _partial(spark: SparkSession, sf: str) -> DataFrame:
+    """Models that fail on some items: their other forecasts, and the messages."""
+    return backtest.test_set_forecasts_python(
+        _series(spark, sf), models.PARTIAL_MODELS, TEST_MONTHS, LEAD_TIME, errors=True
+    )
+
+
 def _accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.accuracy_data(
         inputs.accuracy_report(spark, sf), inputs.stat_report(spark, sf), *SCORED
@@ -393,6 +430,32 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.scoring_rows(_test_set(spark, sf), _accuracy(spark, sf))
 
 
+def _sums(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.scored_sums(_test_set(spark, sf), _accuracy(spark, sf))
+
+
+def _scoring_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole scoring run from one call: what each of its four results holds."""
+    scores = scoring.score(_test_set(spark, sf), _accuracy(spark, sf), MODELS, TEST_LABELS)
+    rows = F.aggregate("Detail", F.lit(0).cast("bigint"), lambda acc, d: acc + d["Copies"])
+    none = F.lit(None).cast("double")
+    parts = [
+        scores.sku_details.groupBy(F.col("Model").alias("name")).agg(
+            F.sum(rows).alias("n")
+        ).select(F.lit("detail").alias("result"), "name", "n", none.alias("acc")),
+        scores.model_summary.groupBy(F.col("Model").alias("name")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("Total_Acc_Cost").alias("acc")
+        ).select(F.lit("summary").alias("result"), "name", "n", "acc"),
+        scores.sku_summary.groupBy(F.col("Best_Model").alias("name")).agg(
+            F.count(F.lit(1)).alias("n")
+        ).select(F.lit("best").alias("result"), "name", "n", none.alias("acc")),
+        scores.excluded_skus.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit("excluded").alias("result"), F.lit("all").alias("name"), "n", none.alias("acc")
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _detail(spark: SparkSession, sf: str) -> DataFrame:
     """Nested detail, shown by what its arrays hold."""
     cost = F.aggregate(
@@ -414,6 +477,7 @@ QUERIES: dict[str, Query] = {
         pos.accuracy_trend_long(pos.accuracy_by_view(_base(s, d)))
     ),
     "pos_by_segment": lambda s, d: pos.accuracy_by_segment(_base(s, d)),
+    "pos_by_segment_stored": _segments_stored,
     "hierarchy_accuracy": lambda s, d: hierarchy.hierarchy_accuracy(_base(s, d)),
     "hierarchy_tree": lambda s, d: hierarchy.hierarchy_tree_rows(_base(s, d)),
     "top_n_with_ties": _units_by_brand,
@@ -446,20 +510,23 @@ QUERIES: dict[str, Query] = {
     "harmonise_accuracy": _harmonised,
     "error_metrics": lambda s, d: harmonise.error_metrics(_harmonised(s, d)),
     "canonical_customer": _combined,
+    "canonical_customer_stored": _combined_stored,
     "history_long": lambda s, d: shown(series.history_long(inputs.history_wide(s, d))),
     "history_complete": lambda s, d: shown(series.complete_calendar(inputs.history_sparse(s, d))),
     "history_series": lambda s, d: shown(_series_shown(s, d)),
     **{f"backtest_{n}": _backtest(n) for n in models.NATIVE_MODELS},
     "backtest_python": lambda s, d: shown(_backtest_python(s, d)),
+    "backtest_failing_models": lambda s, d: shown(_partial(s, d)),
     "model_forecasts": lambda s, d: shown(_forecasts(s, d)),
     "model_forecasts_native": lambda s, d: shown(_native_forecasts(s, d)),
     "accuracy_base": _accuracy,
     "scoring_rows": _scored,
-    "scoring_sku_totals": lambda s, d: scoring.sku_totals(_scored(s, d)),
-    "scoring_model_summary": lambda s, d: scoring.model_summary(_scored(s, d), TEST_LABELS),
+    "scoring_sku_totals": lambda s, d: scoring.sku_totals(_sums(s, d)),
+    "scoring_model_summary": lambda s, d: scoring.model_summary(_sums(s, d), TEST_LABELS),
     "best_model_per_sku": lambda s, d: scoring.best_model_per_sku(
-        scoring.sku_totals(_scored(s, d)), MODELS
+        scoring.sku_totals(_sums(s, d)), MODELS
     ),
+    "scoring_run": _scoring_run,
     "excluded_skus": lambda s, d: scoring.excluded_skus(_test_set(s, d), _accuracy(s, d)),
     "sku_detail_nested": _detail,
     "forecast_export_wide": lambda s, d: backtest.forecast_export(

@@ -622,6 +622,23 @@ SELECT sku AS "SKU", model AS "Model", i - 3 AS "Origin", CAST(month AS VARCHAR)
 FROM test_set {where}"""
 
 
+def _partial() -> str:
+    """Forecasts of models that fail, and their messages."""
+    cell = lambda name, x, bad, message: f"""SELECT 'S' || key AS "SKU", '{name}' AS "Model",
+       i - 3 AS "Origin", CAST(month AS VARCHAR) AS "Target_Month",
+       strftime(month, '%b_%Y') AS "Month", CASE WHEN NOT {bad} THEN {rnd(x)} END AS "Forecast",
+       CASE WHEN {bad} THEN 'ValueError: {message}' END AS "Error" FROM lagged WHERE i >= 80"""
+    return f"""WITH {DENSE},
+lagged AS (
+  SELECT key, i, month, CAST(lag(y, 4) OVER w AS DOUBLE) AS y1, CAST(lag(y, 5) OVER w AS DOUBLE) AS y2,
+         CAST(lag(y, 6) OVER w AS DOUBLE) AS y3,
+         CAST(sum(y) OVER (w ROWS BETWEEN 15 PRECEDING AND 4 PRECEDING) AS DOUBLE) AS year_sum
+  FROM dense WINDOW w AS (PARTITION BY key ORDER BY i))
+{cell("ratio", "y1 * y1 / y2", "y2 = 0", "no growth from zero")}
+UNION ALL {cell("batch_avg", "(y1 + y2 + y3) / 3.0", "false", "")}
+UNION ALL {cell("year_share", "y1 * y1 * 12 / year_sum", "year_sum = 0", "a year without units")}"""
+
+
 # Forecasts from the full series: positions 83..88 of the calendar.
 FUTURE = """steps AS (SELECT unnest(range(1, 7)) AS h),
 future AS (
@@ -778,12 +795,23 @@ SELECT sku AS "SKU", model AS "Model", strftime(month, '%b_%Y') AS "Month_Year",
 FROM scored GROUP BY 1, 2, 3, 4""",
 }
 
+BACKTEST["backtest_failing_models"] = _partial()
+BACKTEST["scoring_run"] = f"""{SCORING}
+SELECT 'detail' AS result, model AS name, count(*) AS n, CAST(NULL AS DOUBLE) AS acc
+FROM scored GROUP BY model
+UNION ALL SELECT 'summary', "Model", count(*), max("Total_Acc_Cost")
+FROM ({BACKTEST["scoring_model_summary"]}) GROUP BY "Model"
+UNION ALL SELECT 'best', "Best_Model", count(*), NULL
+FROM ({BACKTEST["best_model_per_sku"]}) GROUP BY "Best_Model"
+UNION ALL SELECT 'excluded', 'all', count(*), NULL FROM ({BACKTEST["excluded_skus"]})"""
 BACKTEST["model_forecasts_native"] = BACKTEST["model_forecasts"]
 MONTH_END["snapshot_export"] = MONTH_END["forecast_snapshot"]
 MONTH_END["snapshot_rewritten"] = MONTH_END["forecast_snapshot"]
 FILES = {
     "ingest_reports_two_runs": _reports()["clean_report_reviews"],
     "ingest_late_and_changed": _reports()["clean_report_reviews"],
+    "pos_by_segment_stored": POS["pos_by_segment"],
+    "canonical_customer_stored": HARMONISED["canonical_customer"],
     "append_new_partitions": CLEAN["append_unique"],
     "ingest_weekly_day_by_day": WEEK["weekly_to_monthly"],
     "ingest_weekly_backlog": WEEK["weekly_to_monthly"],

@@ -28,11 +28,13 @@ ROW_DIGEST = "Row_Digest"
 
 
 def write_csv(df: DataFrame, path: str, date_format: str = "yyyy-MM-dd") -> None:
-    """CSV export with a header and without row names."""
+    """CSV export with a header and without row names; blanks at the ends of a cell are kept."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("dateFormat", date_format)
         .csv(path)
     )

@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandmill.operators import backtest, models, scoring, series
 
@@ -151,6 +152,93 @@ def test_scoring(scored):
     assert [r.SKU for r in scoring.excluded_skus(test, acc).collect()] == ["Z"]
 
 
+def exact(df):
+    measures = [f"{m}_{b}" for b in scoring.BASES for m in scoring.MEASURES]
+    keys = ["SKU", "Model", "Month_Year", "Kind"]
+    sums = df.groupBy(*keys).agg(*[
+        F.sum(F.col(m).cast("decimal(28,10)")).alias(m) for m in measures
+    ])
+    return sorted(map(repr, sums.select(*keys, *measures).collect()))
+
+
+def test_sums_agree_with_scored_rows(spark, scored):
+    """Also with repeated and unknown months, repeated lines, null cells and models of other months."""
+    test, acc = scored
+    more = spark.createDataFrame(
+        [("A", "x", "Jan_2020", 8.0), ("A", "x", "Jan_2020", None), ("A", "z", "Mar_2020", 3.0),
+         ("A", "z", None, 3.0), (None, "z", "Jan_2020", 3.0), ("B", "z", "Feb_2020", 0.1)], TEST)
+    lines = spark.createDataFrame(
+        [("A", "Jan_2020", None, 1.1, None, 0.7, 0.3, None, 2.5),
+         ("A", "Jan_2020", 2.0, 12.0, 24.0, 10.0, 20.0, 10.0, 20.0),
+         ("B", "Feb_2020", 1.0, None, None, None, None, None, None),
+         (None, "Jan_2020", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)], ACC)
+    test, acc = test.unionByName(more), acc.unionByName(lines)
+    sums = scoring.scored_sums(test, acc)
+    assert exact(sums) == exact(scoring.scoring_rows(test, acc))
+    assert sums.where("Model = 'x' AND SKU = 'A' AND Month_Year = 'Jan_2020'").count() == 7
+
+
+def test_sums_of_nothing(spark, scored):
+    test, acc = scored
+    assert scoring.scored_sums(test.where("false"), acc).count() == 0
+    assert scoring.scored_sums(test, acc.where("false")).count() == 0
+
+
+def test_sums_score_only_own_forecasts_by_line(spark):
+    """Rows joined line by line grow with the models, the sums of the other two kinds do not."""
+    acc = spark.createDataFrame([("A", "Jan_2020", 1.0, 1.0, 1.0, 2.0, 2.0, 1.0, 1.0)] * 50, ACC)
+    test = spark.createDataFrame([("A", f"m{i}", "Jan_2020", 1.0) for i in range(4)], TEST)
+    sums = scoring.scored_sums(test, acc)
+    assert sums.count() == 12
+    assert sums._jdf.queryExecution().executedPlan().toString().count("Generate") == 1
+
+
+def fails_below(limit):
+    def model(train, horizon):
+        if train[-1] < limit:
+            raise ValueError(f"{train[-1]:.0f} is low")
+        return np.full(horizon, train[-1])
+
+    return model
+
+
+def test_model_that_fails_on_some_items(spark):
+    df = series.history_series(wide(spark, [("A", [9.0] * 12), ("B", [1.0] * 12)]))
+    one = fails_below(5)
+    matrix = models.Batched(lambda t, h: np.stack([one(x, h) for x in t]))
+    short = lambda t, h: np.zeros(h - 1)
+    chosen = {"one": one, "all": matrix, "short": short}
+    got = backtest.test_set_forecasts_python(df, chosen, 1, 3, errors=True).collect()
+    assert {(r.SKU, r.Model): (r.Forecast, r.Error) for r in got} == {
+        ("A", "one"): (9, None), ("B", "one"): (None, "ValueError: 1 is low"),
+        ("A", "all"): (9, None), ("B", "all"): (None, "ValueError: 1 is low"),
+        ("A", "short"): (None, "ValueError: 4 forecasts asked, shape (3,) given"),
+        ("B", "short"): (None, "ValueError: 4 forecasts asked, shape (3,) given"),
+    }
+    full = backtest.model_forecasts(df, {"all": matrix}, 2, errors=True).collect()
+    assert sorted((r.SKU, r.Horizon or 0, r.Forecast, r.Error) for r in full) == [
+        ("A", 1, 9, None), ("A", 2, 9, None), ("B", 0, None, "ValueError: 1 is low"),
+    ]
+    with pytest.raises(Exception, match="one on item B: ValueError: 1 is low"):
+        backtest.model_forecasts(df, {"one": one}, 2).collect()
+
+
+def test_batched_models_get_equally_long_series():
+    seen = []
+
+    def fit(trains, steps):
+        seen.append(trains.shape)
+        return np.repeat(trains[:, -1:], steps, axis=1)
+
+    trains = [np.arange(n, dtype=float) for n in (3, 2, 3, 0, 2, 3)]
+    got = models.fit_all(models.Batched(fit), trains, 2)
+    assert sorted(set(seen)) == [(1, 0), (2, 2), (3, 3)]
+    assert [None if f.error else f.values.tolist() for f in got] == [
+        [2, 2], [1, 1], [2, 2], None, [1, 1], [2, 2],
+    ]
+    assert models.fit_all(models.Batched(fit), [], 2) == []
+
+
 def test_detail_keeps_every_row(spark, scored):
     test, acc = scored
     # one item and model holds nearly all rows, some of them equal
