@@ -12,12 +12,17 @@ The model is trained on all texts, then fixed, so the chance of a byte depends o
 alone, its gram. That makes the work a few passes over distinct grams instead of positions:
 
 1. Texts are packed into blocks of bounded size, written to the shared folder.
-2. Each block sends its distinct grams and words with their training counts, cut into buckets by hash.
-   An entry comes once per block, so no bucket is hot and their number follows the input.
+2. Each block sends its distinct grams and words with their training counts, cut by hash into at most
+   ``FAN`` cells. Cells of as many blocks meet in a node, which adds them up and cuts them further, until
+   a cell is a bucket of all blocks. A level has a bounded number of rows per block, so rows follow the
+   input (blocks times buckets would follow its square); a key comes once per sender, so none is hot.
 3. Buckets add up counts. Grams then go to the part of the trie that ends in their context's last two
    bytes (it holds their shorter contexts down to order two); the tables of orders one and zero have at
-   most 256 x 256 numbers and go to every task.
-4. Buckets answer each block with the chances and counts of its entries, and blocks add up their texts.
+   most 256 x 256 numbers and go to every task. An ending of more than ``SPLIT`` grams is dealt by three
+   bytes, each part with the ending's own table of order two (at most 256 numbers); at order five a part
+   then holds 2^24 grams at most.
+4. Answers go back the way the entries came: buckets and nodes answer each sender with the chances and
+   counts of its entries, and blocks add up their texts.
 
 Words are told apart by 63 bits of XXH64. Null text counts as empty and has the end symbol only. Rows that
 share an id, and repeated rows, are scored one by one. An empty table gives no rows; with nothing learnt
@@ -29,6 +34,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +52,8 @@ ORDER = 5
 END = b"\n"
 #: Bytes of text in a block, of text looked at together, and of text per bucket.
 BLOCK, PART, PER_BUCKET = 32 << 20, 1 << 20, 32 << 20
+#: Cells a block or node writes at most, and grams of a two-byte ending beyond which it is split.
+FAN, SPLIT = 256, 1 << 17
 #: Entries a block gathers before it adds up equal ones.
 HELD = 1 << 20
 ZSTD = pa.Codec("zstd", 3)
@@ -86,13 +94,13 @@ def _tokens(text: bytes) -> int:
     return text.count(b" ") + 2 if text else 1
 
 
-def _blocks(id_type: pa.DataType):
+def _blocks(id_type: pa.DataType, limit: int):
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
 
-        def block() -> pa.RecordBatch:
+        def packed() -> pa.RecordBatch:
             columns = [
                 pa.array([(task << 32) + made], pa.int64()),
                 pa.array([[i for i, _, _ in held]], pa.list_(id_type)),
@@ -109,11 +117,11 @@ def _blocks(id_type: pa.DataType):
             for doc_id, taught, text in zip(ids, learn, texts_of(batch)):
                 held.append((doc_id, taught, normalised(text)))
                 size += len(held[-1][2]) + 1
-                if size >= BLOCK:
-                    yield block()
+                if size >= limit:
+                    yield packed()
                     made, held, size = made + 1, [], 0
         if held:
-            yield block()
+            yield packed()
 
     return run
 
@@ -168,10 +176,58 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
-def _entries(order: int, buckets: int):
-    """Rows ``bucket, block, keys, counts``: a block's distinct keys with their training counts."""
+class Levels(NamedTuple):
+    """How cells of blocks meet: digits of a bucket's number, their base, and sets of blocks by level.
 
-    def of_block(row: dict) -> pa.RecordBatch:
+    The node of a set and of the leading digits of a bucket is ``set * base^level + digits``; at the last
+    level there is one set, and a node is a bucket.
+    """
+
+    base: int
+    sets: tuple[int, ...]
+
+    @property
+    def buckets(self) -> int:
+        return self.base ** len(self.sets)
+
+    def node(self, level: int, senders: int, keys: np.ndarray) -> np.ndarray:
+        """Node at a level (from 1) for keys of the set of senders with that number."""
+        digits = _bucket(keys, self.buckets) // self.base ** (len(self.sets) - level)
+        return senders % self.sets[level - 1] * self.base**level + digits
+
+
+def levels_of(blocks: int, buckets: int, fan: int) -> Levels:
+    depth = 1
+    while fan**depth < buckets:
+        depth += 1
+    base = next(b for b in range(1, fan + 1) if b**depth >= buckets)
+    sets = [blocks]
+    for _ in range(depth - 1):
+        sets.append(-(-sets[-1] // base))
+    return Levels(base, (*sets[1:], 1))
+
+
+def _cells(sender: int, nodes: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
+    """A row per node: the sender's keys for it, in order, with their counts."""
+    by_node = np.argsort(nodes, kind="stable")
+    parts = np.split(by_node, np.flatnonzero(np.diff(nodes[by_node])) + 1)
+    return pa.table(
+        {
+            "node": pa.array([int(nodes[p[0]]) for p in parts], pa.int64()),
+            "sender": pa.array([sender] * len(parts), pa.int64()),
+            "keys": pa.array([_pack_keys(keys[p]) for p in parts], pa.binary()),
+            "counts": pa.array([_pack(counts[p]) for p in parts], pa.binary()),
+        }
+    )
+
+
+ENTRIES = "node long, sender long, keys binary, counts binary"
+
+
+def _entries(order: int, levels: Levels):
+    """Rows of ``ENTRIES``: a block's distinct keys with their training counts."""
+
+    def of_block(row: dict) -> list[pa.RecordBatch]:
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for part in _texts(row):
             if sum(map(len, keys[1:])) > HELD:
@@ -187,22 +243,14 @@ def _entries(order: int, buckets: int):
                 keys.append(distinct)
                 counts.append(n if flag else np.zeros_like(n))
         keys, counts = _counted(np.concatenate(keys), np.concatenate(counts))
-        home = _bucket(keys, buckets)
-        by_home = np.argsort(home, kind="stable")
-        cuts = np.flatnonzero(np.diff(home[by_home])) + 1
-        parts = np.split(by_home, cuts)
-        columns = [
-            pa.array([int(home[p[0]]) for p in parts], pa.int64()),
-            pa.array([row["block"]] * len(parts), pa.int64()),
-            pa.array([_pack_keys(keys[p]) for p in parts], pa.binary()),
-            pa.array([_pack(counts[p]) for p in parts], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["bucket", "block", "keys", "counts"])
+        # Blocks have numbers by task; a digest deals them out evenly.
+        group = xxhash.xxh64_intdigest(str(row["block"])) >> 1
+        return _cells(row["block"], levels.node(1, group, keys), keys, counts).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                yield of_block(batch.slice(n, 1).to_pylist()[0])
+                yield from of_block(batch.slice(n, 1).to_pylist()[0])
 
     return run
 
@@ -213,6 +261,17 @@ def _total(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _counted(np.concatenate(keys), np.concatenate(counts))
 
 
+def _merged(level: int, levels: Levels):
+    """Entries of the nodes of a level, added up and cut for the next one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts = _total(table)
+        node = table.column("node")[0].as_py()
+        return _cells(node, levels.node(level + 1, node // levels.base**level, keys), keys, counts)
+
+    return run
+
+
 def _totals(table: pa.Table) -> pa.Table:
     """Grams ``key, n`` of a bucket, and one row without a key: its different words learnt from."""
     keys, n = _total(table)
@@ -263,10 +322,19 @@ def low_levels(pairs: np.ndarray, counts: np.ndarray) -> list[Level]:
     return [zero, one]
 
 
+def with_two(low: list[Level], grams: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """The low levels with order two of one ending: its bytes, each with its number of longer contexts."""
+    order = np.argsort(grams)
+    two = Level(grams[order], counts[order])
+    two.exclude(low[1], 16)
+    return [*low, two]
+
+
 def chances(keys: np.ndarray, n: np.ndarray, low: list[Level], order: int) -> np.ndarray:
     """log10 chance of the last byte of each gram; grams with n > 0 were learnt.
 
-    All grams that share a context's last two bytes must be there (all grams, for an order under two).
+    All grams that share a context's last bytes must be there: as many bytes as ``low`` has levels (all
+    grams, for an order under two).
     """
     levels = dict(enumerate(low))
     known, counts = keys[n > 0], n[n > 0]
@@ -300,30 +368,45 @@ def chances(keys: np.ndarray, n: np.ndarray, low: list[Level], order: int) -> np
 # ---- answers to blocks --------------------------------------------------------------------------
 
 
+def _handed(entries: pa.Table, keys: np.ndarray, values: np.ndarray) -> pa.Table:
+    """Every sender's keys with their values, from all keys in order."""
+    found = []
+    for packed in entries.column("keys").to_pylist():
+        found.append(_pack(values[np.searchsorted(keys, _unpack_keys(packed))]))
+    return pa.table(
+        {"sender": entries.column("sender"), "keys": entries.column("keys"), "found": pa.array(found, pa.binary())}
+    )
+
+
+def _joined(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of the answers in order, and their values."""
+    keys = np.concatenate([_unpack_keys(k) for k in answers.column("keys").to_pylist()])
+    values = np.concatenate([_unpack(v, np.float64) for v in answers.column("found").to_pylist()])
+    by_key = np.argsort(keys)
+    return keys[by_key], values[by_key]
+
+
+def _passed_on(entries: pa.Table, answers: pa.Table) -> pa.Table:
+    """Answers to a node, handed to those that sent it their entries."""
+    return _handed(entries, *_joined(answers))
+
+
 def _answers(entries: pa.Table, scored: pa.Table) -> pa.Table:
-    """Every block's keys of a bucket with their values: log10 chance of grams, counts of words."""
+    """A bucket's answers: log10 chance of grams, counts of words."""
     keys, values = _total(entries)
     values = values.astype(np.float64)
     order = np.argsort(scored.column("key").to_numpy())
     gram_keys = scored.column("key").to_numpy()[order]
     at, hit = _look(gram_keys, keys)
     values[hit] = scored.column("value").to_numpy()[order][at[hit]]
-    found = []
-    for packed in entries.column("keys").to_pylist():
-        found.append(_pack(values[np.searchsorted(keys, _unpack_keys(packed))]))
-    return pa.table(
-        {"block": entries.column("block"), "keys": entries.column("keys"), "found": pa.array(found, pa.binary())}
-    )
+    return _handed(entries, keys, values)
 
 
 def _scores(order: int, tokens: int, words: int, id_type: pa.DataType):
     floor = tokens + 0.1 * (words + 1)
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        keys = np.concatenate([_unpack_keys(k) for k in answers.column("keys").to_pylist()])
-        values = np.concatenate([_unpack(v, np.float64) for v in answers.column("found").to_pylist()])
-        by_key = np.argsort(keys)
-        keys, values = keys[by_key], values[by_key]
+        keys, values = _joined(answers)
         end = values[np.searchsorted(keys, END_WORD)]
         out: dict[str, list] = {n: [] for n in ("doc_id", "learn", "n_tokens", "n_known", "base_score", "score")}
         for row in blocks.to_pylist():
@@ -351,11 +434,42 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def score(docs: DataFrame, learn: Column, order: int = ORDER) -> DataFrame:
+def _split(grams: DataFrame, split: int) -> tuple[DataFrame, DataFrame]:
+    """Grams with the part of the trie they go to, and order two of endings that are split.
+
+    There are at most 65,536 endings. A part of three bytes has its number from 2^16 on.
+    """
+    ending = lambda c, bits: F.shiftright(c, 8).bitwiseAND(F.lit((1 << bits) - 1))
+    grams = grams.withColumn("ending", ending("key", 16))
+    hot = grams.groupBy("ending").count().where(F.col("count") > split).select("ending")
+    hot = F.broadcast(hot.withColumn("hot", F.lit(True)))
+    three = ending("key", 24) + F.lit(1 << 16)
+    parts = grams.join(hot, "ending", "left").select(
+        "key", "n", "ending", F.when(F.col("hot"), three).otherwise(F.col("ending")).alias("part")
+    )
+    wide = parts.where(F.col("part") >= 1 << 16)
+    longer = wide.where("n > 0").select(
+        "ending", F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).alias("k")
+    ).distinct()
+    two = longer.groupBy("ending", F.col("k").bitwiseAND(F.lit((1 << 24) - 1)).alias("gram")).count()
+    return parts.drop("ending"), wide.select("ending", F.col("part").alias("home")).distinct().join(two, "ending").drop("ending")
+
+
+def score(
+    docs: DataFrame,
+    learn: Column,
+    order: int = ORDER,
+    block: int = BLOCK,
+    per_bucket: int = PER_BUCKET,
+    fan: int = FAN,
+    split: int = SPLIT,
+) -> DataFrame:
     """``doc_id, learn, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     ``score`` is the model's log10 probability of a text, ``base_score`` that of single words with
     0.1 added to each count. ``order`` is between 1 and 6. Rows for which ``learn`` is true teach both.
+    ``block`` and ``per_bucket`` are bytes of text, ``fan`` and ``split`` as in the module's text; none of
+    them changes a result.
     """
     if not 1 <= order <= 6:
         raise ValueError("order must be between 1 and 6")
@@ -367,20 +481,22 @@ def score(docs: DataFrame, learn: Column, order: int = ORDER) -> DataFrame:
     kind = id_field.dataType.simpleString()
     blocks = _written(
         map_arrow(
-            rows, _blocks(id_type),
+            rows, _blocks(id_type, block),
             f"block long, doc_ids array<{kind}>, learn array<boolean>, sizes array<long>, "
             "texts binary, train_tokens long",
         ),
         "lm-blocks",
     )
     sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
-    volume, tokens = (x or 0 for x in blocks.agg(F.sum(sizes), F.sum("train_tokens")).first())
-    buckets = max(1, math.ceil(volume / PER_BUCKET))
-    entries = _written(
-        map_arrow(blocks, _entries(order, buckets), "bucket long, block long, keys binary, counts binary"),
-        "lm-entries",
-    )
-    totals = checkpointed(entries.groupBy("bucket").applyInArrow(_totals, "key long, n long"))
+    found = blocks.agg(F.sum(sizes), F.sum("train_tokens"), F.count(F.lit(1))).first()
+    volume, tokens, number = (x or 0 for x in found)
+    levels = levels_of(number, max(1, math.ceil(volume / per_bucket)), fan)
+    sent = [_written(map_arrow(blocks, _entries(order, levels), ENTRIES), "lm-entries")]
+    for level in range(1, len(levels.sets)):
+        sent.append(
+            _written(sent[-1].groupBy("node").applyInArrow(_merged(level, levels), ENTRIES), "lm-entries")
+        )
+    totals = checkpointed(sent[-1].groupBy("node").applyInArrow(_totals, "key long, n long"))
     words = totals.where("key is null").agg(F.sum("n")).first()[0] or 0
     all_grams = totals.where("key is not null")
     known = all_grams.where("n > 0")
@@ -393,25 +509,32 @@ def score(docs: DataFrame, learn: Column, order: int = ORDER) -> DataFrame:
     table = np.array(pairs, np.int64).reshape(-1, 2)
     low = low_levels(table[:, 0], table[:, 1])
 
-    def model(part: pa.Table) -> pa.Table:
+    def model(part: pa.Table, two: pa.Table) -> pa.Table:
         keys, n = part.column("key").to_numpy(), part.column("n").to_numpy()
         place = np.argsort(keys)
+        known = low
+        if two.num_rows:
+            known = with_two(low, two.column("gram").to_numpy(), two.column("count").to_numpy())
         value = np.empty(len(keys))
-        value[place] = chances(keys[place], n[place], low, order)
-        home = pa.array(_bucket(keys, buckets), pa.int64())
+        value[place] = chances(keys[place], n[place], known, order)
+        home = pa.array(_bucket(keys, levels.buckets), pa.int64())
         return pa.table({"key": part.column("key"), "value": pa.array(value), "bucket": home})
 
-    ending = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
-    scored = all_grams.groupBy(ending).applyInArrow(model, "key long, value double, bucket long")
-    answers = (
-        entries.groupBy("bucket")
-        .cogroup(scored.groupBy("bucket"))
-        .applyInArrow(_answers, "block long, keys binary, found binary")
+    # Under order three an ending has at most 256 grams, or all of them count together.
+    parts, two = _split(all_grams, split if order > 2 else 1 << 62)
+    scored = (
+        parts.groupBy("part")
+        .cogroup(two.groupBy("home"))
+        .applyInArrow(model, "key long, value double, bucket long")
     )
+    answer = "sender long, keys binary, found binary"
+    answers = sent[-1].groupBy("node").cogroup(scored.groupBy("bucket")).applyInArrow(_answers, answer)
+    for entries in reversed(sent[:-1]):
+        answers = entries.groupBy("node").cogroup(answers.groupBy("sender")).applyInArrow(_passed_on, answer)
     added = "learn boolean, n_tokens long, n_known long, base_score double, score double"
     out = (
         blocks.groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        .cogroup(answers.groupBy("sender"))
         .applyInArrow(_scores(order, tokens, words, id_type), f"doc_id {kind}, {added}")
     )
     return out.select(

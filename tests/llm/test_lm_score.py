@@ -67,9 +67,9 @@ def brute(rows, learn, order):
     return sorted(out, key=repr)
 
 
-def check(df, rows, learn_column, learn, order):
+def check(df, rows, learn_column, learn, order, **sizes):
     cols = ["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    got = sorted((tuple(r) for r in lm_score.score(df, learn_column, order).select(cols).collect()), key=repr)
+    got = sorted((tuple(r) for r in lm_score.score(df, learn_column, order, **sizes).select(cols).collect()), key=repr)
     want = brute(rows, learn, order)
     assert [r[:5] for r in got] == [r[:5] for r in want]
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
@@ -88,10 +88,40 @@ def test_cases(docs_of, order):
     check(df, CASES, taught, [r[0] is not None and r[0] % 2 == 1 for r in CASES], order)
 
 
-def test_small_blocks_and_buckets_change_nothing(docs_of, monkeypatch):
-    monkeypatch.setattr(lm_score, "PER_BUCKET", 200)
+@pytest.mark.parametrize("sizes", [
+    {"per_bucket": 200},
+    # Three levels of nodes; every ending of more than two grams is split.
+    {"block": 60, "per_bucket": 200, "fan": 3, "split": 2},
+    {"block": 1, "per_bucket": 100, "fan": 2, "split": 0},
+])
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_small_blocks_buckets_and_parts_change_nothing(docs_of, sizes, order):
     rows = [(i, f"word{i % 7} and word{i % 11} or {i}") for i in range(60)]
-    check(docs_of(rows), rows, F.col("doc_id") % 3 > 0, [i % 3 > 0 for i in range(60)], 4)
+    check(docs_of(rows), rows, F.col("doc_id") % 3 > 0, [i % 3 > 0 for i in range(60)], order, **sizes)
+
+
+def test_split_parts_with_unknown_grams(docs_of):
+    sizes = {"block": 40, "per_bucket": 50, "fan": 2, "split": 1}
+    taught = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(False))
+    check(docs_of(CASES), CASES, taught, [r[0] is not None and r[0] % 2 == 1 for r in CASES], 5, **sizes)
+
+
+@pytest.mark.parametrize("blocks, buckets, fan", [(1, 1, 256), (38, 26, 256), (31000, 31000, 256), (70, 60, 3)])
+def test_rows_between_levels_follow_the_blocks(blocks, buckets, fan):
+    """A block or node writes at most ``fan`` cells, and no level has many more senders than blocks."""
+    levels = lm_score.levels_of(blocks, buckets, fan)
+    assert levels.base <= fan and levels.buckets >= buckets and levels.sets[-1] == 1
+    for level, sets in enumerate(levels.sets, 1):
+        nodes = sets * levels.base**level
+        assert nodes <= 3 * max(blocks, buckets) + levels.buckets
+    keys = np.arange(5000, dtype=np.int64) * 977
+    for level in range(1, len(levels.sets) + 1):
+        nodes = levels.node(level, 5, keys)
+        assert len(np.unique(nodes)) <= levels.base**level
+        # The next level cuts a node's keys into at most ``base`` cells.
+        if level < len(levels.sets):
+            one = keys[nodes == nodes[0]]
+            assert len(np.unique(levels.node(level + 1, 5, one))) <= levels.base
 
 
 def test_nothing_to_learn_from(docs_of):
