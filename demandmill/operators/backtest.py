@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from demandmill.functions.dates import add_months, header_of, month_label
 from demandmill.functions.rules import floor_zero, half_even
-from demandmill.operators.models import Batched, Fit, NativeModel, PythonModel, fit_all
+from demandmill.operators.models import Batched, Fit, NativeModel, PythonModel, fit_all, states
 from demandmill.operators.series import SERIES, dates_of, values_of
 from demandmill.shipping import ship_package
 
@@ -38,14 +38,18 @@ def _fits(
     return fits
 
 
+def _span(months: int, lead_time: int) -> tuple[Column, Column]:
+    """First and last training length of an item."""
+    length = F.size(SERIES)
+    return F.greatest(length - lead_time - months, F.lit(1)), length - lead_time - 1
+
+
 def origins(series: DataFrame, months: int, lead_time: int) -> DataFrame:
     """One row per item and test month: training length and target index.
 
     Origins whose training prefix would be empty are left out.
     """
-    length = F.size(SERIES)
-    first = F.greatest(length - lead_time - months, F.lit(1))
-    last = length - lead_time - 1
+    first, last = _span(months, lead_time)
     return series.select(
         "SKU", SERIES, F.explode(F.when(last >= 1, F.sequence(first, last))).alias("Origin")
     )
@@ -56,28 +60,31 @@ def test_set_forecasts(
 ) -> DataFrame:
     """``SKU, Model, Origin, Target_Month, Month, Forecast`` for native models.
 
-    The training prefix is an index into the item's array: nothing is copied per origin, and after
-    the series are built there is no further shuffle.
+    A model's states at all origins come from one pass over the item's array; only states and target
+    months are copied per origin, and after the series are built there is no further shuffle.
     """
     step = lead_time + 1
-    values, n = values_of(), F.col("Origin")
+    first, last = _span(months, lead_time)
+    at_origins = F.arrays_zip(
+        F.sequence(first, last).alias("n"),
+        F.slice(dates_of(), first + step, last - first + 1).alias("target"),
+        *[states(m, values_of(), first, last).alias(f"m{i}") for i, m in enumerate(models.values())],
+    )
+    # The condition is part of the array: a filter might be evaluated after it.
+    kept = series.select("SKU", F.inline(F.when(last >= 1, at_origins)))
     forecasts = F.array(
         *[
             F.struct(
                 F.lit(name).alias("Model"),
-                floor_zero(half_even(model(values, n, step))).alias("Forecast"),
+                floor_zero(half_even(model.ahead(F.col(f"m{i}"), step))).alias("Forecast"),
             )
-            for name, model in models.items()
+            for i, (name, model) in enumerate(models.items())
         ]
     )
-    target = F.get(dates_of(), n + step - 1)
-    return (
-        origins(series, months, lead_time)
-        .select("SKU", "Origin", target.alias("Target_Month"), F.inline(forecasts))
-        .select(
-            "SKU", "Model", "Origin", "Target_Month",
-            month_label("Target_Month").alias("Month"), "Forecast",
-        )
+    return kept.select(
+        "SKU", F.col("n").alias("Origin"), F.col("target").alias("Target_Month"), F.inline(forecasts)
+    ).select(
+        "SKU", "Model", "Origin", "Target_Month", month_label("Target_Month").alias("Month"), "Forecast"
     )
 
 
@@ -178,21 +185,29 @@ def model_forecasts(
 def model_forecasts_native(
     series: DataFrame, models: dict[str, NativeModel], horizon: int
 ) -> DataFrame:
-    """The same table for native models: columns over the item's array, without a shuffle."""
-    values, n = values_of(), F.size(SERIES)
+    """The same table for native models, without a shuffle.
+
+    A model's state at the end of the series is made once; every step ahead starts from it.
+    """
+    n = F.size(SERIES)
+    ends = series.select(
+        "SKU",
+        F.get(dates_of(), n - 1).alias("__last"),
+        *[F.when(n >= 1, F.get(states(m, values_of(), n, n), F.lit(0))).alias(f"__m{i}")
+          for i, m in enumerate(models.values())],
+    )
     forecasts = F.array(
         *[
             F.struct(
                 F.lit(name).alias("Model"),
                 F.lit(step).alias("Horizon"),
-                F.nanvl(model(values, n, step), F.lit(None).cast("double")).alias("Forecast"),
+                F.nanvl(model.ahead(F.col(f"__m{i}"), step), F.lit(None).cast("double")).alias("Forecast"),
             )
-            for name, model in models.items()
+            for i, (name, model) in enumerate(models.items())
             for step in range(1, horizon + 1)
         ]
     )
-    last = F.element_at(dates_of(), -1)
-    return series.select("SKU", last.alias("__last"), F.inline(forecasts)).select(
+    return ends.select("SKU", "__last", F.inline(forecasts)).select(
         "SKU", "Model", "Horizon",
         F.add_months("__last", F.col("Horizon")).alias("Target_Month"), "Forecast",
     )

@@ -1,7 +1,7 @@
 """Forecast models.
 
-A native model is a column expression over the history array; it runs in the JVM. Any other model is
-a Python function of one training series, run on Arrow batches inside the tasks. A ``Batched`` model is one
+A native model is column expressions over the history array: its state at an origin, and forecasts from a
+state. It runs in the JVM. Any other model is a Python function of one training series, run on Arrow batches inside the tasks. A ``Batched`` model is one
 of many equally long series: a matrix with a row per series.
 """
 
@@ -15,8 +15,6 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# history values, number of training points, steps ahead -> forecast
-NativeModel = Callable[[Column, Column, int], Column]
 # training values, steps ahead -> that many forecasts
 PythonModel = Callable[[np.ndarray, int], np.ndarray]
 
@@ -73,49 +71,103 @@ def fit_all(model: PythonModel | Batched, trains: list[np.ndarray], steps: int)
 YEAR = 12
 
 
+class Indexed(NamedTuple):
+    """A native model whose state at an origin is read from the array by index."""
+
+    # values, number of training points -> state
+    read: Callable[[Column, Column], Column]
+    # state, steps ahead -> forecast
+    ahead: Callable[[Column, int], Column]
+
+
+class Running(NamedTuple):
+    """A native model whose state grows point by point.
+
+    One pass over the array gives the state at every origin, so points are not folded again for each.
+    """
+
+    # first value -> state
+    begin: Callable[[Column], Column]
+    # state, next value -> state
+    after: Callable[[Column, Column], Column]
+    # state, steps ahead -> forecast
+    ahead: Callable[[Column, int], Column]
+
+
+NativeModel = Indexed | Running
+
+
+def states(model: NativeModel, values: Column, first: Column, last: Column) -> Column:
+    """The model's state at each origin from ``first`` to ``last`` (training lengths, at least 1)."""
+    if isinstance(model, Indexed):
+        return F.transform(F.sequence(first, last), lambda n: model.read(values, n))
+    head = F.aggregate(F.slice(values, F.lit(2), first - 1), model.begin(_at(values, F.lit(1))), model.after)
+    return F.aggregate(
+        F.slice(values, first + 1, last - first),
+        F.array(head),
+        lambda kept, x: F.array_append(kept, model.after(F.element_at(kept, -1), x)),
+    )
+
+
 def _at(values: Column, index: Column) -> Column:
     """Value at a 1-based index, NULL where the series does not reach."""
     return F.when((index >= 1) & (index <= F.size(values)), F.get(values, index - 1))
 
 
-def naive(values: Column, n: Column, step: int) -> Column:
-    """Last training value."""
-    return _at(values, n)
-
+#: Last training value.
+naive = Indexed(_at, lambda state, step: state)
 
-def seasonal_naive(values: Column, n: Column, step: int) -> Column:
-    """Value of the same month in the last training year."""
-    return _at(values, n + step - YEAR * (-(-step // YEAR)))
+#: Value of the same month in the last training year.
+seasonal_naive = Indexed(
+    lambda values, n: F.array(*[_at(values, n - YEAR + k) for k in range(1, YEAR + 1)]),
+    lambda state, step: F.get(state, F.lit((step - 1) % YEAR)),
+)
 
 
-def moving_average(points: int) -> NativeModel:
+def moving_average(points: int) -> Indexed:
     """Mean of the last ``points`` training values (of all, if there are fewer)."""
 
-    def model(values: Column, n: Column, step: int) -> Column:
+    def read(values: Column, n: Column) -> Column:
         size = F.least(n, F.lit(points))
         window = F.slice(values, F.greatest(n - points + 1, F.lit(1)), size)
         added = F.aggregate(window, F.lit(0.0), lambda acc, x: acc + x)
         return F.when(n >= 1, F.try_divide(added, size.cast("double")))
 
-    return model
+    return Indexed(read, lambda state, step: state)
 
 
-def drift(values: Column, n: Column, step: int) -> Column:
-    """Last training value, carried on along the line from the first."""
-    first, last = _at(values, F.lit(1)), _at(values, n)
-    return last + F.try_divide((last - first) * step, (n - 1).cast("double"))
+#: Last training value, carried on along the line from the first.
+drift = Indexed(
+    lambda values, n: F.struct(
+        _at(values, F.lit(1)).alias("first"), _at(values, n).alias("last"), n.alias("n")
+    ),
+    lambda state, step: state["last"]
+    + F.try_divide((state["last"] - state["first"]) * step, (state["n"] - 1).cast("double")),
+)
 
 
-def smoothing(alpha: float) -> NativeModel:
+def smoothing(alpha: float) -> Running:
     """Level of simple exponential smoothing, started at the first value."""
+    return Running(
+        lambda x: x,
+        lambda level, x: x * alpha + level * (1 - alpha),
+        lambda level, step: level,
+    )
 
-    def model(values: Column, n: Column, step: int) -> Column:
-        rest = F.slice(values, F.lit(2), F.greatest(n - 1, F.lit(0)))
-        return F.aggregate(
-            rest, _at(values, F.lit(1)), lambda level, x: x * alpha + level * (1 - alpha)
-        )
 
-    return model
+def trend_smoothing(alpha: float, beta: float) -> Running:
+    """Double exponential smoothing: a level and a trend, started at the first value without a trend."""
+
+    def after(state: Column, x: Column) -> Column:
+        level = x * alpha + (state["level"] + state["trend"]) * (1 - alpha)
+        trend = (level - state["level"]) * beta + state["trend"] * (1 - beta)
+        return F.struct(level.alias("level"), trend.alias("trend"))
+
+    return Running(
+        lambda x: F.struct(x.alias("level"), F.lit(0.0).alias("trend")),
+        after,
+        lambda state, step: state["level"] + state["trend"] * step,
+    )
 
 
 NATIVE_MODELS: dict[str, NativeModel] = {
@@ -126,6 +178,13 @@ NATIVE_MODELS: dict[str, NativeModel] = {
     "smoothing": smoothing(0.5),
 }
 
+#: Models of a running state.
+RUNNING_MODELS: dict[str, NativeModel] = {
+    "smoothing": smoothing(0.5),
+    "slow_smoothing": smoothing(0.125),
+    "trend_smoothing": trend_smoothing(0.5, 0.25),
+}
+
 
 def python_naive(train: np.ndarray, horizon: int) -> np.ndarray:
     return np.full(horizon, train[-1])

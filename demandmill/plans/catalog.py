@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MODELS = list(models.NATIVE_MODELS)
 TEST_MONTHS, LEAD_TIME, HORIZON = 3, 3, 6
+MANY_MONTHS = 24
 SCORED = ("CUST N", ["GOL", "SOC"], "USA")
 TEST_LABELS = [dates.label_of(m) for m in inputs.MONTHS[-TEST_MONTHS:]]
 
@@ -398,6 +399,13 @@ def _backtest(name: str) -> Query:
     return lambda spark, sf: shown(_test_set(spark, sf, [name]))
 
 
+def _running(spark: SparkSession, sf: str) -> DataFrame:
+    """Models of a running state from the origins of two years."""
+    return backtest.test_set_forecasts(
+        _series(spark, sf), models.RUNNING_MODELS, MANY_MONTHS, LEAD_TIME
+    )
+
+
 def _forecasts(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.model_forecasts(_series(spark, sf), models.PYTHON_MODELS, HORIZON)
 
@@ -515,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "history_complete": lambda s, d: shown(series.complete_calendar(inputs.history_sparse(s, d))),
     "history_series": lambda s, d: shown(_series_shown(s, d)),
     **{f"backtest_{n}": _backtest(n) for n in models.NATIVE_MODELS},
+    "backtest_running": lambda s, d: shown(_running(s, d)),
     "backtest_python": lambda s, d: shown(_backtest_python(s, d)),
     "backtest_failing_models": lambda s, d: shown(_partial(s, d)),
     "model_forecasts": lambda s, d: shown(_forecasts(s, d)),

@@ -639,6 +639,27 @@ UNION ALL {cell("batch_avg", "(y1 + y2 + y3) / 3.0", "false", "")}
 UNION ALL {cell("year_share", "y1 * y1 * 12 / year_sum", "year_sum = 0", "a year without units")}"""
 
 
+def _running() -> str:
+    """Levels and trends month by month; the last 24 targets lie four months after their origin."""
+    cell = lambda name, x: f"""SELECT 'S' || s.key AS "SKU", '{name}' AS "Model", s.i + 1 AS "Origin",
+       CAST(d.month AS VARCHAR) AS "Target_Month", strftime(d.month, '%b_%Y') AS "Month",
+       greatest({rnd(x)}, 0) AS "Forecast"
+FROM walk s JOIN dense d ON d.key = s.key AND d.i = s.i + 4 WHERE d.i >= 59"""
+    return f"""WITH RECURSIVE {DENSE},
+walk AS (
+  SELECT key, i, CAST(y AS DOUBLE) AS half, CAST(y AS DOUBLE) AS eighth, CAST(y AS DOUBLE) AS level,
+         CAST(0 AS DOUBLE) AS trend
+  FROM dense WHERE i = 0
+  UNION ALL
+  SELECT w.key, d.i, d.y * 0.5::DOUBLE + half * 0.5::DOUBLE, d.y * 0.125::DOUBLE + eighth * 0.875::DOUBLE,
+         d.y * 0.5::DOUBLE + (level + trend) * 0.5::DOUBLE,
+         (d.y * 0.5::DOUBLE + (level + trend) * 0.5::DOUBLE - level) * 0.25::DOUBLE + trend * 0.75::DOUBLE
+  FROM walk w JOIN dense d ON d.key = w.key AND d.i = w.i + 1)
+{cell("smoothing", "half")}
+UNION ALL {cell("slow_smoothing", "eighth")}
+UNION ALL {cell("trend_smoothing", "level + trend * 4")}"""
+
+
 # Forecasts from the full series: positions 83..88 of the calendar.
 FUTURE = """steps AS (SELECT unnest(range(1, 7)) AS h),
 future AS (
@@ -725,6 +746,7 @@ FROM dense""",
     "backtest_moving_avg": backtest_sql("WHERE model = 'moving_avg'"),
     "backtest_drift": backtest_sql("WHERE model = 'drift'"),
     "backtest_smoothing": backtest_sql("WHERE model = 'smoothing'"),
+    "backtest_running": _running(),
     "backtest_python": backtest_sql(""),
     "model_forecasts": f"""WITH {DENSE}, {FUTURE}
 SELECT 'S' || key AS "SKU", model AS "Model", h AS "Horizon",

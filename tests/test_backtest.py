@@ -59,6 +59,35 @@ def test_drift_and_smoothing(spark):
     assert got == {"drift": 26, "smoothing": 11}
 
 
+def test_running_models_at_every_origin(spark):
+    """States of one pass equal those of each prefix alone, for rising, falling and single points."""
+    def by_prefix(ys, alpha, beta, steps):
+        level, trend = ys[0], 0.0
+        for y in ys[1:]:
+            new = alpha * y + (1 - alpha) * (level + trend)
+            level, trend = new, beta * (new - level) + (1 - beta) * trend
+        return max(round(level + steps * trend), 0)
+
+    rows = {"A": [float(i * i) for i in range(12)], "B": [100.0 - 9 * i for i in range(12)], "C": [0.0] * 12}
+    df = series.history_series(wide(spark, list(rows.items())))
+    got = {(r.SKU, r.Model, r.Origin): r.Forecast
+           for r in backtest.test_set_forecasts(df, models.RUNNING_MODELS, 30, 2).collect()}
+    rules = {"smoothing": (0.5, 0.0), "slow_smoothing": (0.125, 0.0), "trend_smoothing": (0.5, 0.25)}
+    assert got == {(k, m, n): by_prefix(ys[:n], *rule, 3)
+                   for k, ys in rows.items() for m, rule in rules.items() for n in range(1, 10)}
+    full = {(r.SKU, r.Model, r.Horizon): r.Forecast
+            for r in backtest.model_forecasts_native(df, models.RUNNING_MODELS, 2).collect()}
+    assert len(full) == 18 and full["B", "smoothing", 1] == full["B", "smoothing", 2]
+    assert full["A", "trend_smoothing", 2] > full["A", "trend_smoothing", 1] > 121
+
+
+def test_native_models_of_no_points(spark):
+    none = spark.createDataFrame([("A", [])], "SKU string, Nested_History array<struct<Date date, History double>>")
+    assert backtest.test_set_forecasts(none, models.NATIVE_MODELS | models.RUNNING_MODELS).count() == 0
+    got = backtest.model_forecasts_native(none, models.NATIVE_MODELS | models.RUNNING_MODELS, 2)
+    assert {(r.Forecast, r.Target_Month) for r in got.collect()} == {(None, None)}
+
+
 def test_rounded_and_not_negative(spark):
     df = series.history_series(wide(spark, [("A", [-5.0] * 6 + [0.5, 1.5] + [9.0] * 4)]))
     got = backtest.test_set_forecasts(df, {"naive": models.naive}).orderBy("Origin").collect()

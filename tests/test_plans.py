@@ -39,7 +39,7 @@ def test_no_pairing_of_all_rows(spark, sf, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     # Only the Python models leave the JVM.
     python = "MapInPandas" in text or "ArrowEval" in text or "BatchEval" in text
-    assert python == (name in ("backtest_python", "model_forecasts"))
+    assert python == (name in ("backtest_python", "backtest_failing_models", "model_forecasts"))
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,12 @@ def test_backtest_shuffles_once(stored):
     df = backtest.test_set_forecasts(series.history_series(stored["wide"]), models.NATIVE_MODELS)
     text = plan(df)
     assert text.count("Exchange") == 1 and "Window" not in text and "Sort " not in text
+
+
+def test_running_models_pass_once_over_a_series_for_any_number_of_origins(stored):
+    wide = series.history_series(stored["wide"])
+    folds = [
+        plan(backtest.test_set_forecasts(wide, models.RUNNING_MODELS, months)).count("aggregate(slice(")
+        for months in (1, 24)
+    ]
+    assert folds[0] == folds[1]
