@@ -31,6 +31,9 @@ UNREPORTED_DEMAND = ("New", "Inactive")
 #: Partitions that rows without an item are spread over.
 SALTS = 64
 
+#: What is added up for accuracy.
+SUMS = ["Mean_Fcst", "Mean_ABS_Error", "Shipped_Units", *[f"{q}_Below" for q in QUANTILES]]
+
 TREND_TYPES = ("Mean_Acc", "P70_Below", "P80_Below", "P90_Below")
 
 
@@ -131,24 +134,34 @@ def _segments_without_item(rows: DataFrame, segments: DataFrame) -> DataFrame:
     ).drop("__salt", "__copy", "__copies", *[f"__{n}" for n in names])
 
 
-def view_totals(base: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums per view and ``keys``; the views are Lag 1, 2, 3 and the item's own lead time.
-
-    A row can be in two views. Rows are first summed per lag and lead-time flag, so the copy per
-    view is made of a few totals instead of the rows: one pass and one small shuffle for all views.
-    """
-    sums = ["Mean_Fcst", "Mean_ABS_Error", "Shipped_Units", *[f"{q}_Below" for q in QUANTILES]]
-    small = base.groupBy(*keys, "Lag", "Our_LT").agg(
-        *[exact_sum(n).alias(n) for n in sums], F.count(F.lit(1)).alias("Num_SKUs")
+def partial_totals(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums and counts per ``keys``, lag and lead-time flag; such totals can be added up again."""
+    return base.groupBy(*keys, "Lag", "Our_LT").agg(
+        *[exact_sum(n).alias(n) for n in SUMS], F.count(F.lit(1)).alias("Num_SKUs")
     )
+
+
+def merged_totals(partial: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums per view and ``keys`` from partial totals; the views are Lag 1, 2, 3 and the own lead time."""
     views = [F.when(F.col("Lag") == n, F.lit(f"Lag_{n}")) for n in LAGS]
     views.append(F.when(F.col("Our_LT"), F.lit("Our_LT")))
-    tagged = small.withColumn("View", F.explode(F.array_compact(F.array(*views))))
+    tagged = partial.withColumn("View", F.explode(F.array_compact(F.array(*views))))
     return tagged.groupBy("View", *keys).agg(
-        *[exact_total(n).alias(n) for n in sums], F.sum("Num_SKUs").alias("Num_SKUs")
+        *[exact_total(n).alias(n) for n in SUMS], F.sum("Num_SKUs").alias("Num_SKUs")
     )
 
 
+def view_totals(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums per view and ``keys``.
+
+    A row can be in two views. Rows are first summed per lag and lead-time flag, so the copy per
+    view is made of a few totals instead of the rows: one pass and one small shuffle for all views.
+    ``base`` may be partial totals, as stored.
+    """
+    stored = "Num_SKUs" in base.columns
+    return merged_totals(base if stored else partial_totals(base, keys), keys)
+
+
 def accuracy_by_view(base: DataFrame) -> DataFrame:
     """Accuracy of the mean and shares at or under each quantile, per view and month."""
     t = view_totals(base, ["Fcst_Date", "Month", "Year"])

@@ -24,6 +24,7 @@ from demandmill.operators import (
     models,
     monthend,
     pos,
+    pos_totals,
     ranking,
     reports,
     scoring,
@@ -87,6 +88,25 @@ def _segments_stored(spark: SparkSession, sf: str) -> DataFrame:
     return pos.accuracy_by_segment(base)
 
 
+def _stored_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals stored two months ago without the last version month, then brought up to date."""
+    root = f"{shared_dir(spark)}/totals-{uuid.uuid4().hex}"
+    last = dates.add_months(inputs.ASOF, -2)
+    version = F.col("POS_Fcst_Version_Date")
+    sinks.write_partitions(
+        inputs.forecast_monthly(spark, sf), f"{root}/forecasts", ["POS_Fcst_Version_Date"]
+    )
+    forecasts = readers.read_table(spark, f"{root}/forecasts", layouts.FORECAST_MONTHLY)
+    lookups = inputs.leadtimes(spark, sf), inputs.actuals(spark, sf)
+    seg = pos.segments_of(inputs.segments(spark, sf), inputs.COMPANY, inputs.CUSTOMER)
+    earlier = forecasts.where((version < F.lit(last)) | (version >= F.lit(dates.add_months(last, 1))))
+    pos_totals.refresh(spark, f"{root}/totals", earlier, *lookups, last, seg, dedupe=True)
+    pos_totals.refresh(
+        spark, f"{root}/totals", forecasts, *lookups, inputs.ASOF, seg, versions=[last], dedupe=True
+    )
+    return pos_totals.read_totals(spark, f"{root}/totals")
+
+
 def _by_view(spark: SparkSession, sf: str) -> DataFrame:
     """The plain script's form: no segments, every lookup match counts."""
     base = pos.pos_accuracy_base(
@@ -486,6 +506,11 @@ QUERIES: dict[str, Query] = {
     ),
     "pos_by_segment": lambda s, d: pos.accuracy_by_segment(_base(s, d)),
     "pos_by_segment_stored": _segments_stored,
+    "pos_kpis_merged": lambda s, d: pos.kpi_totals(_stored_totals(s, d)),
+    "pos_trend_merged": lambda s, d: shown(
+        pos.accuracy_trend_long(pos.accuracy_by_view(_stored_totals(s, d)))
+    ),
+    "pos_by_segment_merged": lambda s, d: pos.accuracy_by_segment(_stored_totals(s, d)),
     "hierarchy_accuracy": lambda s, d: hierarchy.hierarchy_accuracy(_base(s, d)),
     "hierarchy_tree": lambda s, d: hierarchy.hierarchy_tree_rows(_base(s, d)),
     "top_n_with_ties": _units_by_brand,

@@ -833,6 +833,9 @@ FILES = {
     "ingest_reports_two_runs": _reports()["clean_report_reviews"],
     "ingest_late_and_changed": _reports()["clean_report_reviews"],
     "pos_by_segment_stored": POS["pos_by_segment"],
+    "pos_kpis_merged": POS["pos_kpis"],
+    "pos_trend_merged": POS["pos_trend_long"],
+    "pos_by_segment_merged": POS["pos_by_segment"],
     "canonical_customer_stored": HARMONISED["canonical_customer"],
     "append_new_partitions": CLEAN["append_unique"],
     "ingest_weekly_day_by_day": WEEK["weekly_to_monthly"],

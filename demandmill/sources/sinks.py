@@ -72,6 +72,13 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+def partitions(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the partition folders at ``path``; none if nothing was written."""
+    system, at = hadoop(spark, path)
+    names = [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
+    return [n.removeprefix(f"{key}=") for n in names if n.startswith(f"{key}=")]
+
+
 def append_unique(all_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
     """History plus new rows, each distinct row once."""
     return all_rows.unionByName(new_rows).distinct()

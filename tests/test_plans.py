@@ -13,6 +13,7 @@ from demandmill.sources import layouts
 # These write their tables when called.
 EAGER = {n for n in QUERIES if n.startswith(("ingest_", "published_"))} | {
     "write_read_roundtrip", "snapshot_rewritten", "append_new_partitions",
+    "pos_kpis_merged", "pos_trend_merged", "pos_by_segment_merged",
 }
 
 
