@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandmill.functions.dates import upper_month_label
 from demandmill.functions.rules import EXACT, accuracy, half_even, match_join, percent
-from demandmill.session import checkpointed
+from demandmill.session import checkpointed, tasks_for
 
 # Names of the two forecasts every model is compared with.
 SALES_FORECAST = "Sales_Forecast"
@@ -57,14 +57,18 @@ def accuracy_data(
     return match_join(acc, other, [(k, k) for k in keys], how="inner")
 
 
-def scoring_rows(test_set: DataFrame, acc: DataFrame) -> DataFrame:
+def scoring_rows(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per item, model, month and kind of forecast, with errors and accuracies.
 
     Items without any accuracy data are left out; a month without it keeps its row with unknown
     errors. The accuracy data, itself a join, is written once: it tells known items and gives values.
+    Both sides are dealt out to ``tasks`` if given, else to as many as the test set's files ask for.
     """
+    tasks = tasks or tasks_for(test_set)
     acc = checkpointed(acc)
-    joined = _tested(test_set, acc).join(acc.select(*ACTUAL), ["SKU", "Month_Year"], "left")
+    both = ["SKU", "Month_Year"]
+    lines = acc.select(*ACTUAL).repartition(tasks, *both)
+    joined = _tested(test_set, acc).repartition(tasks, *both).join(lines, both, "left")
     kinds = F.array(*[_kind(name, *_forecasts(name)) for name in KINDS])
     stacked = joined.select(
         "SKU", "Model", "Month_Year", "Adj_Orders_Units", "Adj_Orders_Cost", F.inline(kinds)
@@ -87,19 +91,21 @@ def _tested(test_set: DataFrame, acc: DataFrame) -> DataFrame:
     return test.join(acc.select("SKU").distinct(), "SKU", "left_semi")
 
 
-def scored_sums(test_set: DataFrame, acc: DataFrame) -> DataFrame:
+def scored_sums(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -> DataFrame:
     """The scored rows summed to item, model, month and kind, for every result but the detail.
 
     Errors of the sales and stat forecasts do not depend on a model, so they are summed once per item
     and month and put beside each model's own sums afterwards; only the test forecasts are scored line
     by line. Repeated test-set rows count as often as they occur. Grouping and both joins share the
-    partitioning by item and month.
+    partitioning by item and month, into ``tasks`` if given, else as many as the test set's files ask for.
     """
+    tasks = tasks or tasks_for(test_set)
     acc = checkpointed(acc)
-    lines = acc.select(*ACTUAL)
     both = ["SKU", "Month_Year"]
+    lines = acc.select(*ACTUAL).repartition(tasks, *both)
     own = (
         _tested(test_set, acc)
+        .repartition(tasks, *both)
         .join(lines, both, "left")
         .select(*both, "Model", *_measures(TEST))
         .groupBy(*both, "Model")
@@ -307,10 +313,11 @@ def score(
     test_set: DataFrame, acc: DataFrame, models: list[str], month_labels: list[str]
 ) -> Scores:
     """The four results of a scoring run; test set, accuracy data and sums are computed once."""
+    tasks = tasks_for(test_set)
     test_set, acc = checkpointed(test_set), checkpointed(acc)
-    sums = checkpointed(scored_sums(test_set, acc))
+    sums = checkpointed(scored_sums(test_set, acc, tasks))
     return Scores(
-        sku_detail_nested(scoring_rows(test_set, acc)),
+        sku_detail_nested(scoring_rows(test_set, acc, tasks)),
         model_summary(sums, month_labels),
         best_model_per_sku(sku_totals(sums), models),
         excluded_skus(test_set, acc),
