@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandmill.functions.dates import month_range, parse_mdy
 from demandmill.functions.text import quote
+from demandmill.session import tasks_for
 
 SERIES = "Nested_History"
 
@@ -68,11 +69,13 @@ def history_series(wide: DataFrame) -> DataFrame:
     """One ordered, gap-free series per item, straight from the wide table.
 
     The month columns are the series: they are summed per item (an item listed twice is added up)
-    and packed in calendar order. Months that have no column are 0 for every item.
+    and packed in calendar order. Months that have no column are 0 for every item. Items are dealt out
+    by the size of the files, so a task holds no more of them as the table grows; a table that already
+    lies so is not shuffled again.
     """
-    sku = wide.columns[0]
+    sku = F.col(quote(wide.columns[0]))
     names = {_header_date(c): quote(c) for c in _months(wide)}
-    summed = wide.groupBy(F.col(quote(sku)).alias("SKU")).agg(
+    summed = wide.repartition(tasks_for(wide), sku).groupBy(sku.alias("SKU")).agg(
         *[F.expr(f"sum(CAST({c} AS double)) AS {c}") for c in names.values()]
     )
     points = [

@@ -291,11 +291,13 @@ def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item, an unused column, and one column per month of the calendar."""
     month_no = F.year("l_shipdate") * 12 + F.month("l_shipdate")
     wide = spread(
-        table(spark, sf_dir, "lineitem").select("l_partkey", month_no.alias("m"), "l_quantity"),
-        ["l_partkey"], "m", [m.year * 12 + m.month for m in MONTHS], "l_quantity",
+        table(spark, sf_dir, "lineitem").select(
+            sku("l_partkey").alias("Item"), month_no.alias("m"), "l_quantity"
+        ),
+        ["Item"], "m", [m.year * 12 + m.month for m in MONTHS], "l_quantity",
     )
     return wide.selectExpr(
-        "concat('S', l_partkey) AS Item",
+        "Item",
         "'units' AS Measure",
         *[f"`{m.year * 12 + m.month}` AS `{header_of(m)}`" for m in MONTHS],
     )

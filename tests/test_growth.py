@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,9 @@ from test_files import weekly_file
 from test_weekly import by_day, file_of, run
 
 from demandmill import session
-from demandmill.operators import scoring, weekly
+from demandmill.operators import scoring, series, weekly
 from demandmill.plans import inputs
+from demandmill.plans.catalog import QUERIES
 from demandmill.sources import readers
 from demandmill.streaming import ingest
 
@@ -105,3 +107,33 @@ def test_stored_rows_stay_where_they_are(spark, tmp_path):
     assert "SortMergeJoin" not in plan(ingest.current_rows(spark, out, "inventory"))
     grouped = [x for x in plan(ingest.published_forecast(spark, out)).splitlines() if "Title" in x and "max_by" in x]
     assert grouped and not any("SortAggregate" in x for x in grouped)
+
+
+def dealings(df):
+    """Numbers of tasks that the shuffles of a plan deal rows out to."""
+    return {int(x) for x in re.findall(r"Exchange hashpartitioning\(.*, (\d+)\)", plan(df))}
+
+
+@pytest.fixture
+def many_tasks(monkeypatch):
+    """Files ask for more tasks than the setting has."""
+    monkeypatch.setattr(session, "BYTES_PER_TASK", 1000)
+
+
+@pytest.mark.parametrize("name", ["backtest_naive", "backtest_running", "backtest_python", "history_series"])
+def test_series_lie_as_their_rows_were_dealt(spark, sf, many_tasks, name):
+    made = QUERIES[name](spark, sf)
+    tasks = session.tasks_for(inputs.table(spark, sf, "lineitem"))
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plan(made).count("Exchange") == 1 and dealings(made) == {tasks}
+
+
+def test_a_wide_table_in_files_is_dealt_out_by_item(spark, tmp_path, many_tasks):
+    rows = [("A", "u", 1.0, None), ("A", "u", 2.0, 5.0), (None, "u", None, 3.0)]
+    wide = "Item string, Measure string, `1/1/2020` double, `3/1/2020` double"
+    spark.createDataFrame(rows, wide).write.parquet(f"{tmp_path}/w")
+    table = spark.read.parquet(f"{tmp_path}/w")
+    made = series.history_series(table)
+    assert dealings(made) == {session.tasks_for(table)}
+    got = {r["SKU"]: [p["History"] for p in r[series.SERIES]] for r in made.collect()}
+    assert got == {"A": [3.0, 0.0, 5.0], None: [0.0, 0.0, 3.0]}
