@@ -93,13 +93,18 @@ def match_join(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str = "left",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Equi-join on (left, right) column pairs in which NULL matches NULL.
 
     The right key columns are dropped. No broadcast hint: the planner broadcasts a side whose
     statistics (or, adaptively, whose shuffled size) are under ``autoBroadcastJoinThreshold`` and
-    otherwise runs a sort-merge join whose hot partitions are split at run time.
+    otherwise runs a sort-merge join whose hot partitions are split at run time. With ``tasks`` both
+    sides are dealt out by their keys to that many tasks. The keys then meet as one struct, in which NULL
+    equals NULL; they must have the same types on both sides.
     """
+    if tasks:
+        return _dealt_join(left, right, pairs, how, tasks)
     renamed = right
     tagged = []
     for i, (lk, rk) in enumerate(pairs):
@@ -107,3 +112,16 @@ def match_join(
         tagged.append((lk, f"__key{i}"))
     cond = all_of(F.col(lk).eqNullSafe(F.col(rk)) for lk, rk in tagged)
     return left.join(renamed, cond, how).drop(*[rk for _, rk in tagged])
+
+
+def _dealt_join(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str, tasks: int
+) -> DataFrame:
+    def keyed(df: DataFrame, names: Iterable[str], key: str) -> DataFrame:
+        parts = [F.col(n).alias(f"k{i}") for i, n in enumerate(names)]
+        return df.withColumn(key, F.struct(*parts)).repartition(tasks, key)
+
+    lefts, rights = zip(*pairs)
+    dealt = keyed(right, rights, "__right").drop(*rights)
+    joined = keyed(left, lefts, "__left").join(dealt, F.col("__left") == F.col("__right"), how)
+    return joined.drop("__left", "__right")

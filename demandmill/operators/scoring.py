@@ -34,7 +34,7 @@ def accuracy_data(
 
     The reports are matched on month, country, customer and item; a pair without partner is left
     out, an unknown stat value is 0. The fixed customer and country also filter the stat report
-    before the shuffle, since no other row of it can match.
+    before the shuffle, since no other row of it can match. Both are dealt out by the size of their files.
     """
     here = (F.col("Customer") == customer) & (F.col("Country") == country)
     acc = report.where(here & F.col("Division").isin(divisions)).select(
@@ -54,7 +54,8 @@ def accuracy_data(
         F.coalesce(half_even(F.col("Stat Forecast Cost")), F.lit(0.0)).alias("Stat_FC_Cost"),
     )
     keys = ["Month_Year", "Country", "Customer", "SKU"]
-    return match_join(acc, other, [(k, k) for k in keys], how="inner")
+    tasks = max(tasks_for(report), tasks_for(stat))
+    return match_join(acc, other, [(k, k) for k in keys], how="inner", tasks=tasks)
 
 
 def scoring_rows(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -282,9 +283,19 @@ def best_model_per_sku(totals: DataFrame, models: list[str]) -> DataFrame:
     return wide.withColumn("Best_Model", F.when(all_known, best))
 
 
-def excluded_skus(test_set: DataFrame, acc: DataFrame) -> DataFrame:
-    """Items of the test set that the accuracy data does not hold."""
-    return test_set.select("SKU").subtract(acc.select("SKU"))
+def excluded_skus(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Items of the test set that the accuracy data does not hold.
+
+    Items of both are dealt out to ``tasks`` if given, else to as many as their files ask for; an unknown
+    item is one of them.
+    """
+    tasks = tasks or max(tasks_for(test_set), tasks_for(acc))
+    tested = test_set.select("SKU").repartition(tasks, "SKU").distinct()
+    items = tested.withColumn("__tested", F.lit(True)).unionByName(
+        acc.select("SKU", F.lit(False).alias("__tested"))
+    )
+    alone = items.repartition(tasks, "SKU").groupBy("SKU").agg(F.bool_and("__tested").alias("__alone"))
+    return alone.where("__alone").select("SKU")
 
 
 def sku_detail_nested(rows: DataFrame) -> DataFrame:
@@ -320,5 +331,5 @@ def score(
         sku_detail_nested(scoring_rows(test_set, acc, tasks)),
         model_summary(sums, month_labels),
         best_model_per_sku(sku_totals(sums), models),
-        excluded_skus(test_set, acc),
+        excluded_skus(test_set, acc, tasks),
     )

@@ -10,6 +10,7 @@ from test_files import weekly_file
 from test_weekly import by_day, file_of, run
 
 from demandmill import session
+from demandmill.functions.rules import match_join
 from demandmill.operators import scoring, series, weekly
 from demandmill.plans import inputs
 from demandmill.plans.catalog import QUERIES
@@ -137,3 +138,37 @@ def test_a_wide_table_in_files_is_dealt_out_by_item(spark, tmp_path, many_tasks)
     assert dealings(made) == {session.tasks_for(table)}
     got = {r["SKU"]: [p["History"] for p in r[series.SERIES]] for r in made.collect()}
     assert got == {"A": [3.0, 0.0, 5.0], None: [0.0, 0.0, 3.0]}
+
+
+@pytest.mark.parametrize(
+    "name", ["excluded_skus"]
+)
+def test_no_step_of_scoring_keeps_to_the_setting(spark, sf, many_tasks, name):
+    tasks = session.tasks_for(inputs.table(spark, sf, "lineitem"))
+    assert dealings(QUERIES[name](spark, sf)) == {tasks}
+
+
+@pytest.mark.parametrize("made", [inputs.accuracy_report, inputs.stat_report])
+def test_reports_are_dealt_out_before_they_are_summed(spark, sf, many_tasks, made):
+    text = plan(made(spark, sf))
+    assert text.count("Exchange") == 1
+    assert text.rindex("HashAggregate") < text.index("Exchange")
+
+
+def test_dealt_join_matches_null_with_null(spark):
+    left = spark.createDataFrame([("a", 1, 1), (None, 1, 2), (None, None, 3), ("b", 1, 4)], "k string, n int, x int")
+    right = spark.createDataFrame([("a", 1, 5), (None, 1, 6), (None, None, 7), (None, None, 8)], "j string, m int, y int")
+    pairs = [("k", "j"), ("n", "m")]
+    for how in ("inner", "left"):
+        plain, dealt = (match_join(left, right, pairs, how, tasks=t) for t in (None, 20))
+        assert dealt.columns == plain.columns
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    assert dealings(dealt) == {20}
+
+
+def test_excluded_items_are_distinct_and_may_be_unknown(spark):
+    items = lambda *names: spark.createDataFrame([(n,) for n in names], "SKU string")
+    assert sorted(map(str, scoring.excluded_skus(items("a", "a", "b", "c", None), items("b", "d")).collect())) == [
+        "Row(SKU='a')", "Row(SKU='c')", "Row(SKU=None)"
+    ]
+    assert scoring.excluded_skus(items("a", None), items("a", None, None)).collect() == []
