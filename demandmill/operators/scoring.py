@@ -69,7 +69,7 @@ def scoring_rows(test_set: DataFrame, acc: DataFrame, tasks: int | None = None)
     acc = checkpointed(acc)
     both = ["SKU", "Month_Year"]
     lines = acc.select(*ACTUAL).repartition(tasks, *both)
-    joined = _tested(test_set, acc).repartition(tasks, *both).join(lines, both, "left")
+    joined = _tested(test_set, acc, tasks).repartition(tasks, *both).join(lines, both, "left")
     kinds = F.array(*[_kind(name, *_forecasts(name)) for name in KINDS])
     stacked = joined.select(
         "SKU", "Model", "Month_Year", "Adj_Orders_Units", "Adj_Orders_Cost", F.inline(kinds)
@@ -84,12 +84,13 @@ def scoring_rows(test_set: DataFrame, acc: DataFrame, tasks: int | None = None)
     return stacked
 
 
-def _tested(test_set: DataFrame, acc: DataFrame) -> DataFrame:
-    """Test-set forecasts of the items that the accuracy data holds."""
+def _tested(test_set: DataFrame, acc: DataFrame, tasks: int) -> DataFrame:
+    """Test-set forecasts of the items that the accuracy data holds, both dealt out by item."""
     test = test_set.select(
         "SKU", "Model", F.col("Month").alias("Month_Year"), F.col("Forecast").alias("Test_Units")
     )
-    return test.join(acc.select("SKU").distinct(), "SKU", "left_semi")
+    known = acc.select("SKU").repartition(tasks, "SKU")
+    return test.repartition(tasks, "SKU").join(known, "SKU", "left_semi")
 
 
 def scored_sums(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -105,7 +106,7 @@ def scored_sums(test_set: DataFrame, acc: DataFrame, tasks: int | None = None) -
     both = ["SKU", "Month_Year"]
     lines = acc.select(*ACTUAL).repartition(tasks, *both)
     own = (
-        _tested(test_set, acc)
+        _tested(test_set, acc, tasks)
         .repartition(tasks, *both)
         .join(lines, both, "left")
         .select(*both, "Model", *_measures(TEST))
@@ -183,12 +184,14 @@ def _known(name: str) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
 
 
-def sku_totals(rows: DataFrame) -> DataFrame:
+def sku_totals(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """Order cost, absolute error cost and accuracy per item, model and kind.
 
-    ``rows`` are scored rows or their sums by ``scored_sums``, here and in ``model_summary``.
+    ``rows`` are scored rows or their sums by ``scored_sums``, here and in ``model_summary``. They are
+    dealt out by item to ``tasks`` if given, else to as many as their files ask for, unless they lie so.
     """
-    sums = rows.groupBy("SKU", "Model", "Kind").agg(
+    dealt = rows.repartition(tasks or tasks_for(rows), "SKU")
+    sums = dealt.groupBy("SKU", "Model", "Kind").agg(
         *_exact_sums("Adj_Orders_Cost", "ABS_Error_Cost")
     )
     orders, error = _known("Adj_Orders_Cost"), _known("ABS_Error_Cost")
@@ -330,6 +333,6 @@ def score(
     return Scores(
         sku_detail_nested(scoring_rows(test_set, acc, tasks)),
         model_summary(sums, month_labels),
-        best_model_per_sku(sku_totals(sums), models),
+        best_model_per_sku(sku_totals(sums, tasks), models),
         excluded_skus(test_set, acc, tasks),
     )

@@ -141,7 +141,7 @@ def test_a_wide_table_in_files_is_dealt_out_by_item(spark, tmp_path, many_tasks)
 
 
 @pytest.mark.parametrize(
-    "name", ["excluded_skus"]
+    "name", ["scoring_rows", "scoring_sku_totals", "best_model_per_sku", "sku_detail_nested", "excluded_skus"]
 )
 def test_no_step_of_scoring_keeps_to_the_setting(spark, sf, many_tasks, name):
     tasks = session.tasks_for(inputs.table(spark, sf, "lineitem"))
@@ -155,6 +155,15 @@ def test_reports_are_dealt_out_before_they_are_summed(spark, sf, many_tasks, mad
     assert text.rindex("HashAggregate") < text.index("Exchange")
 
 
+def test_a_scoring_run_deals_its_totals_out_as_its_rows(spark, sf, many_tasks, monkeypatch):
+    asked = []
+    for step in ("sku_totals", "excluded_skus", "scored_sums", "scoring_rows"):
+        real = getattr(scoring, step)
+        monkeypatch.setattr(scoring, step, lambda *a, f=real: asked.append(a[-1]) or f(*a))
+    QUERIES["scoring_run"](spark, sf)
+    assert asked == [session.tasks_for(inputs.table(spark, sf, "lineitem"))] * 4
+
+
 def test_dealt_join_matches_null_with_null(spark):
     left = spark.createDataFrame([("a", 1, 1), (None, 1, 2), (None, None, 3), ("b", 1, 4)], "k string, n int, x int")
     right = spark.createDataFrame([("a", 1, 5), (None, 1, 6), (None, None, 7), (None, None, 8)], "j string, m int, y int")
