@@ -129,6 +129,16 @@ def test_series_lie_as_their_rows_were_dealt(spark, sf, many_tasks, name):
     assert plan(made).count("Exchange") == 1 and dealings(made) == {tasks}
 
 
+@pytest.mark.parametrize("name", ["backtest_moving_avg", "backtest_seasonal_naive"])
+def test_a_native_backtest_sends_its_source_rows_once(spark, sf, many_tasks, name):
+    text = plan(QUERIES[name](spark, sf))
+    assert text.count("Exchange") == 1 and "pivotfirst" not in text
+    # Nothing is summed while a task still holds a split of the file.
+    assert text.rindex("HashAggregate") < text.index("Exchange")
+    tasks = session.tasks_for(inputs.table(spark, sf, "lineitem"))
+    assert re.findall(r"Exchange hashpartitioning\(.*, (\d+)\)", text) == [str(tasks)]
+
+
 def test_a_wide_table_in_files_is_dealt_out_by_item(spark, tmp_path, many_tasks):
     rows = [("A", "u", 1.0, None), ("A", "u", 2.0, 5.0), (None, "u", None, 3.0)]
     wide = "Item string, Measure string, `1/1/2020` double, `3/1/2020` double"
