@@ -174,6 +174,13 @@ def test_a_scoring_run_deals_its_totals_out_as_its_rows(spark, sf, many_tasks, m
     assert asked == [session.tasks_for(inputs.table(spark, sf, "lineitem"))] * 4
 
 
+def test_no_shuffle_by_item_of_a_scoring_run_keeps_to_the_setting(spark, sf, many_tasks):
+    text = plan(QUERIES["scoring_run"](spark, sf))
+    dealt = re.findall(r"Exchange hashpartitioning\((?:.*, )?SKU#.*, (\d+)\)", text)
+    tasks = session.tasks_for(inputs.table(spark, sf, "lineitem"))
+    assert len(dealt) >= 6 and set(dealt) == {str(tasks)}
+
+
 def test_dealt_join_matches_null_with_null(spark):
     left = spark.createDataFrame([("a", 1, 1), (None, 1, 2), (None, None, 3), ("b", 1, 4)], "k string, n int, x int")
     right = spark.createDataFrame([("a", 1, 5), (None, 1, 6), (None, None, 7), (None, None, 8)], "j string, m int, y int")
